@@ -164,3 +164,11 @@ def grams(h: np.ndarray, n: int) -> np.ndarray:
             out = mix(out * GOLD + np.roll(out, -k))
             k *= 2
     return acc
+
+
+def running_max(x: np.ndarray, group: np.ndarray) -> np.ndarray:
+    """The running maximum of x within runs of equal group; x must be at least 0."""
+    run = np.zeros(len(group), np.int64)
+    run[1:] = np.cumsum(group[1:] != group[:-1])
+    wide = int(x.max(initial=0)) + 1
+    return np.maximum.accumulate(x + run * wide) - run * wide

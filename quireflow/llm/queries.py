@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import simhash
+from . import simhash, suffix
 from .common import table
 
 
@@ -14,8 +14,33 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.group_near_duplicates(table(spark, sf_dir, "documents")).selectExpr("id AS doc_id", "`group` AS group_id", "keep")
 
 
+def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.repeated_spans(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
+    "op2_suffix_array_dedup": op2_suffix_array_dedup,
 }
 
-ORACLES: dict[str, str] = {}
+_OP2 = r"""
+WITH split AS (
+  SELECT doc_id, list_filter(string_split_regex(text, '[ \t\n\v\f\r]+'), lambda x: x <> '') AS w FROM documents WHERE doc_id IS NOT NULL
+), place AS (
+  SELECT doc_id, unnest(range(len(w) - 49)) AS pos, w FROM split
+), win AS (
+  SELECT doc_id, pos, md5(array_to_string(w[pos + 1 : pos + 50], ' ')) AS k FROM place
+), marked AS (
+  SELECT doc_id, pos, count(*) OVER (PARTITION BY k) AS n, row_number() OVER (PARTITION BY k ORDER BY doc_id, pos) AS r FROM win
+), island AS (
+  SELECT *, CASE WHEN pos < lag(pos) OVER (PARTITION BY doc_id ORDER BY pos) + 50 THEN 0 ELSE 1 END AS new FROM marked WHERE n > 1
+), numbered AS (
+  SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY pos) AS span FROM island
+)
+SELECT doc_id, CAST(min(pos) AS BIGINT) AS start_token, CAST(max(pos) + 50 AS BIGINT) AS end_token, count(*) AS n_windows, count(*) FILTER (r = 1) AS n_first
+FROM numbered GROUP BY doc_id, span
+"""
+
+ORACLES: dict[str, str] = {
+    "op2_suffix_array_dedup": _OP2,
+}
