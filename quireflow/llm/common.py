@@ -83,3 +83,15 @@ def unpack(batches, dtype: np.dtype) -> np.ndarray:
     """All records of this partition."""
     blobs = [v.as_buffer() for b in batches for v in b.column("blob") if v.is_valid]
     return np.concatenate([np.frombuffer(x, dtype) for x in blobs]) if blobs else np.zeros(0, dtype)
+
+
+def text_of(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """As ``id_text``, but every row stays, also those without an id."""
+    return df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Cuts the lineage with a table in the shared folder: it is columnar and compressed, and is computed once."""
+    at = scratch(df.sparkSession, name)
+    df.write.parquet(at)
+    return df.sparkSession.read.schema(df.schema).parquet(at)

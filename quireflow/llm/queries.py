@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import simhash, suffix
+from . import langid, simhash, suffix
 from .common import table
 
 
@@ -18,9 +18,15 @@ def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.repeated_spans(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return langid.detect(docs, langid.fit(docs)).withColumnRenamed("id", "doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_suffix_array_dedup": op2_suffix_array_dedup,
+    "op3_language_id": op3_language_id,
 }
 
 _OP2 = r"""
