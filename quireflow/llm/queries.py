@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, simhash, suffix
+from . import decontam, langid, simhash, suffix
 from .common import table
 
 
@@ -23,10 +23,15 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.detect(docs, langid.fit(docs)).withColumnRenamed("id", "doc_id")
 
 
+def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).withColumnRenamed("id", "doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_suffix_array_dedup": op2_suffix_array_dedup,
     "op3_language_id": op3_language_id,
+    "op4_benchmark_decontamination": op4_benchmark_decontamination,
 }
 
 _OP2 = r"""
