@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .common import batch, id_text
+from .common import batch, filter_rows, id_text
 
 RATE, RECALL, BITS, PART_WORDS, SEED = 0.2, 0.97, 2, 2_000_000, 17
 _OUT = pa.schema([(k, pa.int64()) for k in ("id", "item_id", "start_token", "n_tokens", "edits")])
@@ -244,7 +244,19 @@ def brute(text: str, item: str, rate: float = RATE) -> int | None:
     return best if a and best <= k else None
 
 
-def drop_contaminated(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``df`` whose document holds no passage of the benchmark. Rows with a null id stay."""
-    found = contaminated(df, benchmark, id_col, text_col, **options).select(F.col("id").cast(df.schema[id_col].dataType).alias(id_col)).distinct()
-    return df.join(found, id_col, "left_anti")
+def drop_contaminated(df: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text: str = "text", rate: float = RATE, recall: float = RECALL, bits: int = BITS, part_words: int = PART_WORDS) -> DataFrame:
+    """The rows of ``df`` whose text holds no passage of the benchmark, in one pass without a join. Null and empty texts stay."""
+    tables = tables_for(recall, bits)
+    for ids, words in _parts(benchmark, item_col, item_text, part_words):
+        packed = ids.tobytes(), np.concatenate(words).tobytes(), np.cumsum([0] + [len(w) for w in words]).astype(np.int64).tobytes()
+        sent = df.sparkSession.sparkContext.broadcast(packed)
+
+        def kept(column, sent=sent):
+            index, out = _index(*sent.value, rate, bits, tables), np.ones(len(column), bool)
+            for i, _, h, first, *_ in K.word_hashes(column, fold=True):
+                for row, *_ in index.search(h, first):
+                    out[i + row] = False
+            return out
+
+        df = filter_rows(df, text_col, kept)
+    return df

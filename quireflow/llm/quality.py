@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .common import batch, id_text, text_of
+from .common import batch, filter_rows, id_text, text_of
 from .linear import Rows, minimise, sigmoid
 
 BITS = 14
@@ -122,8 +122,8 @@ def _fit(x: Rows, y: np.ndarray, grades: tuple[int, ...], steps: int, ridge: flo
 def fit(df: DataFrame, ratings: DataFrame, id_col: str = "doc_id", text_col: str = "text", rating_id: str = "doc_id", grade_col: str = "quality", sample: int = SAMPLE, steps: int = STEPS, ridge: float = RIDGE) -> Model:
     """Fits on at most ``sample`` rated documents.
 
-    Null ids, grades and texts don't count. Of several ratings of an id the least counts; of several rows of an id each does. Fewer
-    than two grades raise ValueError, for there is nothing to learn.
+    Null ids, grades and texts don't count. Of several ratings of an id the least counts; of several rows of an id each does. With fewer
+    than two grades there is nothing to learn: every text that has a word then gets the only grade (1, if there is none) and is kept.
     """
     rated = ratings.select(F.col(rating_id).cast("long").alias("id"), F.col(grade_col).cast("int").alias("grade")).where("id is not null and grade is not null")
     chosen = rated.groupBy("id").agg(F.min("grade").alias("grade")).orderBy(F.xxhash64("id"), "id").limit(sample)
@@ -142,7 +142,8 @@ def fit(df: DataFrame, ratings: DataFrame, id_col: str = "doc_id", text_col: str
     rows.sort(key=lambda r: (r.id, r.bucket, r.value))
     grades = tuple(sorted({r.grade for r in rows}))
     if len(grades) < 2:
-        raise ValueError("the ratings that meet a document have fewer than two grades")
+        only = grades[0] if grades else 1
+        return Model((only - 1, only), np.zeros(WIDTH), np.array([-30.0]))
     x = Rows.of([(np.frombuffer(r.bucket, "<u2"), np.frombuffer(r.value, "<f4")) for r in rows], WIDTH)
     return _fit(x, np.array([grades.index(r.grade) for r in rows]), grades, steps, ridge)
 
@@ -167,3 +168,19 @@ def score(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "
                 yield batch(schema, x.column("id").slice(i, j - i), grades[0] + p @ np.diff(grades), p[:, tail], p[:, tail] >= keep)
 
     return text_of(df, id_col, text_col).mapInArrow(scored, "id long, expected_grade double, p_tail double, keep boolean")
+
+
+def drop_low(df: DataFrame, model: Model, text_col: str = "text", at_least: int | None = None, keep: float = KEEP) -> DataFrame:
+    """The rows of ``df`` that ``score`` keeps, with all their columns."""
+    tail = model.grades.index(at_least) - 1 if at_least is not None else 0
+    if tail < 0:
+        raise ValueError("at_least must be a grade above the least")
+
+    def kept(column):
+        out = [np.zeros(0, bool)]
+        for i, j, row, bucket, value in features(column):
+            some = np.bincount(row, minlength=j - i) > 0
+            out.append(some & (model.tails(np.bincount(row, value * model.weights[bucket], j - i))[:, tail] >= keep))
+        return np.concatenate(out)
+
+    return filter_rows(df, text_col, kept)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontam, langid, quality, simhash, suffix
+from . import caps, chat, decontam, langid, mixing, quality, sharding, simhash, suffix, toxicity
 from .common import table
 
 
@@ -36,6 +36,24 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels"))).withColumnRenamed("id", "doc_id")
 
 
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    chain = toxicity.fit(docs, table(spark, sf_dir, "labels"), {"toxicity": "toxic"}, severe="severe")
+    return toxicity.score(docs, chain).withColumnRenamed("id", "doc_id")
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return caps.group_near_vectors(table(spark, sf_dir, "embeddings")).selectExpr("id AS vec_id", "`group` AS group_id", "keep")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_suffix_array_dedup": op2_suffix_array_dedup,
@@ -43,6 +61,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op5_chat_formatting": op5_chat_formatting,
     "op6_quality_classifier": op6_quality_classifier,
+    "op7_sharding": op7_sharding,
+    "op8_toxicity": op8_toxicity,
+    "op9_mixing": op9_mixing,
+    "op10_embedding_near_dedup": op10_embedding_near_dedup,
 }
 
 _OP2 = r"""

@@ -206,4 +206,4 @@ def group_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str =
 def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **radii) -> DataFrame:
     """The rows of ``df`` but for those whose document isn't the kept one of its group. Rows with a null id stay."""
     dropped = group_near_duplicates(df, id_col, text_col, **radii).where("not keep").select(F.col("id").alias(id_col))
-    return df.join(dropped.select(F.col(id_col).cast(df.schema[id_col].dataType)), id_col, "left_anti")
+    return df.join(dropped.select(F.col(id_col).cast(df.schema[id_col].dataType)).hint("shuffle_hash"), id_col, "left_anti")  # ids are hashed; texts are shuffled once and not sorted
