@@ -1,8 +1,57 @@
-"""The corpus pipeline."""
+"""The corpus pipeline: documents to sharded training data.
 
-STAGES: list = []
+Each stage takes (spark, docs, sf_dir) and works on all rows its predecessor kept; all but the last return the columns of documents.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from quireflow.llm import decontam, mixing, quality, sharding, simhash
+from quireflow.llm.common import scratch, table
+from quireflow.session import ship
+
+
+def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops the documents that the ordinal classifier, fitted on the rated ones, rejects."""
+    ship(spark)
+    return quality.drop_low(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of each group of near duplicates."""
+    ship(spark)
+    return simhash.drop_near_duplicates(docs)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops the documents that hold a passage of the benchmark."""
+    ship(spark)
+    return decontam.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Selects and repeats documents so that sources meet their target weights."""
+    return mixing.mixed_rows(docs)
+
+
+def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Writes the shards and reports where each row lies."""
+    ship(spark)
+    return sharding.assign(docs).withColumnRenamed("id", "doc_id")
+
+
+STAGES = [("quality", quality_filter), ("near_dedup", near_dedup), ("decontaminate", decontaminate), ("mix", mix_sources), ("shard", shard)]
+
+#: No SQL can express the fitted classifier, SimHash groups, the flow or the shards; tests/llm hold them against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over documents; each is written to the shared folder and read again."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        out = scratch(spark, f"pipeline-{name}")
+        stage(ship(spark), docs, sf_dir).write.parquet(out)
+        docs = spark.read.parquet(out)
+    return STAGES[-1][1](spark, docs, sf_dir)
