@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType
 
 
 def softmax(logits: Column) -> Column:
@@ -66,7 +67,7 @@ def match_lengths(ids: list[int], window: int = 512, most: int = 50) -> dict[int
     return out
 
 
-@F.pandas_udf("int")
+@F.pandas_udf(IntegerType())
 def longest_repeat(ids: pd.Series) -> pd.Series:
     return ids.map(lambda x: max(match_lengths(x).values(), default=0) if x is not None else 0).astype("int32")
 

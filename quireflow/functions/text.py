@@ -8,6 +8,7 @@ import re
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType
 
 #: Tsheg, shads and white space part tokens.
 TOKEN_BREAKS = "[་༌།༎༑\\s]+"
@@ -71,7 +72,7 @@ def reorder_marks(text: str) -> str:
     return "".join(out + (sorted(cluster[1:], key=_rank) if cluster[:1] and not _rank(cluster[0]) else sorted(cluster, key=_rank)))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def reordered(s: pd.Series) -> pd.Series:
     return s.map(lambda t: None if t is None else reorder_marks(t) if re.search("[ཱ-ྼ]", t) else t)
 
@@ -144,7 +145,7 @@ def diff_spans(a: str, b: str) -> list[tuple[str, int, int, int, int]]:
     return [op for op in difflib.SequenceMatcher(None, a, b, autojunk=False).get_opcodes() if op[0] != "equal"]
 
 
-@F.pandas_udf("long")
+@F.pandas_udf(LongType())
 def differing_chars(a: pd.Series, b: pd.Series) -> pd.Series:
     """Characters in unequal spans, the longer side of each."""
     return pd.Series([sum(max(i2 - i1, j2 - j1) for _, i1, i2, j1, j2 in diff_spans(x or "", y or "")) for x, y in zip(a, b)])

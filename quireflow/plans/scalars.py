@@ -1,0 +1,405 @@
+"""Text, sequence, geometry and identity queries."""
+
+from __future__ import annotations
+
+import pandas as pd
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, StructType
+
+from ..functions import geometry as G
+from ..functions import sequences as N
+from ..functions import text as T
+from ..operators.pages import per_page
+from .registry import query
+
+
+def values(e, rows: list[tuple], schema: str) -> DataFrame:
+    return e.spark.createDataFrame(rows, schema)
+
+
+# --- sources and identity
+
+@query("s01_manifest_filter", "SELECT page_id, name FROM (SELECT page_id, CASE page_id % 4 WHEN 0 THEN 'p.JPG' WHEN 1 THEN 'd/p.jpg' WHEN 2 THEN 'noext' ELSE file END AS name FROM page_output) WHERE regexp_full_match(lower(name), '[^/]*[.](jpg|jpeg|png|tif|tiff)')")
+def manifest_filter(e) -> DataFrame:
+    name = F.when(F.col("page_id") % 4 == 0, "p.JPG").when(F.col("page_id") % 4 == 1, "d/p.jpg").when(F.col("page_id") % 4 == 2, "noext").otherwise(F.col("file"))
+    return e.page_output.select("page_id", name.alias("name")).where(F.lower("name").rlike(r"^[^/]*\.(jpg|jpeg|png|tif|tiff)$"))
+
+
+@query("s03_source_routing", "SELECT volume_id, s AS source, CASE WHEN s = 'bdrc' THEN w_id ELSE s || ':' || w_id END AS db_w_id FROM (SELECT volume_id, w_id, coalesce(lower(trim(CASE volume_id % 3 WHEN 0 THEN ' BDRC ' WHEN 1 THEN 'ocr_benchmark' END)), 'bdrc') AS s FROM volumes)")
+def source_routing(e) -> DataFrame:
+    from ..sources.lists import routed
+
+    raw = F.when(F.col("volume_id") % 3 == 0, " BDRC ").when(F.col("volume_id") % 3 == 1, "ocr_benchmark")
+    return routed(e.volumes.withColumn("source", raw).withColumn("i_version", F.lit("v1"))).select("volume_id", "source", "db_w_id")
+
+
+@query("s05_message_parse", """SELECT message_id, coalesce(CASE WHEN message_id % 3 = 0 THEN 'attr' END, json_extract_string(body, '$.k'), 'none') AS w FROM messages""")
+def message_parse(e) -> DataFrame:
+    return e.messages.select("message_id", F.coalesce(F.when(F.col("message_id") % 3 == 0, "attr"), F.get_json_object("body", "$.k"), F.lit("none")).alias("w"))
+
+
+@query("s17_label_lines", """WITH t AS (SELECT page_id, idx, cls || ' ' || x || ' ' || y || ' ' || CASE WHEN idx % 5 = 0 THEN 'bad' ELSE CAST(w AS VARCHAR) END || ' ' || h AS line FROM boxes)
+    SELECT page_id, idx, CAST(split_part(line, ' ', 1) AS INTEGER) AS cls, TRY_CAST(split_part(line, ' ', 4) AS DOUBLE) AS w FROM t WHERE TRY_CAST(split_part(line, ' ', 4) AS DOUBLE) > 0""")
+def label_lines(e) -> DataFrame:
+    from ..sources.lists import parsed_labels
+
+    w = F.when(F.col("idx") % 5 == 0, "bad").otherwise(F.col("w").cast("string"))
+    lines = e.boxes.select("page_id", "idx", F.concat_ws(" ", F.col("cls").cast("string"), F.col("x").cast("string"), F.col("y").cast("string"), w, F.col("h").cast("string")).alias("value"))
+    return parsed_labels(lines).select("page_id", "idx", "cls", "w")
+
+
+@query("s19_first_response_by_uri", "SELECT url, min(page_id) AS page_id FROM pages GROUP BY url")
+def first_response(e) -> DataFrame:
+    return e.pages.groupBy("url").agg(F.min("page_id").alias("page_id"))
+
+
+@query("t14_uri_parts", r"SELECT page_id, regexp_extract(url, '^([a-z0-9]+)://', 1) AS scheme, regexp_extract(url, '^[a-z0-9]+://([^/]+)', 1) AS bucket, regexp_extract(url, '^[a-z0-9]+://[^/]+/([^?#]*)', 1) AS key FROM pages")
+def uri_parts(e) -> DataFrame:
+    part = lambda p: F.regexp_extract("url", p, 1)
+    return e.pages.select("page_id", part("^([a-z0-9]+)://").alias("scheme"), part("^[a-z0-9]+://([^/]+)").alias("bucket"), part("^[a-z0-9]+://[^/]+/([^?#]*)").alias("key"))
+
+
+@query("t15_artifact_names", r"SELECT volume_id, regexp_extract(n, '^(W[^-]+)-', 1) AS w, regexp_extract(n, '^W[^-]+-(I[^-]+)-', 1) AS i, regexp_extract(n, '-([0-9a-f]{6})[.]parquet$', 1) AS version FROM (SELECT volume_id, w_id || '-' || i_id || '-' || substr(last_etag, 1, 6) || '.parquet' AS n FROM volumes)")
+def artifact_names(e) -> DataFrame:
+    n = F.concat("w_id", F.lit("-"), "i_id", F.lit("-"), F.substring("last_etag", 1, 6), F.lit(".parquet"))
+    part = lambda k: F.regexp_extract("n", r"^(W[^-]+)-(I[^-]+)-([0-9a-f]{6})\.parquet$", k)
+    return e.volumes.select("volume_id", n.alias("n")).select("volume_id", part(1).alias("w"), part(2).alias("i"), part(3).alias("version"))
+
+
+@query("t16_d01_etag_bytes", "SELECT volume_id, CASE WHEN volume_id % 4 <> 3 THEN last_etag END AS hex, CASE WHEN volume_id % 4 <> 3 THEN 16 END AS size FROM volumes")
+def etags(e) -> DataFrame:
+    v = F.col("volume_id") % 4
+    raw = F.when(v == 0, F.concat(F.lit('"'), "last_etag", F.lit('-3"'))).when(v == 1, F.upper("last_etag")).when(v == 2, F.col("last_etag")).otherwise(F.substring("last_etag", 1, 20))
+    return e.volumes.select("volume_id", T.etag_bytes(raw).alias("b")).select("volume_id", F.lower(F.hex("b")).alias("hex"), F.octet_length("b").alias("size"))
+
+
+@query("t17_d04_folder_prefix", "SELECT volume_id, 'Works/' || substr(md5(w_id), 1, 2) || '/' || w_id || '/images/' || w_id || '-' || CASE WHEN volume_id % 2 = 0 THEN lpad(CAST(volume_id % 10000 AS VARCHAR), 4, '0') ELSE i_id END || '/' AS prefix FROM volumes")
+def prefixes(e) -> DataFrame:
+    i = F.when(F.col("volume_id") % 2 == 0, F.concat(F.lit("I"), F.lpad((F.col("volume_id") % 10000).cast("string"), 4, "0"))).otherwise(F.col("i_id"))
+    return e.volumes.select("volume_id", T.folder_prefix(F.col("w_id"), i).alias("prefix"))
+
+
+@query("t18_s04_volume_arguments", "SELECT w_id, i_id, coalesce(source, 'bdrc') AS source, version FROM (VALUES ('W22084', 'I0886', NULL, NULL), ('W22084', 'I0887', NULL, NULL), ('W12345', 'I0123', 'ocr_benchmark', '202603')) t(w_id, i_id, source, version)")
+def volume_arguments(e) -> DataFrame:
+    from ..sources.lists import parsed_volumes
+
+    lines = ["W22084,I0886", "W22084 I0887", "", "# comment", "alone", "W12345,I0123,OCR_benchmark,202603", "a,b,c,d,e"]
+    return parsed_volumes(values(e, [(x,) for x in lines], "value string"))
+
+
+@query("t19_safe_ids", "SELECT page_id, CASE WHEN page_id % 5 = 0 THEN 'page' ELSE substr(regexp_replace(url, '[^A-Za-z0-9._-]', '_', 'g'), 1, 200) END AS id FROM pages")
+def safe_ids(e) -> DataFrame:
+    return e.pages.select("page_id", T.safe_id(F.when(F.col("page_id") % 5 != 0, F.col("url"))).alias("id"))
+
+
+@query("d05_d06_json_fallback", """SELECT message_id, coalesce(TRY_CAST(json_extract_string(CASE WHEN message_id % 7 = 0 THEN '{}' ELSE body END, '$.k') AS BIGINT), -1) AS k, CASE WHEN value > 20 THEN '{"k":1,"v":2}' ELSE '{"k":1}' END AS payload FROM messages""")
+def json_fallback(e) -> DataFrame:
+    body = F.when(F.col("message_id") % 7 == 0, "{not json").otherwise(F.col("body"))
+    k = F.coalesce(F.from_json(body, "k long")["k"], F.lit(-1).cast("long"))
+    return e.messages.select("message_id", k.alias("k"), F.to_json(F.struct(F.lit(1).alias("k"), F.when(F.col("value") > 20, F.lit(2)).alias("v"))).alias("payload"))
+
+
+@query("d02_d07_d08_times", "SELECT id, CAST(date_diff('second', started_at, done_at) AS BIGINT) AS seconds, strftime(started_at, '%Y-%m-%d') AS day FROM tasks WHERE done_at IS NOT NULL")
+def times(e) -> DataFrame:
+    return e.tasks.where("done_at is not null").select("id", F.expr("cast(timestampdiff(SECOND, started_at, done_at) as bigint)").alias("seconds"), F.date_format("started_at", "yyyy-MM-dd").alias("day"))
+
+
+# --- text
+
+_TOK = r"list_filter(string_split_regex({c}, '[ \t\n]+'), lambda x: x <> '')"
+
+
+@query("t06_t07_repetition_score", f"WITH t AS (SELECT page_id, {_TOK.format(c='page_text')} AS w FROM page_output), g AS (SELECT page_id, len(w) AS n, CASE WHEN len(w) < 20 THEN [] ELSE list_transform(range(1, len(w) - 18), lambda i: array_to_string(w[i : i + 19], chr(31))) END AS runs FROM t) SELECT page_id, n, CASE WHEN n < 20 THEN 0.0 ELSE round(1 - len(list_distinct(runs)) / len(runs), 6) END AS score FROM g")
+def repetition(e) -> DataFrame:
+    toks = F.filter(F.split("page_text", "[ \t\n]+"), lambda t: t != "")
+    return e.page_output.select("page_id", toks.alias("w")).select("page_id", F.size("w").cast("long").alias("n"), F.round(T.repetition_score(F.col("w")), 6).alias("score"))
+
+
+@query("t08_edit_distance", "WITH t AS (SELECT item_id, regexp_replace(text, '[^ -~]', '', 'g') AS text FROM benchmark) SELECT a.item_id, levenshtein(a.text, b.text) AS d FROM t a JOIN t b ON b.item_id = a.item_id + 1")
+def edit_distance(e) -> DataFrame:
+    t = e.benchmark.select("item_id", F.regexp_replace("text", "[^ -~]", "").alias("text"))  # ASCII alone: engines differ in what a character is
+    nxt = t.select((F.col("item_id") - 1).alias("item_id"), F.col("text").alias("other"))
+    return t.join(nxt, "item_id").select("item_id", F.levenshtein("text", "other").cast("long").alias("d"))
+
+
+@query("t09_differing_chars")
+def differing(e) -> DataFrame:
+    return e.benchmark.select("item_id", T.differing_chars("text", F.replace("text", F.lit("th"), F.lit("h"))).alias("d"))
+
+
+@query("t10_syllables", r"SELECT item_id, len(p) AS n, list_aggregate(list_transform(p, lambda x: length(x)), 'max') AS longest FROM (SELECT item_id, regexp_extract_all(text, '[^ ,.]+[ ,.]*') AS p FROM benchmark)")
+def syllable_pieces(e) -> DataFrame:
+    return e.benchmark.select("item_id", T.syllables(F.col("text"), " ,.").alias("p")).select("item_id", F.size("p").cast("long").alias("n"), F.array_max(F.transform("p", lambda x: F.length(x))).cast("long").alias("longest"))
+
+
+@query("t11_t12_script_lines", "SELECT page_id, len(list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[ༀ-࿿]'))) AS n FROM (SELECT page_id, page_text || CASE WHEN page_id % 2 = 0 THEN chr(10) || 'བོད' ELSE '' END AS t FROM page_output)")
+def script_lines(e) -> DataFrame:
+    t = F.concat("page_text", F.when(F.col("page_id") % 2 == 0, "\nབོད").otherwise(""))
+    return e.page_output.select("page_id", T.script_lines(t).cast("long").alias("n"))
+
+
+@query("t13_lines_of_generations", "SELECT page_id, CAST(u.n - 1 AS BIGINT) AS line, u.t AS text FROM (SELECT page_id, unnest(string_split(page_text, chr(10))) AS t, generate_subscripts(string_split(page_text, chr(10)), 1) AS n FROM page_output) u")
+def generations(e) -> DataFrame:
+    lines = F.when(F.col("page_id") % 3 == 0, F.split("page_text", "\n"))
+    newer = e.page_output.select("page_id", lines.alias("line_texts"), F.when(F.col("page_id") % 3 == 1, F.col("page_text")).alias("page_text"), F.when(F.col("page_id") % 3 == 2, F.split("page_text", "\n")).alias("texts"))
+    return newer.select("page_id", F.posexplode(F.coalesce("line_texts", F.split("page_text", "\n"), "texts")).alias("line", "text")).select("page_id", F.col("line").cast("long").alias("line"), "text")
+
+
+@query("t01_replacements", "SELECT page_id, replace(replace(replace(page_text, 'th', 'ht'), 'ht ', 'h '), 'q', 'k') AS t FROM page_output")
+def replacements(e) -> DataFrame:
+    return e.page_output.select("page_id", T.replaced(F.col("page_text"), [("th", "ht"), ("ht ", "h "), ("q", "k")]).alias("t"))
+
+
+@query("t02_t04_fold_and_repair", r"SELECT page_id, regexp_replace(regexp_replace(replace(replace(page_text, '།།', '༎'), '༌', '་'), '([^ང])་([།༎])', '\1\2', 'g'), 'ང([།༎])', 'ང་\1', 'g') AS t FROM (SELECT page_id, 'ཀ༌ང།།' || page_text || 'ག་། ང་།' AS page_text FROM page_output)")
+def fold(e) -> DataFrame:
+    return e.page_output.select("page_id", T.repair_start(T.graphical_fold(F.concat(F.lit("ཀ༌ང།།"), "page_text", F.lit("ག་། ང་།")))).alias("t"))
+
+
+@query("t03_t05_canonical_text")
+def canonical(e) -> DataFrame:
+    return e.page_output.select("page_id", T.canonical(F.concat(F.lit("སོྐཱ"), "page_text")).alias("t"))
+
+
+@query("t20_layout_tags", "SELECT page_id, CASE WHEN count(*) FILTER (cls = 2) > 2 THEN 'notes' WHEN count(*) FILTER (cls = 1) > 2 THEN 'columns' WHEN count(*) > 5 THEN 'busy' ELSE 'plain' END AS tag, count(*) * 2 + count(*) FILTER (cls = 0) AS score FROM boxes GROUP BY page_id")
+def layout_tags(e) -> DataFrame:
+    n = lambda k: F.count(F.when(F.col("cls") == k, 1))
+    g = e.boxes.groupBy("page_id").agg(F.count("*").alias("n"), n(0).alias("c0"), n(1).alias("c1"), n(2).alias("c2"))
+    return g.select("page_id", F.when(F.col("c2") > 2, "notes").when(F.col("c1") > 2, "columns").when(F.col("n") > 5, "busy").otherwise("plain").alias("tag"), (F.col("n") * 2 + F.col("c0")).alias("score"))
+
+
+# --- sequences
+
+_V = "SELECT step_id, line_id, list_transform(logits, lambda x: CAST(x AS DOUBLE)) AS v FROM vectors"
+
+
+@query("n01_entropy", f"WITH s AS (SELECT step_id, list_transform(v, lambda x: exp(x - list_max(v))) AS ex FROM ({_V})), p AS (SELECT step_id, list_transform(ex, lambda x: x / list_sum(ex)) AS p FROM s) SELECT step_id, round(-list_sum(list_transform(p, lambda x: x * ln(x))), 5) AS entropy FROM p")
+def entropy(e) -> DataFrame:
+    return e.vectors.select("step_id", F.round(N.entropy(F.transform("logits", lambda x: x.cast("double"))), 5).alias("entropy"))
+
+
+@query("n02_run_metrics", "SELECT message_id, round(greatest(0, value - 5), 4) AS prefill, round(value / nullif(message_id % 4, 0), 4) AS per_token FROM messages")
+def run_metrics(e) -> DataFrame:
+    return e.messages.select("message_id", F.round(F.greatest(F.lit(0.0), F.col("value") - 5), 4).alias("prefill"), F.round(F.try_divide("value", F.col("message_id") % 4), 4).alias("per_token"))
+
+
+@query("n03_log_softmax", f"WITH s AS (SELECT step_id, v, list_max(v) AS m FROM ({_V})), z AS (SELECT step_id, v, m, ln(list_sum(list_transform(v, lambda x: exp(x - m)))) AS l FROM s) SELECT step_id, round(v[1] - m - l, 5) AS first_logp, round(-l, 5) AS best_logp FROM z")
+def log_softmax(e) -> DataFrame:
+    return e.vectors.select("step_id", N.log_softmax(F.transform("logits", lambda x: x.cast("double"))).alias("p")).select("step_id", F.round(F.col("p")[0], 5).alias("first_logp"), F.round(F.array_max("p"), 5).alias("best_logp"))
+
+
+@query("n04_vocabulary_pruning", f"WITH t AS (SELECT line_id, unnest(v) AS x, generate_subscripts(v, 1) - 1 AS token FROM ({_V})) SELECT line_id, CAST(token AS INTEGER) AS token FROM t GROUP BY line_id, token HAVING max(x) > 0.35 OR token = 0")
+def pruning(e) -> DataFrame:
+    t = e.vectors.select("line_id", F.posexplode(F.transform("logits", lambda x: x.cast("double"))).alias("token", "x"))
+    return t.groupBy("line_id", "token").agg(F.max("x").alias("m")).where("m > 0.35 or token = 0").select("line_id", "token")
+
+
+_ARG = "list_position(logits, list_max(logits)) - 1"
+
+
+@query("n05_n06_greedy_decode", f"""WITH a AS (SELECT line_id, step_id, {_ARG} AS best, CAST(list_max(logits) AS DOUBLE) AS s, lag({_ARG}) OVER (PARTITION BY line_id ORDER BY step_id) AS before FROM vectors)
+    SELECT line_id, count(*) FILTER (best <> 0 AND before IS DISTINCT FROM best) AS emitted, string_agg(CAST(best AS VARCHAR), ' ' ORDER BY step_id) FILTER (best <> 0 AND before IS DISTINCT FROM best) AS path, round(avg(s) FILTER (best <> 0 AND before IS DISTINCT FROM best), 5) AS confidence FROM a GROUP BY line_id""")
+def greedy(e) -> DataFrame:
+    steps = e.vectors.select("line_id", F.struct("step_id", N.argmax(F.col("logits")).alias("b"), F.array_max("logits").cast("double").alias("s")).alias("t"))
+    g = steps.groupBy("line_id").agg(F.array_sort(F.collect_list("t")).alias("ts")).select("line_id", F.col("ts.b").alias("b"), F.col("ts.s").alias("s"))
+    path = N.greedy_path(F.col("b"))
+    return g.select("line_id", F.size(path).cast("long").alias("emitted"), F.array_join(path, " ").alias("path"), F.round(N.greedy_confidence(F.col("b"), F.col("s")), 5).alias("confidence"))
+
+
+@query("n07_f19_beam_or_greedy")
+def beam(e) -> DataFrame:
+    """Greedy where its mean score is high enough, else a beam search, one task a line."""
+    import numpy as np
+
+    def decode(pdf: pd.DataFrame) -> pd.DataFrame:
+        x = np.stack(pdf.sort_values("step_id").logits.to_numpy()).astype(float)[:, :16]
+        p = x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+        best = p.argmax(axis=1)
+        emits = [k for k in range(len(best)) if best[k] and (not k or best[k - 1] != best[k])]
+        score = float(p.max(axis=1)[emits].mean()) if emits else float("-inf")
+        path, how = ([int(best[k]) for k in emits], "greedy") if score >= -0.5 else (N.beam_search(p, width=4)[0], "beam")
+        return pd.DataFrame([(int(pdf.line_id.iloc[0]), how, len(path))], columns=["line_id", "how", "n"])
+
+    lines = e.vectors.where("step_id < 200").withColumn("line_id", (F.col("step_id") / 20).cast("int"))
+    return lines.groupBy("line_id").applyInPandas(decode, "line_id int, how string, n int")
+
+
+@query("n08_n10_segment_confidence", "WITH m AS (SELECT line_id, CAST(list_max(logits) AS DOUBLE) AS s, row_number() OVER (PARTITION BY line_id ORDER BY step_id) - 1 AS t FROM vectors) SELECT line_id, CAST(t // 10 AS BIGINT) AS segment, round(avg(s), 5) AS confidence FROM m GROUP BY 1, 2")
+def segments(e) -> DataFrame:
+    t = F.row_number().over(Window.partitionBy("line_id").orderBy("step_id")) - 1
+    m = e.vectors.select("line_id", F.array_max("logits").cast("double").alias("s"), t.alias("t"))
+    return m.groupBy("line_id", F.expr("cast(t div 10 as bigint)").alias("segment")).agg(F.round(F.avg("s"), 5).alias("confidence"))
+
+
+@query("n09_frame_allocation", "WITH u AS (SELECT page_id, unit, length(text) AS n, sum(length(text)) OVER (PARTITION BY page_id) AS total FROM units) SELECT page_id, unit, CAST(greatest(1, trunc(n * 100.0 / nullif(total, 0))) AS INTEGER) AS frames FROM u")
+def frames(e) -> DataFrame:
+    total = F.sum(F.length("text")).over(Window.partitionBy("page_id"))
+    share = F.try_divide(F.length("text") * F.lit(100.0), total)
+    return e.units.select("page_id", "unit", F.greatest(F.lit(1), share.cast("int")).alias("frames"))
+
+
+@query("n11_repeat_matching")
+def repeats(e) -> DataFrame:
+    ids = F.transform(F.filter(F.split("page_text", r"\s+"), lambda t: t != ""), lambda t: F.pmod(F.hash(t), F.lit(50)))
+    return e.page_output.select("page_id", N.longest_repeat(ids).alias("longest"))
+
+
+@query("n12_repetition_penalty", "SELECT page_id, count(*) FILTER (w >= 12) AS fires, round(sum(CASE WHEN w >= 12 THEN -0.8 * pow(1.05, least(w, 60) - 12) ELSE 0 END), 4) AS total FROM boxes GROUP BY page_id")
+def penalty(e) -> DataFrame:
+    p = N.repetition_penalty(F.when(F.col("w") < 12, F.col("w")).otherwise(F.least("w", F.lit(60))), 12, 0.8, 1.05)
+    return e.boxes.groupBy("page_id").agg(F.count(F.when(F.col("w") >= 12, 1)).alias("fires"), F.round(F.sum(p), 4).alias("total"))
+
+
+@query("n13_argmax_label", f"SELECT step_id, 'c' || ({_ARG}) AS label, round(CAST(list_max(logits) AS DOUBLE), 5) AS prob FROM vectors")
+def argmax_label(e) -> DataFrame:
+    return e.vectors.select("step_id", F.concat(F.lit("c"), N.argmax(F.col("logits")).cast("string")).alias("label"), F.round(F.array_max("logits").cast("double"), 5).alias("prob"))
+
+
+@query("n14_resolution_router", "SELECT page_id, idx, CASE WHEN h * 0.6 * f >= 24 THEN 0.6 WHEN h * 0.75 * f >= 24 THEN 0.75 ELSE 1.0 END AS scale FROM (SELECT page_id, idx, h, least(1.0, sqrt(50000.0 / (w * 1000.0))) AS f FROM boxes)")
+def router(e) -> DataFrame:
+    return e.boxes.select("page_id", "idx", N.fitted_scale(F.col("h"), F.col("w") * 1000.0, F.lit(50000.0)).alias("scale"))
+
+
+@query("n15_n17_sizes_and_tiles", """SELECT page_id, idx, CAST(greatest(round_even(w * f, 0), 28) AS INTEGER) AS w, CAST(greatest(round_even(h * f, 0), 28) AS INTEGER) AS h, CAST((64 - w % 64) % 64 AS INTEGER) AS pad_w, CAST((64 - h % 64) % 64 AS INTEGER) AS pad_h, CAST(ceil(w / 64.0) * ceil(h / 64.0) AS BIGINT) AS tiles
+    FROM (SELECT page_id, idx, w, h, least(1.0, sqrt(4000.0 / (w * h))) AS f FROM boxes)""")
+def sizes(e) -> DataFrame:
+    s = e.boxes.select("page_id", "idx", N.fitted_size(F.col("w"), F.col("h"), 4000.0).alias("s"), N.tile_counts(F.col("w"), F.col("h"), 64).alias("t"))
+    return s.select("page_id", "idx", "s.w", "s.h", F.col("t.pad_w").cast("int").alias("pad_w"), F.col("t.pad_h").cast("int").alias("pad_h"), "t.tiles")
+
+
+@query("n16_patch_downscale", "SELECT page_id, idx, CAST(CASE WHEN h <= 78 THEN h WHEN w > 2.5 * h THEN greatest(39, h // 2) WHEN h / 100.0 > 0.75 THEN least(h, 100) ELSE 78 END AS INTEGER) AS height FROM boxes")
+def downscale(e) -> DataFrame:
+    w, h = F.col("w"), F.col("h")
+    return e.boxes.select("page_id", "idx", F.when(h <= 78, h).when(w > 2.5 * h, F.greatest(F.lit(39), F.expr("h div 2"))).when(h / 100.0 > 0.75, F.least(h, F.lit(100))).otherwise(78).cast("int").alias("height"))
+
+
+@query("n19_quota_pause", "SELECT k, round(least(60 * pow(1.5, k - 1), 900), 4) AS pause FROM range(1, 15) t(k)")
+def pause(e) -> DataFrame:
+    return e.spark.range(1, 15).select(F.col("id").alias("k"), F.round(N.quota_pause(F.col("id")), 4).alias("pause"))
+
+
+@query("x03_lease_schedule", "SELECT total, t AS second, greatest(1, least(300, total - t)) AS granted FROM (VALUES (330), (100), (60)) v(total), range(60, 1000, 60) r(t) WHERE t < total")
+def leases(e) -> DataFrame:
+    totals = values(e, [(330,), (100,), (60,)], "total long")
+    second = F.explode(F.sequence(F.lit(60), F.greatest(F.col("total") - 1, F.lit(60)), F.lit(60)))
+    return totals.withColumn("second", second).where("second < total").select("total", "second", F.greatest(F.lit(1), F.least(F.lit(300), F.col("total") - F.col("second"))).alias("granted"))
+
+
+# --- geometry
+
+_XY = "x + w AS x2, y + h AS y2"
+
+
+@query("g01_g05_pixel_boxes", """SELECT page_id, idx, x1, y1, x2, y2 FROM (SELECT page_id, idx, cls, w, CAST(greatest(floor((x / 800.0 - w / 1600.0) * 800) - 2, 0) AS INTEGER) AS x1, CAST(greatest(floor((y / 1000.0 - h / 2000.0) * 1000) - 2, 0) AS INTEGER) AS y1,
+    CAST(least(ceil((x / 800.0 + w / 1600.0) * 800) + 2, 800) AS INTEGER) AS x2, CAST(least(ceil((y / 1000.0 + h / 2000.0) * 1000) + 2, 1000) AS INTEGER) AS y2 FROM (SELECT page_id, idx, cls, CAST(x AS DOUBLE) AS x, CAST(y AS DOUBLE) AS y, CAST(w AS DOUBLE) AS w, CAST(h AS DOUBLE) AS h FROM boxes)) WHERE cls = 1 AND x2 > x1 AND y2 > y1""")
+def pixel_boxes(e) -> DataFrame:
+    d = lambda c, n: F.col(c).cast("double") / n
+    b = G.pixel_box(d("x", 800.0), d("y", 1000.0), d("w", 800.0), d("h", 1000.0), F.lit(800), F.lit(1000), 2)
+    return e.boxes.where("cls = 1").select("page_id", "idx", b.alias("b")).where("b is not null").select("page_id", "idx", "b.*")
+
+
+@query("g02_j16_overlapping_pairs", """SELECT a.page_id, a.idx AS i, b.idx AS j, round(CASE WHEN least(a.h, b.h) > 0 THEN greatest(0, least(a.y + a.h, b.y + b.h) - greatest(a.y, b.y)) / least(a.h, b.h) ELSE 0 END, 5) AS vertical FROM boxes a JOIN boxes b ON a.page_id = b.page_id AND a.idx < b.idx AND least(a.x + a.w, b.x + b.w) > greatest(a.x, b.x)""")
+def overlapping(e) -> DataFrame:
+    a, b = e.boxes.alias("a"), e.boxes.alias("b")
+    on = (F.col("a.page_id") == F.col("b.page_id")) & (F.col("a.idx") < F.col("b.idx")) & (F.least(F.expr("a.x + a.w"), F.expr("b.x + b.w")) > F.greatest("a.x", "b.x"))
+    return a.join(b, on).select("a.page_id", F.col("a.idx").alias("i"), F.col("b.idx").alias("j"), F.round(G.overlap_share(F.col("a.y"), F.expr("a.y + a.h"), F.col("b.y"), F.expr("b.y + b.h")).cast("double"), 5).alias("vertical"))
+
+
+@query("g03_g04_drop_contained", """SELECT page_id, idx FROM boxes a WHERE NOT EXISTS (SELECT 1 FROM boxes b WHERE b.page_id = a.page_id AND b.idx <> a.idx AND (b.w * b.h > a.w * a.h OR (b.w * b.h = a.w * a.h AND b.idx < a.idx))
+    AND greatest(0, least(a.x + a.w, b.x + b.w) - greatest(a.x, b.x)) * greatest(0, least(a.y + a.h, b.y + b.h) - greatest(a.y, b.y)) >= 0.95 * a.w * a.h)""")
+def drop_contained(e) -> DataFrame:
+    a, b = e.boxes.alias("a"), e.boxes.alias("b")
+    larger = F.expr("b.w * b.h > a.w * a.h or (b.w * b.h = a.w * a.h and b.idx < a.idx)")
+    sides = [F.expr(s) for s in ("a.x", "a.y", "a.x + a.w", "a.y + a.h", "b.x", "b.y", "b.x + b.w", "b.y + b.h")]
+    return a.join(b, (F.col("a.page_id") == F.col("b.page_id")) & (F.col("a.idx") != F.col("b.idx")) & larger & (G.covered_share(*sides) >= 0.95), "left_anti").select("page_id", "idx")
+
+
+_LINK = "a.page_id = b.page_id AND a.idx <> b.idx AND greatest(0, least(a.y + a.h, b.y + b.h) - greatest(a.y, b.y)) >= 0.6 * least(a.h, b.h) AND greatest(0, least(a.x + a.w, b.x + b.w) - greatest(a.x, b.x)) < 0.05 * least(a.w, b.w)"
+
+
+@query("g06_column_sets", f"""WITH RECURSIVE link AS (SELECT a.page_id, a.idx AS i, b.idx AS j FROM boxes a JOIN boxes b ON {_LINK}), reach AS (SELECT page_id, i, i AS r FROM link UNION SELECT reach.page_id, link.j, reach.r FROM reach JOIN link ON link.page_id = reach.page_id AND link.i = reach.i),
+    lab AS (SELECT page_id, i, min(r) AS root FROM reach GROUP BY page_id, i), size AS (SELECT page_id, root, count(*) AS n, sum(w * h) AS area FROM lab JOIN boxes USING (page_id) WHERE boxes.idx = lab.i GROUP BY page_id, root)
+    SELECT page_id, arg_max(n, area * 1000 - root) AS n, CAST(max(area) AS BIGINT) AS area FROM size GROUP BY page_id""")
+def column_sets(e) -> DataFrame:
+    def best(page, rows):
+        boxes = [(x, y, x + w, y + h) for _, x, y, w, h in rows]
+        own = G.columns_of(boxes)
+        return [(page, len(own), sum((boxes[k][2] - boxes[k][0]) * (boxes[k][3] - boxes[k][1]) for k in own))] if own else []
+
+    return per_page(e.boxes, "page_id", ["idx", "x", "y", "w", "h"], best, StructType().add("page_id", LongType()).add("n", LongType()).add("area", LongType()))
+
+
+@query("g07_projection_gaps", """WITH m AS (SELECT page_id, x, max(x + w) OVER (PARTITION BY page_id ORDER BY x, x + w, idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM boxes) SELECT page_id, reach AS gap_start, x AS gap_end FROM m WHERE x > reach""")
+def projection_gaps(e) -> DataFrame:
+    before = Window.partitionBy("page_id").orderBy("x", F.expr("x + w"), "idx").rowsBetween(Window.unboundedPreceding, -1)
+    return e.boxes.withColumn("reach", F.max(F.expr("x + w")).over(before)).where("x > reach").select("page_id", F.col("reach").alias("gap_start"), F.col("x").alias("gap_end"))
+
+
+@query("g08_g10_reading_order")
+def reading_order(e) -> DataFrame:
+    def order(page, rows):
+        boxes = [(x, y, x + w, y + h) for _, x, y, w, h in rows]
+        own = G.columns_of(boxes)
+        ks = own if own and len(own) == 2 == len(boxes) else G.xy_cut(boxes)
+        return [(page, place, rows[k][0]) for place, k in enumerate(ks)]
+
+    return per_page(e.boxes, "page_id", ["idx", "x", "y", "w", "h"], order, StructType().add("page_id", LongType()).add("place", IntegerType()).add("idx", IntegerType()))
+
+
+@query("g09_crop_margin", "SELECT page_id, idx, CAST(greatest(8, round_even(0.02 * least(w, h), 0), round_even(0.5 * h, 0)) AS INTEGER) AS margin FROM boxes")
+def crop_margin(e) -> DataFrame:
+    even = lambda c: F.bround(c, 0).cast("int")
+    return e.boxes.select("page_id", "idx", F.greatest(F.lit(8), even(0.02 * F.least("w", "h")), even(0.5 * F.col("h"))).alias("margin"))
+
+
+@query("g11_line_threshold", "SELECT o.o_orderkey AS page_id, coalesce(0.5 * median(h), 20.0) AS threshold FROM orders o LEFT JOIN boxes b ON b.page_id = o.o_orderkey GROUP BY 1")
+def line_threshold(e) -> DataFrame:
+    return e.orders.select(F.col("o_orderkey").alias("page_id")).join(e.boxes.select("page_id", "h"), "page_id", "left").groupBy("page_id").agg(F.coalesce(0.5 * F.median("h"), F.lit(20.0)).alias("threshold"))
+
+
+@query("g12_g13_anchored_lines", """WITH RECURSIVE s AS (SELECT page_id, y, x, idx, row_number() OVER (PARTITION BY page_id ORDER BY y, x, idx) AS k FROM boxes), f AS (SELECT page_id, idx, y AS anchor, 0 AS line, k FROM s WHERE k = 1 UNION ALL
+    SELECT s.page_id, s.idx, CASE WHEN s.y - f.anchor > 40 THEN s.y ELSE f.anchor END, CASE WHEN s.y - f.anchor > 40 THEN f.line + 1 ELSE f.line END, s.k FROM f JOIN s ON s.page_id = f.page_id AND s.k = f.k + 1) SELECT page_id, idx, line FROM f""")
+def anchored(e) -> DataFrame:
+    g = e.boxes.groupBy("page_id").agg(F.array_sort(F.collect_list(F.struct("y", "x", "idx"))).alias("bs"))
+    lines = G.anchored_lines(F.col("bs.y"), 40)
+    return g.select("page_id", F.explode(F.arrays_zip(F.col("bs.idx").alias("idx"), lines.alias("line"))).alias("z")).select("page_id", "z.*")
+
+
+@query("g14_merged_hulls")
+def hulls(e) -> DataFrame:
+    def merge(page, rows):
+        return [(page, len(G.hull([(a, b) for _, x, y, w, h in rows for a in (x, x + w) for b in (y, y + h)])))]
+
+    return per_page(e.boxes, "page_id", ["idx", "x", "y", "w", "h"], merge, StructType().add("page_id", LongType()).add("n", IntegerType()))
+
+
+@query("g15_contour_bounds", "SELECT page_id, min(x) AS x, min(y) AS y, max(x) - min(x) + 1 AS w, max(y) - min(y) + 1 AS h FROM boxes GROUP BY page_id")
+def contour_bounds(e) -> DataFrame:
+    g = e.boxes.groupBy("page_id").agg(F.collect_list(F.struct("x", "y")).alias("c"))
+    lo, hi = (lambda k: F.array_min(F.col(f"c.{k}"))), (lambda k: F.array_max(F.col(f"c.{k}")))
+    return g.select("page_id", lo("x").alias("x"), lo("y").alias("y"), (hi("x") - lo("x") + 1).alias("w"), (hi("y") - lo("y") + 1).alias("h"))
+
+
+@query("g16_g17_g22_scaled_rotated", "SELECT page_id, idx, CAST(round_even(x * 1.5, 0) AS INTEGER) AS x, round(x * cos(0.1) - y * sin(0.1), 4) AS rx, round(x * sin(0.1) + y * cos(0.1), 4) AS ry, CAST(greatest(-32768, least(32767, x * y)) AS SMALLINT) AS clamped FROM boxes")
+def scaled(e) -> DataFrame:
+    x, y, c, s = F.col("x"), F.col("y"), F.cos(F.lit(0.1)), F.sin(F.lit(0.1))
+    return e.boxes.select("page_id", "idx", F.bround(x * 1.5, 0).cast("int").alias("x"), F.round(x * c - y * s, 4).alias("rx"), F.round(x * s + y * c, 4).alias("ry"), G.clamp_short(x * y).alias("clamped"))
+
+
+@query("g18_skew", "SELECT page_id, idx, CASE WHEN a = -45 THEN 45.0 ELSE a END AS skew FROM (SELECT page_id, idx, CAST(((x % 360) + 45) % 90 - 45 AS DOUBLE) AS a FROM boxes)")
+def skewed(e) -> DataFrame:
+    return e.boxes.select("page_id", "idx", G.skew((F.col("x") % 360).cast("double")).alias("skew"))
+
+
+@query("g19_curved_lines", "WITH s AS (SELECT page_id, idx // 5 AS line, max(y) - min(y) AS spread, avg(h) AS thick, count(*) AS n FROM boxes GROUP BY 1, 2) SELECT page_id, CAST(line AS BIGINT) AS line, spread > thick AS curved FROM s WHERE n = 5")
+def curved(e) -> DataFrame:
+    s = e.boxes.groupBy("page_id", F.expr("cast(idx div 5 as bigint)").alias("line")).agg((F.max("y") - F.min("y")).alias("spread"), F.avg("h").alias("thick"), F.count("*").alias("n"))
+    return s.where("n = 5").select("page_id", "line", (F.col("spread") > F.col("thick")).alias("curved"))
+
+
+@query("g20_g21_control_points", "SELECT page_id, idx, y AS in_y, x AS in_x, y + h AS out_y, x + w AS out_x FROM boxes WHERE cls = 0 UNION ALL SELECT o_orderkey, -1 - k, (k // 2) * 1000, (k % 2) * 800, (k // 2) * 1000, (k % 2) * 800 FROM orders, range(4) r(k)")
+def control_points(e) -> DataFrame:
+    pts = e.boxes.where("cls = 0").select("page_id", "idx", F.col("y").alias("in_y"), F.col("x").alias("in_x"), F.expr("y + h").alias("out_y"), F.expr("x + w").alias("out_x"))
+    corner = e.orders.select(F.col("o_orderkey").alias("page_id"), F.explode(F.array(*[F.lit(k) for k in range(4)])).alias("k"))
+    at = corner.select("page_id", (-1 - F.col("k")).alias("idx"), F.expr("(k div 2) * 1000").alias("in_y"), F.expr("(k % 2) * 800").alias("in_x"))
+    return pts.unionByName(at.withColumn("out_y", F.col("in_y")).withColumn("out_x", F.col("in_x")))
