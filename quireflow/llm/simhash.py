@@ -1,14 +1,15 @@
 """SimHash near-duplicate groups with a covering family of bit masks.
 
-Each document has a 128-bit SimHash of its folded words, weighted by count to the power 0.7. Search
-runs on the first 64 bits with covering masks: a random map sends every bit position to a vector of
+Each document has a 64-bit SimHash of its folded words, weighted by count to the power 0.7, and one of 128 bits of its runs of three
+words. Search runs on the first with covering masks: a random map sends every bit position to a vector of
 F_2^(r+1); the mask of a non-zero vector v drops the positions whose vector is orthogonal to v. The vectors of r
 positions span at most r dimensions, so some v is orthogonal to them all: two codes that differ in at most r
 positions agree under one of the 2^(r+1)-1 masks, and every pair within the radius meets in some table. There
-are no false negatives. Pairs that meet are compared exactly on all 128 bits.
+are no false negatives. Pairs that meet are compared exactly on both codes: long texts of one language have like
+words in like numbers, but only copies have the same runs.
 
 Shuffle. Two masks share about a quarter of the positions, so a code is sent once per pair of masks, keyed
-by the shared bits, instead of once per mask. Codes travel as packed 17-byte records, once per distinct code.
+by the shared bits, instead of once per mask. Codes travel as packed 25-byte records, once per distinct code.
 
 A bucket yields the edges of a spanning forest of its "within the radius" graph, never all pairs: members that
 are already connected aren't compared again, so a group of m copies costs O(m) edges, with no cap.
@@ -27,25 +28,29 @@ from . import kernels as K
 from .common import PACKED, PACKED_ARROW, batch, by_part, checkpoint, id_text, packed_batches, partitions, unpack
 from .components import connected_components
 
-RADIUS, FULL_RADIUS, POWER = 7, 16, 0.7
+RADIUS, RUN_RADIUS, RUN, POWER = 7, 32, 3, 0.7
 #: Up to 256 pairs of masks, that is, a radius of 8.
-CODE = np.dtype([("a", "<u8"), ("b", "<u8"), ("pair", "u1")])
+CODE = np.dtype([("a", "<u8"), ("b", "<u8"), ("c", "<u8"), ("pair", "u1")])
 _BLOCK = 1 << 13
-_COPIES = K.seeded(71, 2)
+_COPIES = K.seeded(71, 3)
 
 
 def fingerprints(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(n x 2 words of 64 bits, whether the row has any word)."""
-    out, some = [np.zeros((0, 2), np.uint64)], [np.zeros(0, bool)]
+    """(n x 3 words of 64 bits: the code of the words, then that of their runs; whether the row has any word)."""
+    out, some = [np.zeros((0, 3), np.uint64)], [np.zeros(0, bool)]
     for i, j, h, first, *_ in K.word_hashes(column, fold=True):
-        n = j - i
-        out.append(_fingerprints(h, first, n))
-        some.append(np.diff(first) > 0)
+        n, row, count = j - i, K.rows_of(first), np.diff(first)
+        left = first[1:][row] - np.arange(len(h))  # words from here to the end of the text
+        short = (count < RUN)[row]  # too short for a run: its words stand for it
+        runs = np.where(short, h, K.grams(h, RUN)) if len(h) else h
+        use = short | (left >= RUN)
+        out.append(np.concatenate([_code(h, row, n, _COPIES[:1]), _code(runs[use], row[use], n, _COPIES[1:])], axis=1))
+        some.append(count > 0)
     return np.concatenate(out), np.concatenate(some)
 
 
-def _fingerprints(h: np.ndarray, first: np.ndarray, n: int) -> np.ndarray:
-    row = K.rows_of(first)
+def _code(h: np.ndarray, row: np.ndarray, n: int, copies: np.ndarray) -> np.ndarray:
+    """The SimHash of each row's features, 64 bits for each copy."""
     width = K.ROW_BITS  # a constant: the code of a text must not depend on its neighbours in the batch
     key = (row.astype(np.uint64) << np.uint64(64 - width)) | (h >> np.uint64(width))
     key.sort()
@@ -56,10 +61,10 @@ def _fingerprints(h: np.ndarray, first: np.ndarray, n: int) -> np.ndarray:
     key = key[at]
     row = (key >> np.uint64(64 - width)).astype(np.int64)
     word = key << np.uint64(width)
-    total, ones = np.zeros(n, np.int64), np.zeros((n, 128), np.int64)
+    total, ones = np.zeros(n, np.int64), np.zeros((n, 64 * len(copies)), np.int64)
     for s in range(0, len(key), _BLOCK):
         r, w = row[s : s + _BLOCK], weight[s : s + _BLOCK]
-        code = np.stack([K.mix(word[s : s + _BLOCK] ^ c) for c in _COPIES], axis=1)
+        code = np.stack([K.mix(word[s : s + _BLOCK] ^ c) for c in copies], axis=1)
         bits = np.unpackbits(code.view(np.uint8), axis=1) * w[:, None]
         cut = np.flatnonzero(np.diff(r, prepend=-1))
         ones[r[cut]] += np.add.reduceat(bits, cut, axis=0)
@@ -77,25 +82,29 @@ def mask_pairs(radius: int) -> tuple[np.ndarray, np.ndarray]:
     return masks, masks[:, 0] & masks[:, 1]
 
 
-def near_edges(a: np.ndarray, b: np.ndarray, radius: int, full: int) -> list[tuple[int, int]]:
-    """A spanning forest of the graph on codes (a, b) whose edges join pairs within the radii. No cap: a component
+def near(x: np.ndarray, y: np.ndarray, radius: int, runs: int) -> np.ndarray:
+    """Which codes are within both radii; one side may be a single code."""
+    return (np.bitwise_count(x["a"] ^ y["a"]) <= radius) & (np.bitwise_count(x["b"] ^ y["b"]) + np.bitwise_count(x["c"] ^ y["c"]) <= runs)
+
+
+def near_edges(code: np.ndarray, radius: int, runs: int) -> list[tuple[int, int]]:
+    """A spanning forest of the graph on codes whose edges join pairs within the radii. No cap: a component
     grows from a frontier, which is compared with what isn't yet connected only."""
-    rest, out = np.arange(len(a)), []
+    rest, out = np.arange(len(code)), []
     while len(rest) > 1:
         frontier, rest = [rest[0]], rest[1:]
         while frontier and len(rest):
             x = frontier.pop()
-            d = np.bitwise_count(a[rest] ^ a[x])
-            near = (d <= radius) & (d + np.bitwise_count(b[rest] ^ b[x]) <= full)
-            if near.any():
-                found = rest[near]
+            hit = near(code[rest], code[x], radius, runs)
+            if hit.any():
+                found = rest[hit]
                 out += [(x, y) for y in found]
                 frontier += list(found)
-                rest = rest[~near]
+                rest = rest[~hit]
     return out
 
 
-def bucket_edges(code: np.ndarray, radius: int, full: int) -> np.ndarray:
+def bucket_edges(code: np.ndarray, radius: int, runs: int) -> np.ndarray:
     """Edges (pairs of codes) of all buckets of the two masks of each pair among these codes."""
     masks, _ = mask_pairs(radius)
     found = [np.zeros((0, 2), np.int64)]
@@ -107,17 +116,16 @@ def bucket_edges(code: np.ndarray, radius: int, full: int) -> np.ndarray:
         size = np.diff(np.append(start, len(key)))
         wide = size > 64
         for k in range(1, int(size[~wide].max(initial=1))):  # small buckets, all at once: each member with its k-th next
-            s = np.repeat(start[~wide & (size > k)], size[~wide & (size > k)] - k)
-            own = np.arange(len(s)) - np.repeat(np.cumsum(size[~wide & (size > k)] - k) - (size[~wide & (size > k)] - k), size[~wide & (size > k)] - k)
-            x, y = order[s + own], order[s + own + k]
-            d = np.bitwise_count(code["a"][x] ^ code["a"][y])
-            near = d <= radius
-            x, y, d = x[near], y[near], d[near]
-            near = d + np.bitwise_count(code["b"][x] ^ code["b"][y]) <= full
-            found.append(np.stack([x[near], y[near]], axis=1))
+            n = size[~wide & (size > k)] - k
+            own = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(start[~wide & (size > k)], n)
+            x, y = order[own], order[own + k]
+            close = np.bitwise_count(code["a"][x] ^ code["a"][y]) <= radius
+            x, y = x[close], y[close]
+            close = near(code[x], code[y], radius, runs)
+            found.append(np.stack([x[close], y[close]], axis=1))
         for s, n in zip(start[wide], size[wide]):
             own = order[s : s + n]
-            pairs = near_edges(code["a"][own], code["b"][own], radius, full)
+            pairs = near_edges(code[own], radius, runs)
             if pairs:
                 found.append(own[np.array(pairs)])
     return np.concatenate(found)
@@ -142,11 +150,11 @@ def _forest(pairs: np.ndarray) -> np.ndarray:
     return np.stack([node[own], node[label[own]]], axis=1)
 
 
-def group_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS, full_radius: int = FULL_RADIUS) -> DataFrame:
+def group_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS, run_radius: int = RUN_RADIUS) -> DataFrame:
     """(id, group, keep): the near-duplicate group of every document; group is its least id, whose document alone has keep.
 
-    Two documents are near duplicates if their codes differ in at most ``radius`` of the first 64 bits and
-    ``full_radius`` of all 128; groups are the connected components of that relation, found without loss.
+    Two documents are near duplicates if the codes of their words differ in at most ``radius`` of 64 bits and those of their runs in
+    at most ``run_radius`` of 128; groups are the connected components of that relation, found without loss.
     Null and empty texts, and texts without a word, are duplicates of nothing and form groups of their own.
     Texts with the same words have the same code. Rows that share an id count as one document; of several texts
     under an id all count. Rows with a null id are left out. An empty table gives no rows. Whole texts count, whatever their
@@ -156,46 +164,46 @@ def group_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str =
     n = partitions(df)
 
     def code(batches):
-        schema = pa.schema([("id", pa.int64()), ("a", pa.int64()), ("b", pa.int64()), ("some", pa.bool_())])
+        schema = pa.schema([("id", pa.int64()), *((k, pa.int64()) for k in "abc"), ("some", pa.bool_())])
         for x in batches:
             f, some = fingerprints(x.column("text"))
-            yield batch(schema, x.column("id"), f[:, 0].view(np.int64), f[:, 1].view(np.int64), some)
+            yield batch(schema, x.column("id"), *(np.ascontiguousarray(f[:, k]).view(np.int64) for k in range(3)), some)
 
-    codes = checkpoint(docs.mapInArrow(code, "id long, a long, b long, some boolean"))
+    codes = checkpoint(docs.mapInArrow(code, "id long, a long, b long, c long, some boolean"))
     # The least id stands for a code; ids that hold several texts link their codes.
-    known = codes.where("some").groupBy("a", "b").agg(F.min("id").alias("rep"))
+    known = codes.where("some").groupBy("a", "b", "c").agg(F.min("id").alias("rep"))
 
     def send(batches):
         masks, shared = mask_pairs(radius)
         for x in batches:
-            a, b = (x.column(k).to_numpy().view(np.uint64) for k in ("a", "b"))
+            a, b, c = (x.column(k).to_numpy().view(np.uint64) for k in "abc")
             for s in range(0, len(a), 4096):
                 own = a[s : s + 4096]
                 pair = np.repeat(np.arange(len(shared), dtype=np.uint64), len(own))
                 record = np.zeros(len(pair), CODE)
-                record["a"], record["b"], record["pair"] = np.tile(own, len(shared)), np.tile(b[s : s + 4096], len(shared)), pair
+                record["a"], record["b"], record["c"], record["pair"] = np.tile(own, len(shared)), np.tile(b[s : s + 4096], len(shared)), np.tile(c[s : s + 4096], len(shared)), pair
                 part = (K.mix((record["a"] & shared[pair.astype(np.int64)]) ^ K.mix(pair + K.GOLD)) % np.uint64(n)).astype(np.int64)
                 yield from packed_batches(part, record, n)
 
     def meet(batches):
-        schema = pa.schema([(k, pa.int64()) for k in ("a", "b", "a2", "b2")])
+        schema = pa.schema([(k, pa.int64()) for k in ("a", "b", "c", "a2", "b2", "c2")])
         code = unpack(batches, CODE)
         if len(code):
-            order = np.lexsort((code["b"], code["a"]))  # a code that came under several masks is one node
+            order = np.lexsort((code["c"], code["b"], code["a"]))  # a code that came under several masks is one node
             x = code[order]
-            new = np.append(True, (x["a"][1:] != x["a"][:-1]) | (x["b"][1:] != x["b"][:-1]))
+            new = np.append(True, (x["a"][1:] != x["a"][:-1]) | (x["b"][1:] != x["b"][:-1]) | (x["c"][1:] != x["c"][:-1]))
             node = np.empty(len(code), np.int64)
             node[order] = order[np.flatnonzero(new)][np.cumsum(new) - 1]
-            pairs = _forest(node[bucket_edges(code, radius, full_radius)])
+            pairs = _forest(node[bucket_edges(code, radius, run_radius)])
             if len(pairs):
                 x, y = code[pairs[:, 0]], code[pairs[:, 1]]
-                yield batch(schema, *(v.astype(np.uint64).view(np.int64) for v in (x["a"], x["b"], y["a"], y["b"])))
+                yield batch(schema, *(v.astype(np.uint64).view(np.int64) for v in (x["a"], x["b"], x["c"], y["a"], y["b"], y["c"])))
 
-    pairs = by_part(known.select("a", "b").mapInArrow(send, PACKED), n).mapInArrow(meet, "a long, b long, a2 long, b2 long").distinct()
+    pairs = by_part(known.select("a", "b", "c").mapInArrow(send, PACKED), n).mapInArrow(meet, "a long, b long, c long, a2 long, b2 long, c2 long").distinct()
     left = known.withColumnRenamed("rep", "x")
-    right = known.select(F.col("a").alias("a2"), F.col("b").alias("b2"), F.col("rep").alias("y"))
-    links = pairs.join(left, ["a", "b"]).join(right, ["a2", "b2"]).select("x", "y")
-    same = codes.where("some").join(known, ["a", "b"]).where("id <> rep").select(F.col("id").alias("x"), F.col("rep").alias("y"))
+    right = known.select(F.col("a").alias("a2"), F.col("b").alias("b2"), F.col("c").alias("c2"), F.col("rep").alias("y"))
+    links = pairs.join(left, ["a", "b", "c"]).join(right, ["a2", "b2", "c2"]).select("x", "y")
+    same = codes.where("some").join(known, ["a", "b", "c"]).where("id <> rep").select(F.col("id").alias("x"), F.col("rep").alias("y"))
     groups = connected_components(links.union(same), "x", "y")
     ids = codes.select("id").distinct()
     return ids.join(groups, "id", "left").select(
