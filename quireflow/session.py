@@ -5,6 +5,7 @@ from __future__ import annotations
 import io
 import os
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -27,3 +28,12 @@ def ship(spark: SparkSession) -> SparkSession:
         spark.sparkContext.addPyFile(os.fspath(at))
         _SHIPPED.add(app)
     return spark
+
+
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path in the folder all executors share, from spark.checkpoint.dir; a local folder only where that is unset."""
+    given = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not given:
+        at = spark.sparkContext._jsc.sc().getCheckpointDir()
+        given = str(at.get()) if at.isDefined() else tempfile.mkdtemp(prefix="quireflow-")
+    return f"{given.rstrip('/')}/{name}-{uuid.uuid4().hex}"
