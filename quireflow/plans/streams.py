@@ -25,7 +25,7 @@ def drain(e) -> DataFrame:
 
 @query("x04_first_claims", "SELECT DISTINCT user_id, event_type FROM events")
 def first_claims(e) -> DataFrame:
-    return _drained(e, tasks.claims(_events(e), ["user_id", "event_type"], "ts", "3650 days"), "claims").select("user_id", "event_type")
+    return _drained(e, tasks.claims(_events(e).withColumn("ts", F.col("ts").cast("timestamp")), ["user_id", "event_type"], "ts", "3650 days"), "claims").select("user_id", "event_type")
 
 
 @query("x08_worker_liveness", "SELECT user_id, count(*) AS n, max(ts) AS last_seen FROM events GROUP BY user_id")
