@@ -23,9 +23,17 @@ def ship(spark: SparkSession) -> SparkSession:
         with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as z:
             for p in sorted(root.rglob("*.py")):
                 z.write(p, p.relative_to(root.parent))
-        at = Path(tempfile.mkdtemp(prefix="quireflow-code-")) / "quireflow.zip"  # code alone; the driver's file server hands it on
-        at.write_bytes(buffer.getvalue())
-        spark.sparkContext.addPyFile(os.fspath(at))
+        given = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+        if given:  # the folder that all machines share
+            at = f"{given.rstrip('/')}/code-{uuid.uuid4().hex}/quireflow.zip"
+            path = spark._jvm.org.apache.hadoop.fs.Path(at)
+            out = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path)
+            out.write(bytearray(buffer.getvalue()))
+            out.close()
+        else:
+            at = os.fspath(Path(tempfile.mkdtemp(prefix="quireflow-code-")) / "quireflow.zip")
+            Path(at).write_bytes(buffer.getvalue())
+        spark.sparkContext.addPyFile(at)
         _SHIPPED.add(app)
     return spark
 
