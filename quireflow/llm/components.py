@@ -15,6 +15,7 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     an aggregate and a join on the node, both of which spread a hub's edges, and ends in a checkpoint;
     the number of passes grows with the logarithm of the number of nodes.
     """
+    edges = checkpoint(edges.select(a, b))  # read twice; finding edges is what costs
     e = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u is not null and v is not null and u > v").distinct()
     loops = edges.select(F.col(a).alias("id")).union(edges.select(F.col(b).alias("id"))).where("id is not null").distinct()
     e, before = checkpoint(e), None

@@ -171,7 +171,8 @@ def group_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str =
 
     codes = checkpoint(docs.mapInArrow(code, "id long, a long, b long, c long, some boolean"))
     # The least id stands for a code; ids that hold several texts link their codes.
-    known = codes.where("some").groupBy("a", "b", "c").agg(F.min("id").alias("rep"))
+    # A code grows into many records: spread over all partitions, lest a coalesced few do the work.
+    known = codes.where("some").repartition(n, "a", "b", "c").groupBy("a", "b", "c").agg(F.min("id").alias("rep"))
 
     def send(batches):
         masks, shared = mask_pairs(radius)
