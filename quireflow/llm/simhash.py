@@ -8,8 +8,9 @@ positions agree under one of the 2^(r+1)-1 masks, and every pair within the radi
 are no false negatives. Pairs that meet are compared exactly on both codes: long texts of one language have like
 words in like numbers, but only copies have the same runs.
 
-Shuffle. Two masks share about a quarter of the positions, so a code is sent once per pair of masks, keyed
-by the shared bits, instead of once per mask. Codes travel as packed 25-byte records, once per distinct code.
+Shuffle. The masks of v + D, for a subspace D of dimension 3, share the positions that are orthogonal to D but not to v, so a
+code is sent once per group of eight masks, keyed by the shared bits, instead of once per mask. A quarter of the positions is made
+orthogonal to D, lest the keys be few. Codes travel as packed 26-byte records, once per distinct code.
 
 A bucket yields the edges of a spanning forest of its "within the radius" graph, never all pairs: members that
 are already connected aren't compared again, so a group of m copies costs O(m) edges, with no cap.
@@ -28,9 +29,10 @@ from . import kernels as K
 from .common import PACKED, PACKED_ARROW, batch, by_part, checkpoint, id_text, packed_batches, partitions, unpack
 from .components import connected_components
 
-RADIUS, RUN_RADIUS, RUN, POWER = 7, 32, 3, 0.7
-#: Up to 256 pairs of masks, that is, a radius of 8.
-CODE = np.dtype([("a", "<u8"), ("b", "<u8"), ("c", "<u8"), ("pair", "u1")])
+RADIUS, RUN_RADIUS, RUN, POWER = 9, 36, 3, 0.7
+#: Masks that share a record: 2^SHARED. Their groups fit the field up to a radius of 17.
+SHARED = 3
+CODE = np.dtype([("a", "<u8"), ("b", "<u8"), ("c", "<u8"), ("group", "<u2")])
 _BLOCK = 1 << 13
 _COPIES = K.seeded(71, 3)
 
@@ -74,12 +76,17 @@ def _code(h: np.ndarray, row: np.ndarray, n: int, copies: np.ndarray) -> np.ndar
 
 @lru_cache(maxsize=8)
 def mask_pairs(radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """(the masks of each pair: n x 2, the positions that both keep)."""
+    """(the masks of each group: n x 2^SHARED, the positions that all of them keep)."""
     k = radius + 1
-    phi = 1 + (K.seeded(5, 64) % np.uint64((1 << k) - 1)).astype(np.int64)
-    mask = np.array([sum(1 << p for p in range(64) if int(phi[p] & v).bit_count() & 1) for v in range(1, 1 << k)], dtype=np.uint64)
-    masks = np.append(mask, mask[-1]).reshape(-1, 2)  # an odd number: the last one pairs with itself
-    return masks, masks[:, 0] & masks[:, 1]
+    d = min(SHARED, k - 1)  # D is spanned by the lowest d unit vectors
+    seed = K.seeded(5, 64)
+    phi = 1 + (seed % np.uint64((1 << k) - 1)).astype(np.int64)
+    phi[::4] = (1 + (seed[::4] % np.uint64((1 << (k - d)) - 1)).astype(np.int64)) << d
+    mask = np.array([sum(1 << p for p in range(64) if int(phi[p] & v).bit_count() & 1) for v in range(1 << k)], dtype=np.uint64)
+    whole = np.arange(1 << d, 1 << k).reshape(-1, 1 << d)
+    rest = [np.resize(np.arange(1 << j, 2 << j), 1 << d) for j in range(d)]  # D itself without zero, some masks of it twice
+    masks = mask[np.concatenate([whole, *(r[None] for r in rest)])]
+    return masks, np.bitwise_and.reduce(masks, axis=1)
 
 
 def near(x: np.ndarray, y: np.ndarray, radius: int, runs: int) -> np.ndarray:
@@ -90,26 +97,30 @@ def near(x: np.ndarray, y: np.ndarray, radius: int, runs: int) -> np.ndarray:
 def near_edges(code: np.ndarray, radius: int, runs: int) -> list[tuple[int, int]]:
     """A spanning forest of the graph on codes whose edges join pairs within the radii. No cap: a component
     grows from a frontier, which is compared with what isn't yet connected only."""
+    a, b, c = (np.ascontiguousarray(code[k]) for k in "abc")
     rest, out = np.arange(len(code)), []
     while len(rest) > 1:
         frontier, rest = [rest[0]], rest[1:]
         while frontier and len(rest):
             x = frontier.pop()
-            hit = near(code[rest], code[x], radius, runs)
-            if hit.any():
-                found = rest[hit]
+            at = np.flatnonzero(np.bitwise_count(a[rest] ^ a[x]) <= radius)
+            at = at[np.bitwise_count(b[rest[at]] ^ b[x]) + np.bitwise_count(c[rest[at]] ^ c[x]) <= runs]
+            if len(at):
+                found = rest[at]
                 out += [(x, y) for y in found]
                 frontier += list(found)
-                rest = rest[~hit]
+                rest = np.delete(rest, at)
     return out
 
 
 def bucket_edges(code: np.ndarray, radius: int, runs: int) -> np.ndarray:
-    """Edges (pairs of codes) of all buckets of the two masks of each pair among these codes."""
+    """Edges (pairs of codes) of all buckets of the masks of each group among these codes."""
     masks, _ = mask_pairs(radius)
     found = [np.zeros((0, 2), np.int64)]
-    for m in range(2):
-        key = K.mix((code["a"] & masks[code["pair"], m]) ^ (code["pair"].astype(np.uint64) * K.GOLD))
+    a, group = np.ascontiguousarray(code["a"]), code["group"].astype(np.int64)
+    salt = group.astype(np.uint64) * K.GOLD
+    for m in range(masks.shape[1]):
+        key = K.mix((a & masks[group, m]) ^ salt)
         order = np.argsort(key)
         key = key[order]
         start = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
@@ -119,7 +130,7 @@ def bucket_edges(code: np.ndarray, radius: int, runs: int) -> np.ndarray:
             n = size[~wide & (size > k)] - k
             own = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(start[~wide & (size > k)], n)
             x, y = order[own], order[own + k]
-            close = np.bitwise_count(code["a"][x] ^ code["a"][y]) <= radius
+            close = np.bitwise_count(a[x] ^ a[y]) <= radius
             x, y = x[close], y[close]
             close = near(code[x], code[y], radius, runs)
             found.append(np.stack([x[close], y[close]], axis=1))
@@ -180,10 +191,10 @@ def group_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str =
             a, b, c = (x.column(k).to_numpy().view(np.uint64) for k in "abc")
             for s in range(0, len(a), 4096):
                 own = a[s : s + 4096]
-                pair = np.repeat(np.arange(len(shared), dtype=np.uint64), len(own))
-                record = np.zeros(len(pair), CODE)
-                record["a"], record["b"], record["c"], record["pair"] = np.tile(own, len(shared)), np.tile(b[s : s + 4096], len(shared)), np.tile(c[s : s + 4096], len(shared)), pair
-                part = (K.mix((record["a"] & shared[pair.astype(np.int64)]) ^ K.mix(pair + K.GOLD)) % np.uint64(n)).astype(np.int64)
+                group = np.repeat(np.arange(len(shared), dtype=np.uint64), len(own))
+                record = np.zeros(len(group), CODE)
+                record["a"], record["b"], record["c"], record["group"] = np.tile(own, len(shared)), np.tile(b[s : s + 4096], len(shared)), np.tile(c[s : s + 4096], len(shared)), group
+                part = (K.mix((record["a"] & shared[group.astype(np.int64)]) ^ K.mix(group + K.GOLD)) % np.uint64(n)).astype(np.int64)
                 yield from packed_batches(part, record, n)
 
     def meet(batches):

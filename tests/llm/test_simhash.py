@@ -75,3 +75,35 @@ def test_like_words_alone_are_no_copy(spark):
     rows.append((99, " ".join("changed" if k % 500 == 0 else w for k, w in enumerate(rows[7][1].split()))))
     got = {r.id: r.group for r in S.group_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == {d: d for d in range(40)} | {99: 7}
+
+
+def test_every_pair_within_the_default_radius_meets_in_a_record_of_its_group():
+    masks, shared = S.mask_pairs(S.RADIUS)
+    assert len(np.unique(masks)) == (2 << S.RADIUS) - 1 and (shared[:, None] & ~masks == 0).all()
+    rng = np.random.default_rng(0)
+    for _ in range(300):
+        x = y = rng.integers(0, 1 << 63, dtype=np.uint64)
+        for p in rng.choice(64, S.RADIUS, replace=False):
+            y ^= np.uint64(1) << np.uint64(p)
+        code = np.zeros(2 * len(shared), S.CODE)
+        code["a"], code["group"] = np.repeat([x, y], len(shared)), np.tile(np.arange(len(shared)), 2)
+        group = code["group"][S.bucket_edges(code, S.RADIUS, 0)]
+        assert len(group) and ((x ^ y) & shared[group] == 0).all()
+
+
+def test_recall_by_share_of_changed_words():
+    rng = np.random.default_rng(11)
+    p = 1 / (10 + np.arange(6000))
+    words = np.array([f"w{k}" for k in range(6000)])
+    found = {}
+    for share in (0.025, 0.05, 0.075, 0.1):
+        rows = []
+        for _ in range(400):
+            base = rng.choice(words, 220, p=p / p.sum())
+            copy = base.copy()
+            copy[rng.choice(220, round(220 * share), replace=False)] = rng.choice(words, round(220 * share), p=p / p.sum())
+            rows += [" ".join(base), " ".join(copy)]
+        f, _ = S.fingerprints(pa.array(rows))
+        d = np.bitwise_count(f[::2] ^ f[1::2])
+        found[share] = np.mean((d[:, 0] <= S.RADIUS) & (d[:, 1:].sum(axis=1) <= S.RUN_RADIUS))
+    assert found[0.025] > 0.98 and found[0.05] > 0.93 and found[0.075] > 0.83 and found[0.1] > 0.6
