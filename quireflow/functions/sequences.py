@@ -98,6 +98,17 @@ def beam_search(logp: np.ndarray, width: int = 64, least: float = -3.0, blank: i
     return list(best[0]), add(*best[1])
 
 
+def hybrid_decode(logits: np.ndarray, gate: float = -0.5, width: int = 64, blank: int = 0) -> tuple[list[int], str]:
+    """(path, 'greedy' or 'beam') of steps x symbols of scores: greedy if the mean log probability of the steps that emit reaches the gate."""
+    x = logits - logits.max(axis=1, keepdims=True)
+    p = x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+    best = p.argmax(axis=1)
+    emits = [k for k in range(len(best)) if best[k] != blank and (not k or best[k - 1] != best[k])]
+    if emits and p.max(axis=1)[emits].mean() >= gate:
+        return [int(best[k]) for k in emits], "greedy"
+    return beam_search(p, width=width, blank=blank)[0], "beam"
+
+
 def fitted_scale(glyph: Column, original: Column, budget: Column, scales: tuple[float, ...] = (0.6, 0.75, 1.0), least: float = 24.0) -> Column:
     """The smallest scale that keeps glyphs tall enough once the page is brought within its budget of pixels; 1 if none does."""
     fit = F.least(F.lit(1.0), F.sqrt(budget / original))

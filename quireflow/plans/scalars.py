@@ -208,20 +208,14 @@ def greedy(e) -> DataFrame:
 
 @query("n07_f19_beam_or_greedy")
 def beam(e) -> DataFrame:
-    """Greedy where its mean score is high enough, else a beam search, one task a line."""
+    """Greedy where its mean score is high enough, else a beam search, one task a line; all steps of the line and all symbols count."""
     import numpy as np
 
-    def decode(pdf: pd.DataFrame) -> pd.DataFrame:
-        x = np.stack(pdf.sort_values("step_id").logits.to_numpy()).astype(float)[:, :16]
-        p = x - np.log(np.exp(x).sum(axis=1, keepdims=True))
-        best = p.argmax(axis=1)
-        emits = [k for k in range(len(best)) if best[k] and (not k or best[k - 1] != best[k])]
-        score = float(p.max(axis=1)[emits].mean()) if emits else float("-inf")
-        path, how = ([int(best[k]) for k in emits], "greedy") if score >= -0.5 else (N.beam_search(p, width=4)[0], "beam")
-        return pd.DataFrame([(int(pdf.line_id.iloc[0]), how, len(path))], columns=["line_id", "how", "n"])
-
-    lines = e.vectors.where("step_id < 200").withColumn("line_id", (F.col("step_id") / 20).cast("int"))
-    return lines.groupBy("line_id").applyInPandas(decode, "line_id int, how string, n int")
+    def decode(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        path, how = N.hybrid_decode(np.stack(pdf.sort_values("step_id").logits.to_numpy()).astype(float))
+        return pd.DataFrame({"line_id": pd.array([key[0]], "Int32"), "how": [how], "n": [len(path)]})
+
+    return e.vectors.groupBy("line_id").applyInPandas(decode, "line_id int, how string, n int")
 
 
 @query("n08_n10_segment_confidence", "WITH m AS (SELECT line_id, CAST(list_max(logits) AS DOUBLE) AS s, row_number() OVER (PARTITION BY line_id ORDER BY step_id) - 1 AS t FROM vectors) SELECT line_id, CAST(t // 10 AS BIGINT) AS segment, round(avg(s), 5) AS confidence FROM m GROUP BY 1, 2")

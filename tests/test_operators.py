@@ -1,8 +1,10 @@
 """Expectations of single functions and operators, on small fixtures."""
 
 import dataclasses
+import itertools
 import json
 import math
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -13,6 +15,7 @@ from quireflow.functions import sequences as N
 from quireflow.functions import text as T
 from quireflow.operators import jobs
 from quireflow.operators.tables import latest_per_key, merge_snapshot
+from quireflow.plans import scalars
 from quireflow.sources import lists, sinks
 from quireflow.streaming import tasks
 
@@ -48,6 +51,29 @@ def test_sequences(spark):
     assert N.match_lengths([1, 2, 3, 9, 1, 2, 3]) == {9: 3} and N.match_lengths([]) == {}
 
 
+def test_hybrid_decode_equals_brute_force(spark):
+    rng, likely, rows, want = np.random.default_rng(2), [0, 17, 18, 19], [], {}
+    for line in range(12):  # steps from 1,000 on, the likely symbols beyond the 16th, great scores, every other line sure of its symbols
+        x = np.full((4, 20), 980.0)
+        x[:, likely] = 1000 + rng.random((4, 4)) * (12 if line % 2 else 1)
+        p = np.exp(x - x.max(axis=1, keepdims=True))
+        p /= p.sum(axis=1, keepdims=True)
+        total = {}
+        collapse = lambda path: tuple(s for k, s in enumerate(path) if s and (not k or path[k - 1] != s))
+        for path in itertools.product(likely, repeat=4):
+            total[collapse(path)] = total.get(collapse(path), 0.0) + math.prod(p[t, s] for t, s in enumerate(path))
+        best = p.argmax(axis=1).tolist()
+        score = [math.log(p[t, s]) for t, s in enumerate(best) if s and (not t or best[t - 1] != s)]
+        sure = bool(score) and sum(score) / len(score) >= -0.5
+        want[line] = (collapse(best), "greedy") if sure else (max(total, key=total.get), "beam")
+        got = N.hybrid_decode(x)
+        assert (tuple(got[0]), got[1]) == want[line]
+        rows += [(1000 + 4 * line + t, line, x[t].tolist()) for t in range(4)]
+    assert {how for _, how in want.values()} == {"greedy", "beam"}
+    e = SimpleNamespace(vectors=spark.createDataFrame(rows[::-1], "step_id long, line_id int, logits array<float>"))
+    assert {r.line_id: (r.how, r.n) for r in scalars.beam(e).collect()} == {k: (how, len(path)) for k, (path, how) in want.items()}
+
+
 def test_geometry(spark):
     r = one(spark, G.pixel_box(*[F.lit(v) for v in (0.5, 0.5, 1.0, 1.0)], F.lit(100), F.lit(200)), G.pixel_box(*[F.lit(v) for v in (0.5, 0.5, 0.0, 1.0)], F.lit(100), F.lit(200)), G.anchored_lines(F.array(*[F.lit(v) for v in (0, 8, 16)]), 10), G.skew(F.lit(-45.0)), G.clamp_short(F.lit(99999)))
     assert tuple(r[0]) == (0, 0, 100, 200) and r[1] is None and r[2] == [0, 0, 1] and r[3] == 45.0 and r[4] == 32767
