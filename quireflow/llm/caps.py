@@ -110,22 +110,28 @@ def group_near_vectors(df: DataFrame, id_col: str = "vec_id", vec_col: str = "em
     """(id, group, keep): the near-duplicate group of every vector; group is its least id, which alone has keep.
 
     Groups are the connected components of the pairs with at least this cosine that share a filter; a pair at the threshold does
-    with probability ``recall``, nearer ones more surely, and equal vectors always. Null vectors, those of another size than ``dim`` (by default that
-    of the least id), zero vectors and those with a null, NaN or infinity in them are duplicates of nothing. Rows that share an id count as one;
-    of several vectors under an id all count. Rows without an id are left out, an empty table gives no rows, and other columns are ignored.
+    with probability ``recall``, nearer ones more surely, and equal vectors always. Vectors of every size are searched, each among those of its own
+    size; with ``dim``, those of that size alone. Null, empty and zero vectors, those of another size than a given ``dim`` and those with a null, NaN or
+    infinity in them are duplicates of nothing. Rows that share an id count as one; of several vectors under an id all count. Rows without an id are
+    left out, an empty table gives no rows, and other columns are ignored.
     """
     rows = df.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<float>").alias("v"))
-    empty = df.sparkSession.createDataFrame([], "id long, `group` long, keep boolean")
-    if dim is None:
-        least = rows.where("v is not null").agg(F.min(F.struct("id", F.size("v").alias("d"))).alias("m")).first().m
-        if least is None:
-            own = rows.select("id").distinct()
-            return own.select("id", F.col("id").alias("group"), F.lit(True).alias("keep")) if not rows.isEmpty() else empty
-        dim = max(1, least.d)
     # Equal vectors meet first; their least id searches for them. The digest stands for the vector where it isn't needed.
     keyed = rows.where("v is not null").select("id", "v", F.sha2(F.to_binary(F.concat_ws(",", F.transform("v", lambda x: F.coalesce(x.cast("string"), F.lit("?")))), F.lit("utf-8")), 256).alias("k"))
     known = written(keyed.groupBy("k").agg(F.min("id").alias("rep"), F.min_by("v", "id").alias("v")), "caps")
-    caps, n = Caps.of(known.count(), dim, cosine, recall, load), partitions(df)
+    finite = F.forall("v", lambda e: e.isNotNull() & ~F.isnan(e) & (F.abs(e) < float("inf"))) & F.exists("v", lambda e: e != 0)
+    sound = known.where(finite if dim is None else finite & (F.size("v") == dim))
+    sizes = sound.groupBy(F.size("v").alias("d")).count().where("count > 1").orderBy("d").collect()  # one row a size
+    links = sound.select(F.col("rep").alias("x"), F.col("rep").alias("y")).where("false")
+    for d, count in sizes:
+        links = links.union(_links(sound.where(F.size("v") == d).select("rep", "v"), d, Caps.of(count, d, cosine, recall, load), cosine, partitions(df)))
+    same = keyed.select("id", "k").join(sound.select("k", "rep"), "k").where("id <> rep").select(F.col("id").alias("x"), F.col("rep").alias("y"))
+    groups = connected_components(links.union(same), "x", "y")
+    return rows.select("id").distinct().join(groups, "id", "left").select("id", F.coalesce("root", "id").alias("group"), (F.coalesce("root", "id") == F.col("id")).alias("keep"))
+
+
+def _links(known: DataFrame, dim: int, caps: Caps, cosine: float, n: int) -> DataFrame:
+    """(x, y): edges between the ids of distinct vectors of one size."""
     record = np.dtype([("filter", "<u8"), ("id", "<i8"), ("v", "<f4", (dim,))])
 
     def send(batches):
@@ -154,9 +160,4 @@ def group_near_vectors(df: DataFrame, id_col: str = "vec_id", vec_col: str = "em
             if len(pairs):
                 yield batch(schema, pairs[:, 0], pairs[:, 1])
 
-    links = by_part(known.select("rep", "v").mapInArrow(send, PACKED), n).mapInArrow(meet, "x long, y long").distinct()
-    valid = F.size("v") == dim
-    sound = known.where(valid & F.forall("v", lambda e: e.isNotNull() & ~F.isnan(e) & (F.abs(e) < float("inf"))) & F.exists("v", lambda e: e != 0)).select("k", "rep")
-    same = keyed.select("id", "k").join(sound, "k").where("id <> rep").select(F.col("id").alias("x"), F.col("rep").alias("y"))
-    groups = connected_components(links.union(same), "x", "y")
-    return rows.select("id").distinct().join(groups, "id", "left").select("id", F.coalesce("root", "id").alias("group"), (F.coalesce("root", "id") == F.col("id")).alias("keep"))
+    return by_part(known.mapInArrow(send, PACKED), n).mapInArrow(meet, "x long, y long").distinct()

@@ -65,3 +65,15 @@ def test_odd_rows(spark):
     assert got == {1: 1, 2: 1, 3: 3, 4: 4, 5: 5, 6: 6, 7: 7, 8: 8, 9: 9, 10: 1, 11: 1, 12: 12}
     assert C.group_near_vectors(df.where("false")).count() == 0
     assert {r.id: r.group for r in C.group_near_vectors(df.where("embedding is null")).collect()} == {3: 3}
+
+
+def test_every_size_is_searched(spark):
+    rng = np.random.default_rng(3)
+    long, short = rng.standard_normal((4, 32)), rng.standard_normal((3, 8))
+    rows = [(0, []), (1, [2.0]), (2, [3.0])]  # the least ids are odd ones
+    rows += [(10 + k, v.tolist()) for k, v in enumerate([*long, long[1], 1.001 * long[2] + 0.001])]
+    rows += [(20 + k, v.tolist()) for k, v in enumerate([*short, short[0]])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    own = {i: i for i, _ in rows}
+    assert {r.id: r.group for r in C.group_near_vectors(df).collect()} == own | {2: 1, 14: 11, 15: 12, 23: 20}
+    assert {r.id: r.group for r in C.group_near_vectors(df, dim=32).collect()} == own | {14: 11, 15: 12}
