@@ -3,18 +3,21 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import DataType, IntegralType, StructField, StructType
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share, from spark.checkpoint.dir; a local one is made only where that is unset."""
+    """The folder all executors share, from spark.checkpoint.dir. Where that is unset, a local one is made if Spark runs in one process; on a cluster it is an error."""
     given = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if given:
         if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
@@ -22,6 +25,8 @@ def shared_dir(spark: SparkSession) -> str:
         return given.rstrip("/")
     at = spark.sparkContext._jsc.sc().getCheckpointDir()
     if at.isEmpty():
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="quireflow-"))
         at = spark.sparkContext._jsc.sc().getCheckpointDir()
     return str(at.get()).rstrip("/")
@@ -42,9 +47,32 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+def col(df: DataFrame, name: str) -> Column:
+    """A column by its plain name, whatever signs are in it."""
+    return df[f"`{name}`"]
+
+
+def key_of(df: DataFrame, id_col: str) -> Column:
+    """The 64-bit key of an id: a whole number itself, the hash of an id of any other type. ``named`` turns keys into ids again."""
+    c = col(df, id_col)
+    return c.cast("long") if isinstance(df.schema[id_col].dataType, IntegralType) else F.when(c.isNotNull(), F.xxhash64(c))
+
+
+def named(out: DataFrame, df: DataFrame, id_col: str, *columns: str) -> DataFrame:
+    """``out`` with ids in place of their keys in these columns. Whole numbers are their own keys; else each column costs a join with the ids. Where two ids
+    share a hash, of which there is a chance of one in 200 among 10^9, the lesser stands for both."""
+    if isinstance(df.schema[id_col].dataType, IntegralType):
+        return out
+    names = df.select(key_of(df, id_col).alias("_key"), col(df, id_col).alias("_name")).where("_key is not null").groupBy("_key").agg(F.min("_name").alias("_name"))
+    for c in columns:
+        own = names.withColumnRenamed("_key", c)
+        out = out.join(own, c, "left").select(*[F.col("_name").alias(c) if x == c else F.col(x) for x in out.columns])
+    return out
+
+
 def id_text(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Columns id (long) and text alone, so no other column of the caller can clash. Rows without an id are left out."""
-    return df.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    """Columns id (the key of the id) and text alone, so no other column of the caller can clash. Rows without an id are left out."""
+    return df.select(key_of(df, id_col).alias("id"), col(df, text_col).cast("string").alias("text")).where("id is not null")
 
 
 def partitions(df: DataFrame) -> int:
@@ -86,8 +114,14 @@ def unpack(batches, dtype: np.dtype) -> np.ndarray:
 
 
 def text_of(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """As ``id_text``, but every row stays, also those without an id."""
-    return df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    """Columns id, of its own type, and text; every row stays, also those without an id."""
+    return df.select(col(df, id_col).alias("id"), col(df, text_col).cast("string").alias("text"))
+
+
+def row_schemas(docs: DataFrame, columns: list[tuple[str, DataType]]) -> tuple[StructType, pa.Schema]:
+    """The id of ``docs`` and more columns, for Spark and for Arrow."""
+    schema = StructType([StructField("id", docs.schema["id"].dataType), *(StructField(n, t) for n, t in columns)])
+    return schema, to_arrow_schema(schema)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

@@ -11,14 +11,16 @@ ordered by a seeded hash, and take the tokens of the flow from the first on, lay
 
 from __future__ import annotations
 
+import math
 from collections import deque
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
-from .common import written
+from .common import col, written
 
-ALPHA, EPOCHS, SEED, BUCKET_BITS = 0.7, 4, 7, 10
+ALPHA, EPOCHS, SEED, BUCKET, SALTS = 0.7, 4, 7, 1 << 15, 64
 _INF = 1 << 62
 
 
@@ -110,18 +112,21 @@ def quotas(capacity: dict[tuple[str, ...], int], weights: dict[str, float] | Non
 
 
 def _served(df: DataFrame, weights: dict[str, float] | None, budget: int | None, id_col: str, text_col: str, source_col: str, alpha: float, epochs: int, seed: int) -> DataFrame:
-    """(id, h1, source, copies, n_tokens) of the selected texts; h1 tells the texts of an id apart."""
+    """(id, h1, rest, equals, source, copies, n_tokens) of the selected texts. h1 tells the texts of an id apart, rest is the hash of the other columns of
+    the row that stands for the text, which has so many equals, itself among them."""
     spark = df.sparkSession
-    text = F.col(text_col).cast("string")
-    slim = df.where(F.col(id_col).isNotNull()).select(
-        F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("source"), F.regexp_count(text, F.lit(r"\S+")).cast("long").alias("n"), F.xxhash64(text).alias("h1"), F.xxhash64(F.lit(seed), text).alias("h2")
-    ).where("n > 0")
-    docs = slim.groupBy("h1", "h2").agg(F.min("id").alias("id"), F.max("n").alias("n"), F.array_sort(F.collect_set("source")).alias("pattern"))
-    docs = written(docs.withColumn("u", F.xxhash64(F.lit(seed), "h2", "h1")), "mix")
-    counted = docs.groupBy("pattern").agg(F.sum("n").alias("n")).collect()  # patterns that occur, not documents
+    text = col(df, text_col).cast("string")
+    slim = df.select(
+        col(df, id_col).alias("id"), F.coalesce(col(df, source_col).cast("string"), F.lit("")).alias("source"), F.regexp_count(text, F.lit(r"\S+")).cast("long").alias("n"), F.xxhash64(text).alias("h1"), F.xxhash64(F.lit(seed), text).alias("h2"), _rest(df, id_col, text_col).alias("rest")
+    ).where("id is not null and n > 0")
+    # Equal rows first, spread by their id, then the copies of a text, of which each task sends one row on.
+    rows = slim.groupBy("h1", "h2", "id", "rest", "source").agg(F.max("n").alias("n"), F.count("*").alias("equals"))
+    docs = rows.groupBy("h1", "h2").agg(F.min(F.struct("id", "rest", "equals")).alias("m"), F.max("n").alias("n"), F.array_sort(F.collect_set("source")).alias("pattern"))
+    docs = written(docs.select("h1", "h2", "m.*", "n", "pattern", F.xxhash64(F.lit(seed), "h2", "h1").alias("u")), "mix")
+    counted = docs.groupBy("pattern").agg(F.sum("n").alias("n"), F.count("*").alias("docs")).collect()  # patterns that occur, not documents
     capacity = {tuple(r.pattern): r.n for r in counted}
     if not capacity:
-        return spark.createDataFrame([], "id long, h1 long, source string, copies int, n_tokens long")
+        return docs.where("false").select("id", "h1", "rest", "equals", F.lit("").alias("source"), F.lit(0).alias("copies"), F.col("n").alias("n_tokens"))
     flow, _ = route(capacity, quotas(capacity, weights, budget, alpha), epochs)
     rows = []
     for p, own in flow.items():
@@ -134,38 +139,62 @@ def _served(df: DataFrame, weights: dict[str, float] | None, budget: int | None,
     routed = spark.createDataFrame(rows, "pattern array<string>, total long, taken long, stretches array<struct<end:long,source:string>>")
     if len(rows) <= 100_000:
         routed = F.broadcast(routed)
-    # Where a document lies in its pattern: the tokens of the buckets of the hash before its own, and of those before it in the bucket.
-    placed = docs.withColumn("bucket", F.shiftrightunsigned("u", 64 - BUCKET_BITS))
+    # Where a document lies in its pattern: the tokens of the buckets of the hash before its own, and of those before it in the bucket. Buckets are for
+    # the work alone: their number follows the documents, and the order is that of the whole hash whatever it is.
+    bits = max(4, math.ceil(math.log2(max(r.docs for r in counted) / BUCKET)))
+    placed = docs.withColumn("bucket", F.shiftrightunsigned("u", 64 - bits))
     before = Window.partitionBy("pattern").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     inside = Window.partitionBy("pattern", "bucket").orderBy("u", "id", "h1").rowsBetween(Window.unboundedPreceding, -1)
     totals = placed.groupBy("pattern", "bucket").agg(F.sum("n").alias("m")).withColumn("base", F.coalesce(F.sum("m").over(before), F.lit(0))).drop("m")
     at = placed.withColumn("own", F.coalesce(F.sum("n").over(inside), F.lit(0))).join(totals, ["pattern", "bucket"]).withColumn("at", F.col("base") + F.col("own"))
     turns = at.join(routed, "pattern").where("at < taken").withColumn("turn", F.explode(F.expr("sequence(0L, (taken - at - 1) div total)")))
     served = turns.withColumn("source", F.expr("filter(stretches, s -> s.end > at + turn * total)[0].source"))
-    return served.groupBy("id", "h1", "source", F.col("n").alias("n_tokens")).agg(F.count("*").cast("int").alias("copies")).select("id", "h1", "source", "copies", "n_tokens")
+    return served.groupBy("id", "h1", "rest", "equals", "source", F.col("n").alias("n_tokens")).agg(F.count("*").cast("int").alias("copies")).select("id", "h1", "rest", "equals", "source", "copies", "n_tokens")
+
+
+def _rest(df: DataFrame, id_col: str, text_col: str):
+    """The hash of all other columns of a row, by place; maps, which have no hash, count as their JSON."""
+    others = [(k, f) for k, f in enumerate(df.schema.fields) if f.name not in (id_col, text_col)]
+    plain = [F.to_json(df[f"`{f.name}`"]) if isinstance(f.dataType, MapType) else df[f"`{f.name}`"] for _, f in others]
+    return F.xxhash64(F.lit(len(plain)), *plain)
 
 
 def mix(df: DataFrame, weights: dict[str, float] | None = None, budget: int | None = None, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", alpha: float = ALPHA, epochs: int = EPOCHS, seed: int = SEED) -> DataFrame:
     """(id, source, copies, n_tokens): how often each selected document serves which source.
 
-    A document is a distinct text, named by its least id; its tokens are its runs of characters other than white space. A token
+    A document is a distinct text, named by its least id, of whatever type; its tokens are its runs of characters other than white space. A token
     serves at most ``epochs`` times. A document is taken whole where its first token is: a stretch of a source may overrun by less than a document. Where
     quotas can't be met the flow is as great as it can be. Null, empty and blank texts have no tokens and are never selected; a null source counts as ''; rows
     without an id are left out; of rows that share an id each text counts. Weights of sources that hold nothing are met by nothing. An
     empty table gives no rows; other columns are ignored.
     """
-    found = _served(df, weights, budget, id_col, text_col, source_col, alpha, epochs, seed)
+    slim = df.select(col(df, id_col).alias("id"), col(df, text_col).alias("text"), col(df, source_col).alias("source"))
+    found = _served(slim, weights, budget, "id", "text", "source", alpha, epochs, seed)
     return found.groupBy("id", "source").agg(F.sum("copies").cast("int").alias("copies"), F.sum("n_tokens").alias("n_tokens"))
 
 
 def mixed_rows(df: DataFrame, weights: dict[str, float] | None = None, budget: int | None = None, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", alpha: float = ALPHA, epochs: int = EPOCHS, seed: int = SEED) -> DataFrame:
     """The rows of ``df`` that the mix selects, each as often as it is to be used and under the source it serves, in the columns of ``df``.
 
-    Of equal rows, and of rows that share an id and a text, one stands for the document.
+    Of the rows that hold a text, one stands for it: that with the least id, and of those that share this and differ elsewhere, the one whose other columns have the
+    least hash. Which row that is doesn't change between runs. Columns may have any name; nulls in others than id and text don't matter. Null, empty and blank
+    texts and rows without an id are never selected; an empty table gives no rows.
     """
-    found = _served(df, weights, budget, id_col, text_col, source_col, alpha, epochs, seed)
-    plan = found.groupBy(F.col("id").alias("__id"), F.col("h1").alias("__h1")).agg(F.collect_list(F.struct("source", "copies")).alias("__uses"))
-    keyed = df.withColumns({"__id": F.col(id_col).cast("long"), "__h1": F.xxhash64(F.col(text_col).cast("string"))})
-    one = keyed.join(plan.hint("shuffle_hash"), ["__id", "__h1"]).dropDuplicates(["__id", "__h1"])
-    each = one.withColumn("__use", F.explode(F.flatten(F.transform("__uses", lambda u: F.array_repeat(u["source"], u["copies"])))))
-    return each.select(*[F.col("__use").cast(df.schema[c].dataType).alias(c) if c == source_col else F.col(f"`{c}`") for c in df.columns])
+    place = {c: f"c{k}" for k, c in enumerate(df.columns)}
+    plain = df.toDF(*place.values())
+    id_c, text_c, source_c = place[id_col], place[text_col], place[source_col]
+    plan = _served(plain, weights, budget, id_c, text_c, source_c, alpha, epochs, seed).groupBy("id", "h1", "rest", "equals").agg(F.collect_list(F.struct("source", "copies")).alias("uses"))
+    plan = written(plan, "mixed")
+    keyed = plain.withColumns({"id": F.col(id_c), "h1": F.xxhash64(F.col(text_c).cast("string")), "rest": _rest(plain, id_c, text_c)})
+    key, columns = ["id", "h1", "rest"], list(place.values())
+    # The plan is hashed; the texts are shuffled once and not sorted.
+    chosen = keyed.join(plan.where("equals = 1").drop("equals").hint("shuffle_hash"), key).select(*columns, "uses")
+    if not plan.where("equals > 1").isEmpty():
+        # Rows that are equal in all columns, perhaps a great many: each salt finds one of them, then one of these stays.
+        many = plan.where("equals > 1").drop("equals").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        salted = keyed.withColumn("salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int"))
+        found = salted.join(many.hint("shuffle_hash"), [*key, "salt"]).dropDuplicates([*key, "salt"]).dropDuplicates(key)
+        chosen = chosen.union(found.select(*columns, "uses"))
+    each = chosen.withColumn("use", F.explode(F.flatten(F.transform("uses", lambda u: F.array_repeat(u["source"], u["copies"])))))
+    kind = df.schema[source_col].dataType
+    return each.select(*[F.col("use").cast(kind) if c == source_c else F.col(c) for c in columns]).toDF(*df.columns)

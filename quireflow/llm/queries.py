@@ -11,7 +11,7 @@ from .common import table
 
 
 def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash.group_near_duplicates(table(spark, sf_dir, "documents")).selectExpr("id AS doc_id", "`group` AS group_id", "keep")
+    return simhash.group_near_duplicates(table(spark, sf_dir, "documents")).selectExpr("id AS doc_id", "`group` AS group_id", "keep", "class AS class_id", "links AS n_links")
 
 
 def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

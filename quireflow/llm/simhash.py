@@ -14,6 +14,9 @@ orthogonal to D, lest the keys be few. Codes travel as packed 26-byte records, o
 
 A bucket yields the edges of a spanning forest of its "within the radius" graph, never all pairs: members that
 are already connected aren't compared again, so a group of m copies costs O(m) edges, with no cap.
+
+Links are counted once groups are known: every link lies within a group. The distinct codes of a group are compared in blocks of
+``BLOCK`` codes, each pair of blocks a record key of its own, so a large group spreads over all tasks and no pair leaves its task.
 """
 
 from __future__ import annotations
@@ -26,13 +29,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .common import PACKED, PACKED_ARROW, batch, by_part, checkpoint, id_text, packed_batches, partitions, unpack
+from .common import PACKED, batch, by_part, checkpoint, col, id_text, key_of, named, packed_batches, partitions, unpack
 from .components import connected_components
 
 RADIUS, RUN_RADIUS, RUN, POWER = 9, 36, 3, 0.7
-#: Masks that share a record: 2^SHARED. Their groups fit the field up to a radius of 17.
-SHARED = 3
+#: Masks that share a record: 2^SHARED. Their groups fit the field up to a radius of MOST.
+SHARED, MOST = 3, 17
+BLOCK = 4096
 CODE = np.dtype([("a", "<u8"), ("b", "<u8"), ("c", "<u8"), ("group", "<u2")])
+_MEMBER = np.dtype([("key", "<u8"), ("side", "u1"), ("a", "<u8"), ("b", "<u8"), ("c", "<u8"), ("rep", "<i8")])
 _BLOCK = 1 << 13
 _COPIES = K.seeded(71, 3)
 
@@ -77,6 +82,8 @@ def _code(h: np.ndarray, row: np.ndarray, n: int, copies: np.ndarray) -> np.ndar
 @lru_cache(maxsize=8)
 def mask_pairs(radius: int) -> tuple[np.ndarray, np.ndarray]:
     """(the masks of each group: n x 2^SHARED, the positions that all of them keep)."""
+    if not 0 <= radius <= MOST:
+        raise ValueError(f"the radius must be from 0 to {MOST}")
     k = radius + 1
     d = min(SHARED, k - 1)  # D is spanned by the lowest d unit vectors
     seed = K.seeded(5, 64)
@@ -161,18 +168,54 @@ def _forest(pairs: np.ndarray) -> np.ndarray:
     return np.stack([node[own], node[label[own]]], axis=1)
 
 
-def group_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS, run_radius: int = RUN_RADIUS) -> DataFrame:
-    """(id, group, keep): the near-duplicate group of every document; group is its least id, whose document alone has keep.
-
-    Two documents are near duplicates if the codes of their words differ in at most ``radius`` of 64 bits and those of their runs in
-    at most ``run_radius`` of 128; groups are the connected components of that relation, found without loss.
-    Null and empty texts, and texts without a word, are duplicates of nothing and form groups of their own.
-    Texts with the same words have the same code. Rows that share an id count as one document; of several texts
-    under an id all count. Rows with a null id are left out. An empty table gives no rows. Whole texts count, whatever their
-    length, and other columns are ignored.
-    """
-    docs = id_text(df, id_col, text_col)
-    n = partitions(df)
+def pair_counts(run: np.ndarray, side: np.ndarray, close) -> np.ndarray:
+    """How many partners each of n members has. ``run``: its run, in order; within a run members of side 0 pair with each other if there is no side 1,
+    else with those of side 1. ``close(x, y)`` tells which of two arrays of places are near; a single place may stand for one of them."""
+    n, count = len(run), np.zeros(len(run), np.int64)
+    start = np.flatnonzero(np.append(True, run[1:] != run[:-1])) if n else np.zeros(0, np.int64)
+    size = np.diff(np.append(start, n))
+    wide = size > 64
+    for k in range(1, int(size[~wide].max(initial=1))):  # small runs, all at once: each member with its k-th next
+        own = size[~wide & (size > k)] - k
+        x = np.arange(own.sum()) - np.repeat(np.cumsum(own) - own, own) + np.repeat(start[~wide & (size > k)], own)
+        use = x[(side[x] == side[x + k]) == (side[x] == 2)]
+        use = use[close(use, use + k)]
+        count += np.bincount(use, minlength=n) + np.bincount(use + k, minlength=n)
+    for s, m in zip(start[wide], size[wide]):
+        own = np.arange(s, s + m)
+        if side[s] == 2:
+            for k in range(m - 1):
+                near_ones = own[k + 1 :][close(own[k], own[k + 1 :])]
+                count[own[k]] += len(near_ones)
+                count[near_ones] += 1
+        else:
+            left, right = own[side[own] == 0], own[side[own] == 1]
+            for x in left:
+                near_ones = right[close(x, right)]
+                count[x] += len(near_ones)
+                count[near_ones] += 1
+    return count
+
+
+def spread_blocks(root: np.ndarray, member: np.ndarray, blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, key, side) of the records of members whose group has so many blocks: one for each block that the member's own is compared with; side 2 is the
+    block with itself, else 0 is the lesser block and 1 the greater."""
+    row = np.repeat(np.arange(len(root)), blocks)
+    other = np.arange(len(row)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
+    own = (K.mix(member.astype(np.uint64) ^ np.uint64(77)) % np.maximum(blocks, 1).astype(np.uint64)).astype(np.int64)[row]
+    low, high = np.minimum(own, other).astype(np.uint64), np.maximum(own, other).astype(np.uint64)
+    key = K.mix(root[row].astype(np.uint64) ^ K.mix(low * K.GOLD + high + np.uint64(1)))
+    return row, key, np.where(own == other, 2, (own > other).astype(np.int64))
+
+
+def group_sizes(members: DataFrame, block: int = BLOCK) -> DataFrame:
+    """Adds to members (root, ...) the number of blocks of their group, for groups of two or more."""
+    sizes = members.groupBy("root").agg(F.count("*").alias("m")).where("m > 1").select("root", F.ceil(F.col("m") / block).cast("int").alias("blocks"))
+    return members.join(sizes, "root")
+
+
+def _codes(docs: DataFrame) -> DataFrame:
+    """(id, a, b, c, some) of the texts of ``docs``, kept in the shared folder."""
 
     def code(batches):
         schema = pa.schema([("id", pa.int64()), *((k, pa.int64()) for k in "abc"), ("some", pa.bool_())])
@@ -180,8 +223,12 @@ def group_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str =
             f, some = fingerprints(x.column("text"))
             yield batch(schema, x.column("id"), *(np.ascontiguousarray(f[:, k]).view(np.int64) for k in range(3)), some)
 
-    codes = checkpoint(docs.mapInArrow(code, "id long, a long, b long, c long, some boolean"))
-    # The least id stands for a code; ids that hold several texts link their codes.
+    return checkpoint(docs.mapInArrow(code, "id long, a long, b long, c long, some boolean"))
+
+
+def _components(codes: DataFrame, radius: int, run_radius: int) -> tuple[DataFrame, DataFrame]:
+    """((a, b, c, rep) of the distinct codes, rep being the least id; (id, root) of all ids that are linked with another)."""
+    n = partitions(codes)
     # A code grows into many records: spread over all partitions, lest a coalesced few do the work.
     known = codes.where("some").repartition(n, "a", "b", "c").groupBy("a", "b", "c").agg(F.min("id").alias("rep"))
 
@@ -215,15 +262,80 @@ def group_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str =
     left = known.withColumnRenamed("rep", "x")
     right = known.select(F.col("a").alias("a2"), F.col("b").alias("b2"), F.col("c").alias("c2"), F.col("rep").alias("y"))
     links = pairs.join(left, ["a", "b", "c"]).join(right, ["a2", "b2", "c2"]).select("x", "y")
+    # The least id stands for a code; ids that hold several texts link their codes.
     same = codes.where("some").join(known, ["a", "b", "c"]).where("id <> rep").select(F.col("id").alias("x"), F.col("rep").alias("y"))
-    groups = connected_components(links.union(same), "x", "y")
-    ids = codes.select("id").distinct()
-    return ids.join(groups, "id", "left").select(
-        "id", F.coalesce("root", "id").alias("group"), (F.coalesce("root", "id") == F.col("id")).alias("keep")
-    )
+    return known, checkpoint(connected_components(links.union(same), "x", "y"))
+
 
+def _link_counts(known: DataFrame, groups: DataFrame, radius: int, run_radius: int) -> DataFrame:
+    """(a, b, c, links): how many other codes lie within the radii of each that has any, of groups (id, root)."""
+    n = partitions(known)
+    members = group_sizes(known.join(groups, known["rep"] == groups["id"]).select("root", "a", "b", "c"))
 
-def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **radii) -> DataFrame:
-    """The rows of ``df`` but for those whose document isn't the kept one of its group. Rows with a null id stay."""
-    dropped = group_near_duplicates(df, id_col, text_col, **radii).where("not keep").select(F.col("id").alias(id_col))
-    return df.join(dropped.select(F.col(id_col).cast(df.schema[id_col].dataType)).hint("shuffle_hash"), id_col, "left_anti")  # ids are hashed; texts are shuffled once and not sorted
+    def send(batches):
+        for x in batches:
+            root, blocks = x.column("root").to_numpy(), x.column("blocks").to_numpy().astype(np.int64)
+            a, b, c = (x.column(k).to_numpy().view(np.uint64) for k in "abc")
+            for s in range(0, len(root), 1024):
+                row, key, side = spread_blocks(root[s : s + 1024], (a ^ K.mix(b ^ K.mix(c.copy())))[s : s + 1024], blocks[s : s + 1024])
+                record = np.zeros(len(row), _MEMBER)
+                record["key"], record["side"] = key, side
+                record["a"], record["b"], record["c"] = a[s + row], b[s + row], c[s + row]
+                yield from packed_batches((key % np.uint64(n)).astype(np.int64), record, n)
+
+    def count(batches):
+        schema = pa.schema([*((k, pa.int64()) for k in "abc"), ("links", pa.int64())])
+        x = unpack(batches, _MEMBER)
+        x = x[np.argsort(x["key"], kind="stable")]
+        a, b, c = (np.ascontiguousarray(x[k]) for k in "abc")
+
+        def close(p, q):
+            return (np.bitwise_count(a[p] ^ a[q]) <= radius) & (np.bitwise_count(b[p] ^ b[q]) + np.bitwise_count(c[p] ^ c[q]) <= run_radius)
+
+        found = pair_counts(np.ascontiguousarray(x["key"]), x["side"], close)
+        at = np.flatnonzero(found)
+        if len(at):
+            yield batch(schema, a[at].view(np.int64), b[at].view(np.int64), c[at].view(np.int64), found[at])
+
+    counted = by_part(members.select("root", "blocks", "a", "b", "c").mapInArrow(send, PACKED), n).mapInArrow(count, "a long, b long, c long, links long")
+    return counted.groupBy("a", "b", "c").agg(F.sum("links").alias("links"))
+
+
+def group_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS, run_radius: int = RUN_RADIUS) -> DataFrame:
+    """(id, group, keep, class, links): one row for every document.
+
+    ``class`` is the least id whose text has the same code: copies are one class. ``links`` is how many other classes are near duplicates
+    of it, all counted. ``group`` is the least id of the documents that are connected by such links, whose document alone has keep.
+
+    Two documents are near duplicates if the codes of their words differ in at most ``radius`` of 64 bits (17 at most) and those of their runs in
+    at most ``run_radius`` of 128; groups are the connected components of that relation, found without loss.
+    Null and empty texts, and texts without a word, are duplicates of nothing and form groups and classes of their own, with no links.
+    Texts with the same words have the same code. Rows that share an id count as one document; of several texts
+    under an id all count: they are in one group, its class is the least and its links are the sum. Rows with a null id are left out. Ids may be of any type; of
+    others than whole numbers the least is that of the least 64-bit hash. An empty table gives no rows. Whole texts count, whatever their
+    length, and other columns are ignored.
+    """
+    codes = _codes(id_text(df, id_col, text_col))
+    known, groups = _components(codes, radius, run_radius)
+    counts = _link_counts(known, groups, radius, run_radius)
+    classes = known.join(counts, ["a", "b", "c"], "left")
+    per = codes.distinct().join(classes, ["a", "b", "c"], "left")  # a code without a word is in no class
+    docs = per.groupBy("id").agg(F.min(F.when(F.col("some"), F.col("rep"))).alias("rep"), F.coalesce(F.sum(F.when(F.col("some"), F.col("links"))), F.lit(0)).alias("links"))
+    root = F.coalesce("root", "id")
+    out = docs.join(groups, "id", "left").select("id", root.alias("group"), (root == F.col("id")).alias("keep"), F.coalesce("rep", "id").alias("class"), "links")
+    return named(out, df, id_col, "id", "group", "class")
+
+
+def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS, run_radius: int = RUN_RADIUS) -> DataFrame:
+    """The rows of ``df`` but for those whose own text is a near duplicate of the one kept of its group: that with the least id.
+
+    Of an id that holds several texts each is judged by itself. Rows that share id and text stay or go together. Rows with a null id, and null,
+    empty and wordless texts, stay. Ids may be of any type, and columns of any name.
+    """
+    node = F.when(col(df, id_col).isNotNull(), F.xxhash64(col(df, id_col), col(df, text_col).cast("string")))
+    rows = df.select(node.alias("id"), key_of(df, id_col).alias("own"), col(df, text_col).cast("string").alias("text")).where("id is not null")
+    _, groups = _components(_codes(rows.select("id", "text")), radius, run_radius)
+    members = rows.select("id", "own").distinct().join(groups, "id")
+    kept = members.groupBy("root").agg(F.min(F.struct("own", "id")).alias("m"))
+    dropped = members.join(kept, "root").where("id <> m.id").select(F.col("id").alias("_gone"))
+    return df.join(dropped.hint("shuffle_hash"), node == dropped["_gone"], "left_anti")  # keys are hashed; texts are shuffled once and not sorted

@@ -59,3 +59,21 @@ def test_odd_rows(spark):
     assert got == [(4, "", 4, 3), (5, "b", 4, 2), (6, "b", 4, 100_000)]
     assert sorted(r.doc_id for r in M.mixed_rows(df, budget=10**9).collect()) == [4] * 4 + [5] * 4 + [6] * 4
     assert M.mix(df.where("false")).count() == 0 == M.mixed_rows(df.where("false")).count()
+
+
+def test_rows_stay_whole_and_choices_stay_the_same(spark):
+    rows = [("b", "x y z", "s", 77, "k", {"m": 1}), ("b", "x y z", "s", 78, "k", None), ("b", "x y z", "s", 77, "k", {"m": 1}), ("a", "p q", None, 5, None, {}), ("c", "x y z", "t", 1, "k", None)]
+    df = spark.createDataFrame(rows, "doc_id string, text string, source string, id int, rest string, uses map<string,int>")
+    runs = [sorted(map(repr, M.mixed_rows(df.repartition(k), budget=5).collect())) for k in (1, 3, 7)]
+    assert runs[0] == runs[1] == runs[2]
+    assert {(r.doc_id, r.text) for r in M.mixed_rows(df, budget=5).collect()} == {("b", "x y z"), ("a", "p q")}
+    assert all((r.id, r.rest) in {(77, "k"), (78, "k"), (5, None)} for r in M.mixed_rows(df, budget=5).collect())
+    many = spark.createDataFrame([(1, "one two", "s")] * 500 + [(2, "three", "s")], "doc_id long, text string, source string")
+    assert sorted(r.doc_id for r in M.mixed_rows(many, budget=3).collect()) == [1, 2]
+
+
+def test_the_number_of_buckets_changes_nothing(spark, monkeypatch):
+    df = spark.createDataFrame([(i, f"t{i} " * (1 + i % 9), "ab"[i % 2]) for i in range(400)], "doc_id long, text string, source string")
+    want = sorted(M.mix(df, budget=1500).collect())
+    monkeypatch.setattr(M, "BUCKET", 1)
+    assert sorted(M.mix(df, budget=1500).collect()) == want

@@ -56,11 +56,56 @@ def test_groups_equal_brute_force(spark):
     assert sum(k for _, k in got.values()) < len(rows) - 30
 
 
+def test_links_and_classes_equal_brute_force(spark, monkeypatch):
+    rows = texts()
+    rows += [(1000 + k, t) for k, (_, t) in enumerate(rows[40:60])]  # copies: no more links, the same classes
+    code, _ = S.fingerprints(pa.array([t for _, t in rows]))
+    least: dict = {}
+    for (i, _), c in zip(rows, code):
+        least[tuple(c)] = min(least.get(tuple(c), i), i)
+    distinct = np.array(list(least))
+    d = np.bitwise_count(distinct[:, None] ^ distinct[None])
+    near = (d[:, :, 0] <= S.RADIUS) & (d[:, :, 1:].sum(axis=2) <= S.RUN_RADIUS)
+    links = dict(zip(least, near.sum(axis=1) - 1))
+    want = {i: (least[tuple(c)], links[tuple(c)]) for (i, _), c in zip(rows, code)}
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.id: (r["class"], r.links) for r in S.group_near_duplicates(df).collect()} == want and max(links.values()) > 20
+    # The same in blocks of a few codes: a large group spreads over many records.
+    monkeypatch.setattr(S, "group_sizes", lambda m, f=S.group_sizes: f(m, 5))
+    assert {r.id: (r["class"], r.links) for r in S.group_near_duplicates(df).collect()} == want
+
+
+def test_pairs_are_counted_in_wide_runs_too():
+    rng = np.random.default_rng(3)
+    run = np.repeat([1, 2, 3, 4], [200, 150, 5, 70])
+    side = np.concatenate([np.full(200, 2), rng.integers(0, 2, 150), np.full(5, 2), rng.integers(0, 2, 70)])
+    v = rng.integers(0, 6, len(run))
+    got = S.pair_counts(run, side, lambda x, y: v[x] == v[y])
+    ok = (run[:, None] == run) & (v[:, None] == v) & ((side[:, None] != side) | (side[:, None] == 2))
+    np.fill_diagonal(ok, False)
+    assert got.tolist() == ok.sum(axis=1).tolist()
+
+
+def test_ids_of_any_type_and_several_texts(spark):
+    rows = [("doc-a", "one two three four five six"), ("doc-b", "one two three four five six"), ("doc-c", "quite another text it is"), (None, "x"), ("doc-a", "an unrelated second text of the id")]
+    got = {r.id: r for r in S.group_near_duplicates(spark.createDataFrame(rows, "doc_id string, text string")).collect()}
+    assert set(got) == {"doc-a", "doc-b", "doc-c"} and got["doc-a"].group == got["doc-b"].group and got["doc-c"].group == got["doc-c"]["class"] == "doc-c"
+    assert sum(got[k].keep for k in ("doc-a", "doc-b")) == 1
+    df = spark.createDataFrame([(1, "one two three four five six", 1), (2, "one two three four five six", 2), (2, "an unrelated second text of the id", 3)], "doc_id long, text string, `a.b` int")
+    assert sorted(r["a.b"] for r in S.drop_near_duplicates(df).collect()) == [1, 3]  # the second text of 2 is no copy
+    import pytest
+
+    with pytest.raises(ValueError):
+        S.mask_pairs(S.MOST + 1)
+
+
 def test_odd_rows(spark):
     long = "x y z " * 50_000
     rows = [(1, None, 1), (2, "", 2), (3, "a b c", 3), (3, "a b c", 3), (4, "A b, c!", 4), (None, "a b c", 5), (6, "...", 6), (7, long, 7), (8, long, 8)]
     df = spark.createDataFrame(rows, "doc_id long, text string, id int").withColumnRenamed("id", "group")
-    got = {r.id: (r.group, r.keep) for r in S.group_near_duplicates(df).collect()}
+    whole = {r.id: r for r in S.group_near_duplicates(df).collect()}
+    assert {i: (r["class"], r.links) for i, r in whole.items()} == {1: (1, 0), 2: (2, 0), 3: (3, 0), 4: (3, 0), 6: (6, 0), 7: (7, 0), 8: (7, 0)}
+    got = {i: (r.group, r.keep) for i, r in whole.items()}
     assert got == {1: (1, True), 2: (2, True), 3: (3, True), 4: (3, False), 6: (6, True), 7: (7, True), 8: (7, False)}
     assert S.group_near_duplicates(df.where("false")).count() == 0
     assert sorted(r.group for r in S.drop_near_duplicates(df).collect()) == [1, 2, 3, 3, 5, 6, 7]
