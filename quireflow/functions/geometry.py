@@ -1,10 +1,13 @@
-"""Box geometry as column expressions, and reading order as plain functions for ``applyInPandas``."""
+"""Box and contour geometry as column expressions; reading order, hulls and slices of contours as plain functions over a page."""
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from . import bound
+
 Box = tuple[float, float, float, float]
 
 
@@ -26,45 +29,140 @@ def overlap_share(a1: Column, a2: Column, b1: Column, b2: Column) -> Column:
 def covered_share(ax1, ay1, ax2, ay2, bx1, by1, bx2, by2) -> Column:
     """The part of box a that box b covers."""
     inter = F.greatest(F.lit(0), F.least(ax2, bx2) - F.greatest(ax1, bx1)) * F.greatest(F.lit(0), F.least(ay2, by2) - F.greatest(ay1, by1))
-    area = (ax2 - ax1) * (ay2 - ay1)
+    area = F.greatest(F.lit(0), ax2 - ax1) * F.greatest(F.lit(0), ay2 - ay1)
     return F.when(area > 0, inter / area).otherwise(0.0)
 
 
+def inside(ax1, ay1, ax2, ay2, bx1, by1, bx2, by2, slack: int = 1) -> Column:
+    """Whether box a lies in box b, but for so many pixels at each side."""
+    return (ax1 >= bx1 - slack) & (ay1 >= by1 - slack) & (ax2 <= bx2 + slack) & (ay2 <= by2 + slack)
+
+
 def skew(angle: Column) -> Column:
-    """An angle brought to (-45, 45]."""
-    a = F.pmod(angle + 45, F.lit(90.0)) - 45
-    return F.when(a == -45, 45.0).otherwise(a)
+    """The tilt that the angle of a least rectangle stands for, whichever side it is measured from: 45 and -45 stay as they are."""
+    return F.when(angle.between(0, 90), F.when(angle > 45, angle - 90).otherwise(angle)).when(angle < -45, angle + 90).otherwise(angle)
+
+
+def trimmed_angle(angles: Column) -> Column:
+    """The mean of an array of (a, w), weighted by w, of the angles within three median deviations of the median; of all if that deviation is 0; 0 if there are none."""
+
+    def mean(kept):
+        total = lambda f: F.aggregate(kept, F.lit(0.0), lambda s, x: s + f(x))
+        return bound(total(lambda x: x["w"]), lambda weight: F.when(weight > 0, F.try_divide(total(lambda x: x["a"] * x["w"]), weight)).otherwise(F.try_divide(total(lambda x: x["a"]), F.size(kept))))
+
+    def trimmed(center):
+        spread = median_of(F.array_sort(F.transform(angles, lambda x: F.abs(x["a"] - center))))
+        return bound(spread, lambda s: bound(F.filter(angles, lambda x: (s == 0) | (F.abs(x["a"] - center) <= 3 * s)), mean))
+
+    return F.when(F.size(angles) == 0, 0.0).otherwise(bound(median_of(F.array_sort(F.transform(angles, lambda x: x["a"]))), trimmed))
+
+
+def median_of(ordered: Column) -> Column:
+    """The median of a sorted array; null of an empty one."""
+
+    def middle(xs):
+        n = F.size(xs)
+        at = lambda k: F.get(xs, F.floor(k).cast("int"))
+        return F.when(n > 0, (at((n - 1) / 2) + at(n / 2)) / 2)
+
+    return bound(ordered, middle)
+
+
+def page_rotation(rects: Column, most: float = 5.0, least: float = 0.2) -> Column:
+    """The rotation of a page from the least rectangles (angle, w, h) of its lines: level and steep ones don't count, a small result is 0 and one beyond the
+    greatest allowed is an error."""
+    tilted = F.transform(rects, lambda r: F.struct(skew(r["angle"].cast("double")).alias("a"), F.greatest(r["w"] * r["h"], F.lit(1)).cast("double").alias("w")))
+    used = F.filter(tilted, lambda t: (F.abs(t["a"]) >= 1e-6) & (F.abs(t["a"]) <= most))
+    too_far = F.raise_error(F.lit("the angle of the page is beyond the greatest allowed")).cast("double")
+    return bound(bound(used, trimmed_angle), lambda angle: F.when(F.abs(angle) > most, too_far).when(F.abs(angle) < least, 0.0).otherwise(angle))
 
 
 def clamp_short(c: Column) -> Column:
     return F.greatest(F.lit(-32768), F.least(F.lit(32767), c)).cast("short")
 
 
-def gaps(spans: list[tuple[float, float]]) -> list[tuple[float, float, float]]:
-    """(width, start, end) of what lies between merged intervals."""
+def scaled_points(points: Column, sx: Column, sy: Column) -> Column:
+    """The points (x, y) of a contour in a frame of another size, rounded, halves to even."""
+    return F.transform(points, lambda p: F.struct(F.bround(p["x"] * sx, 0).cast("int").alias("x"), F.bround(p["y"] * sy, 0).cast("int").alias("y")))
+
+
+def rotated_points(points: Column, degrees: Column, width: Column, height: Column) -> Column:
+    """The points (x, y) of a contour turned counter-clockwise about the middle of the page, rounded, halves to even; as they are where the angle is 0."""
+    c, s = F.cos(F.radians(degrees)), F.sin(F.radians(degrees))
+    cx, cy = width / 2.0, height / 2.0
+
+    def turned(p):
+        x, y = p["x"] - cx, p["y"] - cy
+        return F.struct(F.bround(c * x + s * y + cx, 0).cast("int").alias("x"), F.bround(c * y - s * x + cy, 0).cast("int").alias("y"))
+
+    return F.when(F.abs(degrees) < 1e-12, points).otherwise(F.transform(points, turned))
+
+
+def bounds(points: Column) -> Column:
+    """(x, y, w, h) of a contour; both edges count."""
+    side = lambda k: (F.array_min(F.transform(points, lambda p: p[k])), F.array_max(F.transform(points, lambda p: p[k])))
+    (x1, x2), (y1, y2) = side("x"), side("y")
+    return F.struct(x1.alias("x"), y1.alias("y"), (x2 - x1 + 1).alias("w"), (y2 - y1 + 1).alias("h"))
+
+
+def crop_margin(width: Column, height: Column, box_height: Column, page_share: float, least: int = 8, box_share: float = 0.0) -> Column:
+    """Pixels around a crop: the greatest of a least number, a share of the shorter side of the page and a share of the height of the box; halves round to even."""
+    share = lambda c, f: F.bround(c * F.lit(float(f)), 0).cast("int")
+    return F.greatest(F.lit(least), share(F.least(width, height), page_share), share(F.greatest(box_height, F.lit(1)), box_share) if box_share > 0 else F.lit(0))
+
+
+def nearest_to_mean(deltas: Column) -> Column:
+    """The place of the deviation nearest to the mean of all, zeros included. Zeros aren't chosen, of equals the first is; -1 if none is nearer than the greatest is great."""
+
+    def place(ds):
+        mean = F.aggregate(ds, F.lit(0.0), lambda s, d: s + d) / F.size(ds)
+
+        def best(m, most):
+            gaps = F.transform(ds, lambda d, k: F.struct(F.abs(m - d).alias("gap"), k.alias("k"), d.alias("d")))
+            return F.coalesce(F.array_min(F.filter(gaps, lambda g: (g["d"] > 0) & (g["gap"] < most)))["k"], F.lit(-1))
+
+        return bound(F.struct(mean.alias("m"), F.array_max(ds).alias("most")), lambda b: best(b["m"], b["most"]))
+
+    return bound(deltas, place).cast("int")
+
+
+def serialized_points(given: Column, wanted: Column) -> Column:
+    """Rows [in_y, in_x, out_y, out_x] of two arrays of points (y, x); what one has more than the other is left out; null if nothing is left."""
+    n = F.least(F.size(given), F.size(wanted))
+    rows = F.transform(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))), lambda k: F.array(*[F.get(p, k)[s].cast("float") for p in (given, wanted) for s in ("y", "x")]))
+    return F.when(n > 0, rows)
+
+
+def read_points(rows: Column) -> Column:
+    """((x, y) of the given, (x, y) of the wanted points) of serialized rows."""
+    side = lambda at: F.transform(rows, lambda r: F.struct(r[at + 1].alias("x"), r[at].alias("y")))
+    return F.struct(side(0).alias("given"), side(2).alias("wanted"))
+
+
+def gaps(spans: list[tuple[float, float]]) -> list[tuple[float, float]]:
+    """(start, end) of what lies between merged intervals."""
     out, end = [], None
     for a, b in sorted(spans):
         if end is not None and a > end:
-            out.append((a - end, end, a))
+            out.append((end, a))
         end = b if end is None else max(end, b)
     return out
 
 
-def xy_cut(boxes: list[Box]) -> list[int]:
-    """Reading order: cut at the widest gap, a horizontal cut where two are as wide; boxes without a gap go by (y, x)."""
+def xy_cut(boxes: list[Box], width: float, height: float) -> list[int]:
+    """Reading order of the boxes of a page: cut at the gap that is the greatest share of its side of the page, across the page where two are as great; boxes go to the
+    side of the cut where their middle is. Of equal gaps of a side that further on is taken. Boxes without a gap go by (y, x)."""
+    side = (max(1, int(width)), max(1, int(height)))
 
     def order(own: list[int]) -> list[int]:
         if len(own) < 2:
             return own
-        best = None
-        for axis in (1, 0):
-            for width, _, end in gaps([(boxes[k][axis], boxes[k][axis + 2]) for k in own]):
-                if best is None or width > best[0]:
-                    best = (width, axis, end)
-        if best is None:
-            return sorted(own, key=lambda k: (boxes[k][1], boxes[k][0], k))
-        _, axis, end = best
-        return order([k for k in own if boxes[k][axis] < end]) + order([k for k in own if boxes[k][axis] >= end])
+        cuts = [((b - a) / side[axis], axis, (a + b) / 2) for axis in (0, 1) for a, b in gaps([(boxes[k][axis], boxes[k][axis + 2]) for k in own])]
+        if not cuts:
+            return sorted(own, key=lambda k: (boxes[k][1], boxes[k][0]))
+        _, axis, at = max(cuts)
+        before = [k for k in own if (boxes[k][axis] + boxes[k][axis + 2]) / 2 < at]
+        return order(before) + order([k for k in own if k not in set(before)])
 
     return order(list(range(len(boxes))))
 
@@ -97,6 +195,28 @@ def columns_of(boxes: list[Box], least_vertical: float = 0.6, most_horizontal: f
     return sorted(best, key=lambda k: (boxes[k][0] + boxes[k][2], k)) if best else None
 
 
+def outermost(boxes: list[Box], slack: int = 1, share: float = 0.95) -> list[int]:
+    """The boxes that don't lie in a greater one, but for the slack or by that share of their area; of equals the first stays."""
+    area = [max(0, x2 - x1) * max(0, y2 - y1) for x1, y1, x2, y2 in boxes]
+
+    def within(a, b, own):
+        if a[0] >= b[0] - slack and a[1] >= b[1] - slack and a[2] <= b[2] + slack and a[3] <= b[3] + slack:
+            return True
+        shared = max(0, min(a[2], b[2]) - max(a[0], b[0])) * max(0, min(a[3], b[3]) - max(a[1], b[1]))
+        return own > 0 and shared / own >= share
+
+    greater = lambda j, i: (area[j], -j) > (area[i], -i)
+    return [i for i, a in enumerate(boxes) if not any(greater(j, i) and within(a, b, area[i]) for j, b in enumerate(boxes) if j != i)]
+
+
+def body_regions(boxes: list[Box], width: float, height: float) -> list[int]:
+    """The text boxes to read, in order: two columns side by side if there are no more than two boxes that aren't nested, else those by the XY-cut."""
+    kept, columns = outermost(boxes), columns_of(boxes)
+    if columns and len(columns) == 2 and len(kept) <= 2:
+        return columns
+    return [kept[k] for k in xy_cut([boxes[k] for k in kept], width, height)]
+
+
 def hull(points: list[tuple[float, float]]) -> list[tuple[float, float]]:
     """Convex hull, counter-clockwise from the least point."""
     pts = sorted(set(points))
@@ -114,12 +234,85 @@ def hull(points: list[tuple[float, float]]) -> list[tuple[float, float]]:
     return chain(pts)[:-1] + chain(pts[::-1])[:-1]
 
 
-def anchored_lines(ys: Column, threshold: float) -> Column:
+def least_rectangle(points: list[tuple[float, float]]) -> tuple[float, float, float]:
+    """(angle in [0, 90), width, height) of the smallest rectangle around a contour; one of its sides lies on the hull."""
+    pts = np.array(hull([tuple(p) for p in points]), float)
+    if len(pts) < 3:
+        d = pts[-1] - pts[0]
+        return float(np.degrees(np.arctan2(d[1], d[0])) % 90), float(np.hypot(*d)), 0.0
+    edge = np.roll(pts, -1, axis=0) - pts
+    best = None
+    for t in np.arctan2(edge[:, 1], edge[:, 0]):
+        along, across = pts @ [np.cos(t), np.sin(t)], pts @ [-np.sin(t), np.cos(t)]
+        w, h = float(np.ptp(along)), float(np.ptp(across))
+        if best is None or w * h < best[0] - 1e-9:
+            best = (w * h, float(np.degrees(t) % 90), w, h)
+    return best[1:]
+
+
+def contour_slices(points: np.ndarray, width: int = 40) -> tuple[np.ndarray, np.ndarray]:
+    """((x, y) of the middles, heights) of five upright slices of a filled contour: at the left, ending at a quarter, from the middle, from three quarters, at the right.
+
+    The contour's edges belong to it. A slice without width or content counts as the whole height of the contour."""
+    (x, y), (x2, y2) = points.min(axis=0), points.max(axis=0)
+    w, h = int(x2 - x + 1), int(y2 - y + 1)
+    top, low = _filled(points - [x, y], w)
+    half, quarter = w // 2, w // 4
+    starts = [0, quarter - width, half, half + quarter, w - width]
+    middles, heights = [], []
+    for a in starts:
+        a, b = (min(max(v, 0), w) for v in (a, a + width))
+        some = np.flatnonzero(low[a:b] >= top[a:b]) if b > a else []
+        if not len(some):
+            middles.append((x + a + ((b - a) // 2 if b > a else width // 2), y + h // 2))
+            heights.append(h)
+            continue
+        first, last = int(top[a:b][some].min()), int(low[a:b][some].max())
+        middles.append((x + a + (b - a) // 2, y + (first + last) // 2))
+        heights.append(last - first + 1)
+    return np.array(middles), np.array(heights)
+
+
+def _filled(points: np.ndarray, w: int) -> tuple[np.ndarray, np.ndarray]:
+    """(highest, lowest row) of a filled polygon in each column; the lowest is above the highest where there is nothing."""
+    top, low = np.full(w, np.iinfo(np.int64).max), np.full(w, -1, np.int64)
+    for (xa, ya), (xb, yb) in zip(points, np.roll(points, -1, axis=0)):
+        steps = int(max(abs(xb - xa), abs(yb - ya), 1))
+        k = np.arange(steps + 1)
+        xs, ys = (np.rint(a + (b - a) * k / steps).astype(np.int64) for a, b in ((xa, xb), (ya, yb)))
+        np.minimum.at(top, xs, ys)
+        np.maximum.at(low, xs, ys)
+    return top, low
+
+
+def control_points(contours: list[np.ndarray], width: int, height: int, slice_width: int = 40, corners: bool = True) -> list[tuple[float, float, float, float]] | None:
+    """Rows (in_y, in_x, out_y, out_x) that straighten a page, None where no line is bent.
+
+    A line is bent if the middles of its slices spread further than the slices are high on average. The bent line whose spread is nearest to the mean of all lines (0
+    for straight ones) gives the points; the corners of the page stay in place."""
+    if not contours:
+        return None
+    found = [contour_slices(np.asarray(c), slice_width) for c in contours]
+    spread = [float(np.ptp(m[:, 1])) if np.ptp(m[:, 1]) > s.mean() else 0.0 for m, s in found]
+    mean = float(np.mean(spread))
+    near = [(abs(mean - d), k) for k, d in enumerate(spread) if d > 0 and abs(mean - d) < max(spread)]
+    if not near:
+        return None
+    middles = found[min(near)[1]][0]
+    level = round(float(middles[:, 1].mean()))
+    rows = [(float(cy), float(cx), float(level), float(cx)) for cx, cy in middles]
+    if corners:
+        rows += [(y, x, y, x) for y in (0.0, height - 1.0) for x in (0.0, width - 1.0)]
+    return rows
+
+
+def anchored_lines(ys: Column, threshold: float | Column) -> Column:
     """The line of each box in the order given: a line ends where a box lies further below than the threshold from its first box."""
+    limit = F.lit(float(threshold)) if not isinstance(threshold, Column) else threshold
     first = F.struct(F.lit(None).cast("double").alias("anchor"), F.lit(-1).alias("line"), F.array().cast("array<int>").alias("out"))
 
     def step(a, y):
-        new = a["anchor"].isNull() | (y - a["anchor"] > threshold)
+        new = a["anchor"].isNull() | (y - a["anchor"] > limit)
         line = F.when(new, a["line"] + 1).otherwise(a["line"])
         return F.struct(F.when(new, y.cast("double")).otherwise(a["anchor"]).alias("anchor"), line.alias("line"), F.concat(a["out"], F.array(line)).alias("out"))
 

@@ -8,26 +8,29 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType
+from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
+
+from . import bound
 
 
 def softmax(logits: Column) -> Column:
     """Probabilities, with the greatest score moved to 0 first."""
-    top = F.array_max(logits)
-    e = F.transform(logits, lambda x: F.exp((x - top).cast("double")))
-    total = F.aggregate(e, F.lit(0.0), lambda a, x: a + x)
-    return F.transform(e, lambda x: x / total)
+    raised = bound(F.array_max(logits), lambda top: F.transform(logits, lambda x: F.exp((x - top).cast("double"))))
+    return bound(raised, lambda e: bound(F.aggregate(e, F.lit(0.0), lambda a, x: a + x), lambda total: F.transform(e, lambda x: x / total)))
 
 
 def entropy(logits: Column) -> Column:
     """In nats; 0 for an empty array."""
-    return F.when(F.size(logits) == 0, 0.0).otherwise(F.aggregate(F.filter(softmax(logits), lambda p: p > 0), F.lit(0.0), lambda a, p: a - p * F.ln(p)))
+    own = lambda p: F.aggregate(F.filter(p, lambda x: x > 0), F.lit(0.0), lambda a, x: a - x * F.ln(x))
+    return F.when(F.size(logits) == 0, 0.0).otherwise(bound(logits, lambda v: own(softmax(v))))
 
 
 def log_softmax(logits: Column) -> Column:
-    top = F.array_max(logits).cast("double")
-    total = F.aggregate(logits, F.lit(0.0), lambda a, x: a + F.exp(x.cast("double") - top))
-    return F.transform(logits, lambda x: x.cast("double") - top - F.ln(total))
+    def shifted(v, top):
+        total = F.ln(F.aggregate(v, F.lit(0.0), lambda a, x: a + F.exp(x.cast("double") - top)))
+        return bound(total, lambda t: F.transform(v, lambda x: x.cast("double") - top - t))
+
+    return bound(logits, lambda v: bound(F.array_max(v).cast("double"), lambda top: shifted(v, top)))
 
 
 def argmax(values: Column) -> Column:
@@ -43,8 +46,12 @@ def greedy_path(best: Column, blank: int = 0) -> Column:
 
 def greedy_confidence(best: Column, score: Column, blank: int = 0) -> Column:
     """Mean score of the steps that emit; minus infinity if none does."""
-    kept = F.filter(F.transform(best, lambda x, i: F.when((x != blank) & ((i == 0) | (x != F.get(best, i - 1))), F.get(score, i))), lambda s: s.isNotNull())
-    return F.when(F.size(kept) == 0, F.lit(float("-inf"))).otherwise(F.aggregate(kept, F.lit(0.0), lambda a, s: a + s) / F.size(kept))
+
+    def mean(b):
+        kept = F.filter(F.transform(b["b"], lambda x, i: F.when((x != blank) & ((i == 0) | (x != F.get(b["b"], i - 1))), F.get(b["s"], i))), lambda s: s.isNotNull())
+        return bound(kept, lambda k: F.when(F.size(k) == 0, F.lit(float("-inf"))).otherwise(F.aggregate(k, F.lit(0.0), lambda a, s: a + s) / F.size(k)))
+
+    return bound(F.struct(best.alias("b"), score.alias("s")), mean)
 
 
 def repetition_penalty(length: Column, allowed: int = 12, multiplier: float = 0.8, base: float = 1.75) -> Column:
@@ -52,16 +59,16 @@ def repetition_penalty(length: Column, allowed: int = 12, multiplier: float = 0.
     return F.when(length >= allowed, -multiplier * F.pow(F.lit(base), length - allowed)).otherwise(0.0)
 
 
-def match_lengths(ids: list[int], window: int = 512, most: int = 50) -> dict[int, int]:
-    """For each token that once followed the present suffix: the length of the longest such suffix."""
+def match_lengths(ids: list[int], window: int = 512, most: int = 50, breakers: frozenset = frozenset()) -> dict[int, int]:
+    """For each token that once followed the present suffix: the length of the longest such suffix, ``most`` + 1 at most, without a breaker in it. A breaker follows nothing."""
     ids = list(ids)[-window:]
     out: dict[int, int] = {}
-    if not ids:
+    if len(ids) < 2 or ids[-1] in breakers:
         return out
     for i in range(len(ids) - 1):
-        if ids[i] == ids[-1]:
+        if ids[i] == ids[-1] and ids[i + 1] not in breakers:
             n = 1
-            while n < most and n <= i and ids[i - n] == ids[-1 - n]:
+            while n <= most and n <= i and ids[i - n] == ids[-1 - n] and ids[i - n] not in breakers:
                 n += 1
             out[ids[i + 1]] = max(out.get(ids[i + 1], 0), n)
     return out
@@ -72,6 +79,43 @@ def longest_repeat(ids: pd.Series) -> pd.Series:
     return ids.map(lambda x: max(match_lengths(x).values(), default=0) if x is not None else 0).astype("int32")
 
 
+_FIRES = StructType([StructField(n, DoubleType() if n.endswith("penalty") else IntegerType()) for n in ("fires", "max_length", "max_penalty", "sum_penalty", "first_pos", "last_pos")])
+
+
+def repeat_telemetry(ids, allowed: int = 12, multiplier: float = 0.8, base: float = 1.75, window: int = 512, most: int = 50) -> tuple:
+    """(fires, greatest length, greatest and summed penalty, first and last position) of the steps of a decoded row at which some token was penalised.
+
+    One pass: at each step the runs that end there and at an earlier place grow from those of the step before."""
+    ids = np.asarray(ids)
+    fires, top, worst, total, first, last = 0, 0, 0.0, 0.0, None, None
+    back = np.zeros(0, np.int64)  # by distance from the last place: length of the run that ends there and at the last place
+    for n in range(2, len(ids) + 1):
+        near = ids[max(0, n - window) : n]
+        same = near[:-1] == near[-1]
+        grown = np.zeros(len(same), np.int64)
+        grown[: len(same)] = 1
+        if len(back):
+            k = min(len(back), len(same) - 1) if len(same) > 1 else 0
+            if k:
+                grown[-k:] += back[-k:]
+        full = np.where(same, grown, 0)
+        # A run can't reach before the window.
+        full = np.minimum(full, np.arange(1, len(full) + 1))
+        back = full
+        best = int(min(full.max(initial=0), most + 1))
+        if best >= allowed:
+            penalty = multiplier * base ** (best - allowed)
+            fires, top, worst, total = fires + 1, max(top, best), max(worst, penalty), total + penalty
+            first, last = n if first is None else first, n
+    return fires, top, worst, total, first, last
+
+
+@F.pandas_udf(_FIRES)
+def repeat_fires(ids: pd.Series) -> pd.DataFrame:
+    rows = [repeat_telemetry(x if x is not None else []) for x in ids]
+    return pd.DataFrame(rows, columns=_FIRES.names).astype({"first_pos": "Int32", "last_pos": "Int32"})
+
+
 def beam_search(logp: np.ndarray, width: int = 64, least: float = -3.0, blank: int = 0) -> tuple[list[int], float]:
     """Prefix beam search over steps x symbols of log probabilities; symbols below ``least`` (but the best of a step) are left out."""
     beams = {(): (0.0, -math.inf)}
@@ -110,17 +154,38 @@ def hybrid_decode(logits: np.ndarray, gate: float = -0.5, width: int = 64, blank
 
 
 def fitted_scale(glyph: Column, original: Column, budget: Column, scales: tuple[float, ...] = (0.6, 0.75, 1.0), least: float = 24.0) -> Column:
-    """The smallest scale that keeps glyphs tall enough once the page is brought within its budget of pixels; 1 if none does."""
-    fit = F.least(F.lit(1.0), F.sqrt(budget / original))
-    fine = F.filter(F.array(*[F.lit(s) for s in scales]), lambda s: glyph * s * fit >= least)
-    return F.coalesce(F.try_element_at(fine, F.lit(1)), F.lit(1.0))
+    """The smallest share of the budget of pixels that keeps glyphs tall enough on the page brought within it; the last one if none does or the glyphs aren't known."""
+    fine = F.filter(F.array(*[F.lit(s) for s in scales]), lambda s: glyph * F.least(F.lit(1.0), F.sqrt(s * budget / original)) >= least)
+    return F.when(glyph > 0, F.coalesce(F.try_element_at(fine, F.lit(1)), F.lit(scales[-1]))).otherwise(scales[-1])
 
 
 def fitted_size(w: Column, h: Column, budget: float, least: int = 28) -> Column:
-    """(width, height) within the budget, never larger than before, at least ``least``; halves round to even."""
-    s = F.least(F.lit(1.0), F.sqrt(F.lit(float(budget)) / (w * h)))
-    side = lambda x: F.greatest(F.bround(x * s, 0).cast("int"), F.lit(least))
-    return F.struct(side(w).alias("w"), side(h).alias("h"))
+    """(width, height) within the budget of pixels; a page that is, stays as it is, and no side shrinks below ``least``; halves round to even."""
+    s = F.sqrt(F.lit(float(budget)) / (w * h))
+    side = lambda x: F.when(w * h <= budget, x).otherwise(F.greatest(F.bround(x * s, 0).cast("int"), F.lit(least)))
+    return F.struct(side(w).cast("int").alias("w"), side(h).cast("int").alias("h"))
+
+
+def capped_scale(w: Column, h: Column, side: float, pixels: float) -> Column:
+    """The scale that brings a page within the longest side and the number of pixels; 1 at most, and for a page without size."""
+    s = F.least(F.lit(1.0), F.lit(float(side)) / F.greatest(w, h), F.sqrt(F.lit(float(pixels)) / (w * h)))
+    return F.when((w > 0) & (h > 0), s).otherwise(1.0)
+
+
+def patch_scale(w: Column, h: Column, most_w: float, most_h: float, patch: int, overlap: int = 78, snap: int = 78, rows: int = 2) -> Column:
+    """The scale at which a page is cut into square patches whose rows overlap. Very wide pages become one row. Others are fitted into the greatest size, raised to one
+    row if they are near it, lowered to a whole number of rows if they are little above it, and lowered to so many rows at most (0: any number)."""
+    stride = patch - overlap
+    fit = F.least(F.lit(float(most_w)) / w, F.lit(float(most_h)) / h, F.lit(1.0))
+    tall = h * fit
+    tall = F.when((tall < patch) & (tall > 0.75 * patch), float(patch)).otherwise(tall)
+    row = patch + F.floor((tall - patch) / F.lit(float(stride))) * stride
+    if snap > 0:
+        tall = F.when((tall > patch) & (tall - row > 0) & (tall - row <= snap), row.cast("double")).otherwise(tall)
+    if rows > 0:
+        tall = F.least(tall, F.lit(float(patch + (rows - 1) * stride)))
+    wide = F.least(F.lit(float(patch)) / h, F.lit(float(most_w)) / w)
+    return F.when((w <= 0) | (h <= 0), F.raise_error(F.lit("a page without size")).cast("double")).when(w > 2.5 * h, wide).otherwise(tall / h)
 
 
 def tile_counts(w: Column, h: Column, tile: int = 512) -> Column:
@@ -156,6 +221,55 @@ def dual_chunks(tiles: Column, frames: int = 16, limit: int = 80) -> Column:
     return F.aggregate(tiles, first, step, lambda a: a["out"])
 
 
-def lease_schedule(total: int, timeout: int = 300, every: int = 60, most: int = 43_200) -> list[int]:
-    """Seconds granted by each extension: never past the deadline, 1 at least, none once it is reached."""
-    return [max(1, min(timeout, total - t, most)) for t in range(every, total, every)]
+def frame_spans(lengths: Column, frames: Column) -> Column:
+    """(start, end) of the frames of each piece of a line: a share by its length, cut to whole frames and one at least, one piece after the other."""
+    kind = "array<struct<start:bigint,end:bigint>>"
+    first = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(kind).alias("out"))
+
+    def spans(total):
+        def step(a, n):
+            own = F.greatest(F.lit(1).cast("long"), F.floor(F.try_divide(frames * n, total)).cast("long"))
+            return F.struct((a["at"] + own).alias("at"), F.concat(a["out"], F.array(F.struct(a["at"].alias("start"), (a["at"] + own).alias("end")))).alias("out"))
+
+        return F.when(total > 0, F.aggregate(lengths, first, step, lambda a: a["out"])).otherwise(F.array().cast(kind))
+
+    return bound(F.aggregate(lengths, F.lit(0).cast("long"), lambda a, n: a + n), spans)
+
+
+def span_confidence(best: Column, start: Column, end: Column) -> Column:
+    """The mean of the best scores of the frames from start to end, end not included; minus infinity where there are none."""
+    own = F.slice(best, (start + 1).cast("int"), F.greatest(end - start, F.lit(0)).cast("int"))
+    return bound(own, lambda o: F.when(F.size(o) == 0, F.lit(float("-inf"))).otherwise(F.aggregate(o, F.lit(0.0), lambda a, x: a + x) / F.size(o)))
+
+
+def to_pixels(frame: Column, width: Column, frames: Column) -> Column:
+    """The pixel of a frame of a line so wide; the frame itself where the line has none."""
+    return (frame * F.when(frames > 0, width / frames).otherwise(1.0)).cast("long")
+
+
+def run_metrics(tokens: Column, arrival: Column, scheduled: Column, first: Column, last: Column) -> Column:
+    """(itl_ms, generation_throughput, e2e_latency_s, prefill_s, decode_s) from times in seconds: no span is below 0, and what isn't known is null."""
+    span = lambda a, b: F.when(a.isNotNull() & b.isNotNull(), F.greatest(F.lit(0.0), b - a))
+    decode = span(first, last)
+    some = (tokens > 0) & (decode > 0)
+    return F.struct(
+        F.when(some, decode / tokens * 1000).alias("itl_ms"), F.when(some, tokens / decode).alias("generation_throughput"), span(arrival, last).alias("e2e_latency_s"), span(scheduled, first).alias("prefill_s"), decode.alias("decode_s")
+    )
+
+
+def lease_schedule(total: int, timeout: int = 300, every: int = 60, most: int = 43_200, stale_at: int | None = None, fails: tuple[int, ...] = (), strikes: int = 3) -> list[int]:
+    """Seconds granted by each extension: never past the deadline, 1 at least, none once it is reached.
+
+    A handle that is stale from ``stale_at`` on ends it, and so do ``strikes`` failures (of the calls at the seconds ``fails``) in a row."""
+    out, bad, total, timeout = [], 0, min(total, most), min(timeout, most)
+    for t in range(every, total, every):
+        if stale_at is not None and t >= stale_at:
+            break
+        if t in fails:
+            bad += 1
+            if bad >= strikes:
+                break
+            continue
+        bad = 0
+        out.append(max(1, min(timeout, total - t)))
+    return out

@@ -4,16 +4,21 @@ from __future__ import annotations
 
 import difflib
 import re
+import unicodedata
 
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType
 
-#: Tsheg, shads and white space part tokens.
-TOKEN_BREAKS = "[་༌།༎༑\\s]+"
-#: Marks that end a syllable.
-SYLLABLE_MARKS = "་༌།༎༏༐༑༒༔ \t\n"
+from . import bound
+
+#: White space as Python's \s has it; Java's \s is ASCII alone.
+WHITE = "\\s\\x1c-\\x1f\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
+#: Tsheg, shad and white space part tokens.
+TOKEN_BREAKS = f"[{chr(0xF0B)}{chr(0xF0D)}{WHITE}]+"
+#: Marks that end a syllable: tshegs, space, shads, visarga, head marks, brackets.
+SYLLABLE_MARKS = "".join(map(chr, (0xF0B, 0xF0C, 0x20, 0xF0D, 0xF34, 0xF7F, 0xFD2, 0xF3C, 0xF3D, 0xFD9, 0xFDA, 0xF14)))
 
 
 def replaced(c: Column, pairs: list[tuple[str, str]]) -> Column:
@@ -23,63 +28,88 @@ def replaced(c: Column, pairs: list[tuple[str, str]]) -> Column:
     return c
 
 
-#: Compound vowel signs and letters against their parts (Unicode's canonical decompositions, with the two that Unicode discourages).
-COMPOSED = [("\u0F73", "\u0F71\u0F72"), ("\u0F75", "\u0F71\u0F74"), ("\u0F81", "\u0F71\u0F80"), ("\u0F76", "\u0FB2\u0F80"), ("\u0F77", "\u0FB2\u0F71\u0F80"), ("\u0F78", "\u0FB3\u0F80"), ("\u0F79", "\u0FB3\u0F71\u0F80"), ("\u0F43", "\u0F42\u0FB7"), ("\u0F4D", "\u0F4C\u0FB7"), ("\u0F52", "\u0F51\u0FB7"), ("\u0F57", "\u0F56\u0FB7"), ("\u0F5C", "\u0F5B\u0FB7"), ("\u0F69", "\u0F40\u0FB5")]
+def _parts(point: int) -> str:
+    """The full canonical or discouraged decomposition of a code point, '' if it has none."""
+    whole = unicodedata.normalize("NFKD", chr(point))
+    return "" if whole == chr(point) else whole
 
 
-def decompose(c: Column) -> Column:
-    return replaced(c, COMPOSED)
+#: Vowel signs that Unicode discourages, against their parts.
+VOWELS = [(chr(p), _parts(p)) for p in (0xF73, 0xF75, 0xF77, 0xF79, 0xF81)]
+#: Letters against letter and subjoined letter, from the Unicode database.
+LETTERS = [(chr(p), _parts(p)) for p in (0xF43, 0xF4D, 0xF52, 0xF57, 0xF5C, 0xF69, 0xF76, 0xF78, 0xF93, 0xF9D, 0xFA2, 0xFA7, 0xFAC, 0xFB9)]
+#: Two code points that Unicode leaves free, which texts use as the aspirates of ja.
+FREE = [(chr(p), chr(p - 1) + chr(0xFB7)) for p in (0xF48, 0xF98)]
+#: The syllable om, and the affricates that are written with a flag.
+FIXED = [(chr(0xF00), chr(0xF68) + chr(0xF7C) + chr(0xF7E)), *((chr(p) + chr(0xF39), chr(p + 0x14)) for p in (0xF45, 0xF46, 0xF47))]
 
 
-def graphical_fold(c: Column) -> Column:
-    """Doubled shads to the double shad, tsheg variants to tsheg, a tsheg before a shad dropped unless the letter is nga."""
-    c = replaced(c, [("།།", "༎"), ("༌", "་"), ("࿒", "་")])
-    c = F.regexp_replace(c, "([^ང])་([།༎])", "$1$2")
-    return F.regexp_replace(c, "ང([།༎])", "ང་$1")
+def unify(c: Column, composed: bool = False) -> Column:
+    """One spelling for what Unicode spells in several ways: letters in parts, or ``composed``."""
+    letters = [(b, a) for a, b in LETTERS] if composed else LETTERS + FREE
+    return replaced(c, VOWELS + letters + FIXED)
 
 
-def repair_start(c: Column) -> Column:
-    """A text can't begin with a vowel sign, which changes place with the next letter, nor with a subjoined letter, which goes."""
-    return F.when(c.rlike("^[ཱ-྄].") & ~c.rlike("^[ཱ-྄][ཱ-ྼ]"), F.concat(F.substring(c, 2, 1), F.substring(c, 1, 1), F.expr("''"), c.substr(F.lit(3), F.length(c)))).when(c.rlike("^[ྐ-ྼ]"), c.substr(F.lit(2), F.length(c))).otherwise(c)
-
-
-def _rank(ch: str) -> int:
-    """Place in a cluster: base, subjoined, aa, vowels below, vowels above, other marks; 0 begins a cluster."""
-    o = ord(ch)
-    if 0x0F90 <= o <= 0x0FBC:
-        return 1
-    if o == 0x0F71:
-        return 2
-    if o in (0x0F74, 0x0F75):
-        return 3
-    if 0x0F72 <= o <= 0x0F7D or o in (0x0F80, 0x0F81):
-        return 4
-    if 0x0F7E <= o <= 0x0F87 or o in (0x0F39, 0x0F35, 0x0F37):
-        return 5
-    return 0
+#: Place in a cluster by code point: 1 is the base that begins it; marks follow as subjoined, below (vowel, mark), above (vowel, mark), right. 0 is no part of one.
+_RANGES = {
+    1: [(0xF01, 0xF01), (0xF20, 0xF33), (0xF40, 0xF6C), (0xF88, 0xF8A), (0xF8C, 0xF8C)],
+    2: [(0xF39, 0xF39), (0xF8D, 0xFBC)],
+    3: [(0xF18, 0xF19), (0xF71, 0xF71), (0xF74, 0xF75)],
+    4: [(0xF35, 0xF35), (0xF37, 0xF37), (0xF84, 0xF84)],
+    5: [(0xF72, 0xF73), (0xF76, 0xF7D), (0xF80, 0xF81)],
+    6: [(0xF7E, 0xF7E), (0xF82, 0xF83), (0xF86, 0xF87)],
+    7: [(0xF3E, 0xF3E), (0xF7F, 0xF7F)],
+}
+RANK = {chr(p): r for r, spans in _RANGES.items() for a, b in spans for p in range(a, b + 1)}
+_BASES, _MARKS = "".join(c for c, r in RANK.items() if r == 1), "".join(c for c, r in RANK.items() if r > 1)
+_CLUSTER = re.compile(f"(?<=[{_BASES}])[{_MARKS}]{{2,}}")
 
 
 def reorder_marks(text: str) -> str:
-    """Sorts the marks after each base by rank, stably."""
-    out, cluster = [], []
-    for ch in text:
-        if not _rank(ch):
-            out += sorted(cluster[1:], key=_rank) if cluster[:1] and not _rank(cluster[0]) else sorted(cluster, key=_rank)
-            out.append(ch)
-            cluster = [ch]
-        else:
-            cluster.append(ch)
-    return "".join(out + (sorted(cluster[1:], key=_rank) if cluster[:1] and not _rank(cluster[0]) else sorted(cluster, key=_rank)))
+    """Sorts the marks after each base by their place, stably; marks without a base stay as they are."""
+    return _CLUSTER.sub(lambda m: "".join(sorted(m[0], key=RANK.__getitem__)), text)
 
 
 @F.pandas_udf(StringType())
 def reordered(s: pd.Series) -> pd.Series:
-    return s.map(lambda t: None if t is None else reorder_marks(t) if re.search("[ཱ-ྼ]", t) else t)
+    return s.map(reorder_marks, na_action="ignore")
+
+
+def _class(*spans: tuple[int, int]) -> str:
+    """The inside of a character class."""
+    return "".join(chr(a) if a == b else f"{chr(a)}-{chr(b)}" for a, b in spans)
+
+
+#: Letters below which a full ra keeps its shape; what goes on with a stack; vowel signs; subjoined letters.
+_UNDER_RA = _class((0xF90, 0xF97), (0xF9A, 0xFAC), (0xFAE, 0xFAF), (0xFB4, 0xFBC))
+_STACKED = _class((0xF8D, 0xFAC), (0xFAE, 0xFAE), (0xFB0, 0xFB0), (0xFB3, 0xFBC))
+_VOWEL, _BELOW = _class((0xF71, 0xF84)), _class((0xF90, 0xFBC))
+
+
+def short_ra(c: Column) -> Column:
+    """The fixed-form ra becomes a plain one where no such letter is below it."""
+    return F.regexp_replace(c, f"{chr(0xF6A)}(?![{_UNDER_RA}])", chr(0xF62))
+
+
+def repair_start(c: Column) -> Column:
+    """A text of two characters or more can't begin with a vowel sign, which changes place with a next that is neither vowel nor subjoined, nor with a subjoined letter, which goes."""
+    swapped = F.regexp_replace(c, f"(?s)^([{_VOWEL}])([^{_VOWEL}{_BELOW}])", "$2$1")
+    return F.when(c.rlike(f"^[{_VOWEL}]"), swapped).otherwise(F.regexp_replace(c, f"(?s)^[{_BELOW}](?=.)", ""))
+
+
+def graphical_fold(c: Column) -> Column:
+    """What looks alike becomes alike: one tsheg, two shads for the double shad, one digit seven, doubled vowel signs, a head mark in parts, and the
+    long-a sign against the subjoined one by whether the stack goes on."""
+    tsheg, shad = chr(0xF0B), chr(0xF0D)
+    c = replaced(c, [(chr(0xF0C), tsheg), (chr(0xF0E), shad * 2), (chr(0xF38), chr(0xF27)), *((chr(p) * 2, chr(p + 1)) for p in (0xF7A, 0xF7C)), (chr(0xF07), f"{chr(0xFD3)}{shad}{chr(0xFD2)}{shad}")])
+    long_a, below = chr(0xF71), chr(0xFB0)
+    c = F.regexp_replace(c, f"{long_a}([{_STACKED}])", f"{below}$1")
+    return F.regexp_replace(c, f"{below}([^{_STACKED}]|$)", f"{long_a}$1")
 
 
 def canonical(c: Column) -> Column:
     """The whole normalisation; null and empty give ''."""
-    return F.coalesce(repair_start(graphical_fold(reordered(decompose(c)))), F.lit(""))
+    return F.coalesce(graphical_fold(repair_start(short_ra(reordered(unify(c))))), F.lit(""))
 
 
 def tokens(c: Column) -> Column:
@@ -87,15 +117,22 @@ def tokens(c: Column) -> Column:
 
 
 def repetition_score(toks: Column, n: int = 20) -> Column:
-    """1 - distinct runs of n tokens / runs; 0 below n tokens."""
-    runs = F.transform(F.sequence(F.lit(1), F.greatest(F.size(toks) - (n - 1), F.lit(1))), lambda i: F.array_join(F.slice(toks, i, n), "\x1f"))
-    return F.when(F.size(toks) < n, 0.0).otherwise(1 - F.size(F.array_distinct(runs)) / F.size(runs))
+    """1 - distinct runs of n tokens / runs; 0 below n tokens. Tokens count as 64-bit hashes and so do runs, so that a run costs eight bytes."""
+
+    def score(hashed):
+        total = F.size(hashed) - (n - 1)
+        runs = F.transform(F.sequence(F.lit(1), F.greatest(total, F.lit(1))), lambda i: F.xxhash64(F.slice(hashed, i, n)))
+        return F.when(total < 1, 0.0).otherwise(1 - F.size(F.array_distinct(runs)) / total)
+
+    return bound(F.transform(toks, lambda t: F.xxhash64(t)), score)
 
 
 def syllables(c: Column, marks: str = SYLLABLE_MARKS) -> Column:
-    """Pieces with the marks that follow them; marks at the start go with the first piece."""
+    """Pieces, each with the marks that follow it. Marks at the start go behind the first character, which they part from the rest of its syllable;
+    a text of marks alone is one piece."""
     own = "".join(re.escape(m) for m in marks)
-    return F.regexp_extract_all(c, F.lit(f"(^[{own}]*[^{own}]+[{own}]*|[^{own}]+[{own}]*|^[{own}]+$)"), 1)
+    moved = F.regexp_replace(c, f"(?s)^([{own}]+)([^{own}])", "$2$1")
+    return F.regexp_extract_all(moved, F.lit(f"([^{own}]+[{own}]*|^[{own}]+$)"), 1)
 
 
 def script_lines(c: Column) -> Column:
@@ -105,28 +142,88 @@ def script_lines(c: Column) -> Column:
 
 def shortened(c: Column, limit: int = 512) -> Column:
     """One line of at most ``limit`` characters; the last is an ellipsis where some are cut. Null stays null."""
-    t = F.trim(F.regexp_replace(c, "\n", " "))
+    t = stripped(F.regexp_replace(c, "\n", " "))
     return F.when(F.length(t) > limit, F.concat(F.substring(t, 1, limit - 1), F.lit("…"))).otherwise(t)
 
 
+def stripped(c: Column) -> Column:
+    """Without white space at either end."""
+    return F.regexp_replace(c, f"^[{WHITE}]+|[{WHITE}]+$", "")
+
+
 def parsed_error(c: Column) -> Column:
-    """(stage, type, message) of ``[Stage] Type: Message``; what doesn't fit is a message of an unknown stage."""
-    pattern = r"(?s)^\[([^\]]+)\] ([^:]+): (.*)$"
-    hit = c.rlike(pattern)
-    part = lambda k, other: F.when(hit, F.regexp_extract(c, pattern, k)).otherwise(other)
-    return F.struct(part(1, F.lit("Unknown")).alias("stage"), part(2, F.lit("Error")).alias("type"), part(3, c).alias("message"))
+    """(stage, type, message) of ``[Stage] Type: Message``. Without a colon after the stage the type is '' and the rest is the message; without a stage both are ''."""
+    staged = c.startswith("[") & c.contains("]")
+    at = F.when(staged, F.instr(c, "]"))
+    rest = stripped(c.substr(at + 1, F.length(c)))
+    colon = F.instr(rest, ":")
+    part = lambda a, b: F.when(~staged, a).when(colon > 0, b).otherwise
+    kind = part(F.lit(""), stripped(rest.substr(F.lit(1), colon - 1)))(F.lit(""))
+    message = part(c, stripped(rest.substr(colon + 1, F.length(rest))))(rest)
+    return F.struct(F.when(staged, c.substr(F.lit(2), at - 2)).otherwise("").alias("stage"), kind.alias("type"), message.alias("message"))
 
 
 def failure_class(kind: Column, message: Column) -> Column:
-    """terminal, timeout or retryable, by the type and words of an error."""
-    t = F.lower(F.concat_ws(" ", kind, message))
-    return F.when(t.contains("timeout"), "timeout").when(t.rlike("valueerror|notfound|invalid"), "terminal").otherwise("retryable")
+    """(retryable, reason) of an error that a job let through, by the name of its type: only one raised as terminal isn't tried again."""
+    reason = F.when(kind.isin("TerminalTaskError", "RetryableTaskError"), message).when(kind == "VolumeTimeoutError", F.concat(F.lit("Volume timeout: "), message)).otherwise(F.concat(kind, F.lit(": "), message))
+    return F.struct((kind != "TerminalTaskError").alias("retryable"), reason.alias("reason"))
+
+
+def pipeline_failure_class(kind: Column, message: Column) -> Column:
+    """(retryable, reason) as a page pipeline sorts its own errors: what isn't there is terminal, all else may pass."""
+    label = lambda text: F.concat(F.lit(f"{text}: "), message)
+    memory = message.contains("CUDA out of memory") | message.contains("OOM")
+    gone = kind.contains("NotFound") | message.contains("404")
+    reason = F.when(kind == "VolumeTimeoutError", label("Volume timeout")).when(memory, label("GPU OOM error")).when(gone, label("Resource not found")).otherwise(F.concat(F.lit("Pipeline error ("), kind, F.lit("): "), message))
+    return F.struct((~gone | memory | (kind == "VolumeTimeoutError")).alias("retryable"), reason.alias("reason"))
+
+
+def lane(c: Column) -> Column:
+    """(lane, media type) of a file by its extension: multi-page formats go the lane of files, all others that of images."""
+    ext = F.when(c.contains("."), F.lower(F.substring_index(c, ".", -1))).otherwise("")
+    tiff = ext.isin("tif", "tiff")
+    media = F.when(tiff, "image/tiff").when(ext.isin("jpg", "jpeg"), "image/jpeg").when(ext == "", "application/octet-stream").otherwise(F.concat(F.lit("image/"), ext))
+    return F.struct(F.when(tiff, "files").otherwise("images").alias("lane"), media.alias("media_type"))
+
+
+def plain_etag(c: Column) -> Column:
+    """An entity tag without one pair of quotes around it."""
+    return F.when(c.rlike('(?s)^".*"$'), c.substr(F.lit(2), F.length(c) - 2)).otherwise(c)
 
 
 def etag_bytes(c: Column) -> Column:
-    """The 16 bytes of an entity tag without quotes and part count; null where it isn't one."""
-    plain = F.substring_index(F.regexp_replace(c, '^"|"$', ""), "-", 1)
-    return F.when(plain.rlike("^[0-9A-Fa-f]{32}$"), F.unhex(plain))
+    """The 16 bytes of an entity tag without quotes and part count. Any other tag is an error; null stays null."""
+    plain = F.substring_index(F.regexp_replace(c, '^"+|"+$', ""), "-", 1)
+    return F.when(plain.rlike("^[0-9A-Fa-f]{32}$"), F.unhex(plain)).when(c.isNotNull(), F.raise_error(F.concat(F.lit("not the 16 bytes of an entity tag: "), c)).cast("binary"))
+
+
+def version_of(etag: Column) -> Column:
+    """The version of an artifact: the first six digits of the tag."""
+    return F.substring(F.substring_index(F.replace(etag, F.lit('"'), F.lit("")), "-", 1), 1, 6)
+
+
+def artifact_name(c: Column) -> Column:
+    """(w_id, i_id) of a path that ends in W…-I…-version.parquet, null otherwise."""
+    pattern = r"(?:^|/)(W[0-9A-Za-z_]+)-(I[0-9A-Za-z_]+)-[0-9A-Za-z]+\.parquet$"
+    return F.when(c.rlike(pattern), F.struct(F.regexp_extract(c, pattern, 1).alias("w_id"), F.regexp_extract(c, pattern, 2).alias("i_id")))
+
+
+def uri_parts(c: Column) -> Column:
+    """(scheme, bucket, key) of an s3 or gs address, (scheme, '', path) of a file. One without bucket, key or path is an error, and so is another scheme."""
+    scheme = F.regexp_extract(c, "^([a-z0-9]+):", 1)
+    remote = scheme.isin("s3", "gs")
+    bucket = F.when(remote, F.regexp_extract(c, "^[a-z0-9]+://([^/]*)", 1)).otherwise("")
+    file = F.url_decode(F.replace(F.regexp_extract(c, "^file:(?://[^/]*)?(/[^?#]*)", 1), F.lit("+"), F.lit("%2B")))
+    key = F.when(scheme == "s3", F.regexp_extract(c, "^s3://[^/]*/+([^?#]*)", 1)).when(scheme == "gs", F.regexp_extract(c, "^gs://[^/]+/(.+)$", 1)).otherwise(file)
+    sound = scheme.isin("s3", "gs", "file") & (key != "") & (~remote | (bucket != ""))
+    checked = F.when(sound, scheme).when(c.isNotNull(), F.raise_error(F.concat(F.lit("no s3, gs or file address: "), c)).cast("string"))
+    return F.struct(checked.alias("scheme"), bucket.alias("bucket"), key.alias("key"))
+
+
+def joined_uri(base: Column, name: Column) -> Column:
+    """A file below an address; a plain absolute path becomes a file address."""
+    cut = F.regexp_replace(base, "/+$", "")
+    return F.concat(F.when(cut.rlike("^(s3|gs|file)://"), cut).otherwise(F.concat(F.lit("file://"), cut)), F.lit("/"), name)
 
 
 def folder_prefix(w: Column, i: Column) -> Column:
@@ -136,16 +233,24 @@ def folder_prefix(w: Column, i: Column) -> Column:
 
 
 def safe_id(c: Column) -> Column:
-    """Letters, digits, dot, underscore and hyphen, at most 200; 'page' where none is left."""
-    t = F.substring(F.regexp_replace(c, "[^A-Za-z0-9._-]", "_"), 1, 200)
+    """Letters and digits of any script, dot, underscore and hyphen, at most 200; 'page' where none is left."""
+    t = F.substring(F.regexp_replace(c, r"[^\p{L}\p{N}._-]", "_"), 1, 200)
     return F.when(F.coalesce(t, F.lit("")) == "", "page").otherwise(t)
 
 
-def diff_spans(a: str, b: str) -> list[tuple[str, int, int, int, int]]:
-    return [op for op in difflib.SequenceMatcher(None, a, b, autojunk=False).get_opcodes() if op[0] != "equal"]
+def embedded_json(message: Column, mark: str = "Diagnostic:") -> Column:
+    """The JSON text behind a mark in a message, null if it isn't there or isn't JSON."""
+    text = stripped(message.substr(F.instr(message, mark) + len(mark), F.length(message)))
+    return F.when(message.contains(mark) & F.try_parse_json(text).isNotNull(), text)
+
+
+def differing(a: str, b: str) -> list[tuple[str, str, str]]:
+    """(kind, text before, text after) of the spans that differ, with the runs that are equal left out."""
+    ops = difflib.SequenceMatcher(None, a, b).get_opcodes()
+    return [(kind, a[i:j], b[k:m]) for kind, i, j, k, m in ops if kind != "equal"]
 
 
 @F.pandas_udf(LongType())
 def differing_chars(a: pd.Series, b: pd.Series) -> pd.Series:
     """Characters in unequal spans, the longer side of each."""
-    return pd.Series([sum(max(i2 - i1, j2 - j1) for _, i1, i2, j1, j2 in diff_spans(x or "", y or "")) for x, y in zip(a, b)])
+    return pd.Series([sum(max(len(p), len(q)) for _, p, q in differing(x or "", y or "")) for x, y in zip(a, b)])

@@ -29,3 +29,13 @@ def per_page(df: DataFrame, key: str, columns: Sequence[str], f: Callable[[int,
             yield pa.RecordBatch.from_arrays([pa.array(c, type=t.type) for c, t in zip(zip(*out), arrow)] if out else [pa.array([], type=t.type) for t in arrow], schema=arrow)
 
     return pages.mapInArrow(run, schema)
+
+
+def line_accuracy(golden: DataFrame, current: DataFrame, key: str) -> DataFrame:
+    """(key, chars, differing, lines, accuracy) of the arrays ``a`` of right lines and ``b`` of lines as they were read: edit distance by line, over the characters of the
+    right ones; ``lines`` differ. Lines go together by position; a page with another number of lines is an error. Without a character the accuracy is null."""
+    both = golden.join(current, key)
+    pairs = F.when(F.size("a") == F.size("b"), F.arrays_zip("a", "b")).otherwise(F.raise_error(F.lit("another number of lines than in the reference")).cast("array<struct<a:string,b:string>>"))
+    total = lambda f: F.aggregate("z", F.lit(0).cast("long"), lambda s, p: s + f(p).cast("long"))
+    sums = both.select(key, pairs.alias("z")).select(key, total(lambda p: F.length(p["a"])).alias("chars"), total(lambda p: F.levenshtein(p["a"], p["b"])).alias("differing"), total(lambda p: F.when(p["a"] != p["b"], 1).otherwise(0)).alias("lines"))
+    return sums.withColumn("accuracy", F.round(1 - F.try_divide("differing", "chars"), 6))

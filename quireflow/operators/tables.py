@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import checkpointed
+
 
 def merge_snapshot(target: DataFrame, source: DataFrame, keys: Sequence[str], update: Mapping[str, Column] | None = None, insert: Mapping[str, Column] | None = None) -> DataFrame:
     """The next snapshot of ``target``: rows that match ``source`` on the keys take the columns of ``update``; source rows without a match are inserted.
@@ -35,3 +37,19 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], *order: Column) -> DataFr
     from pyspark.sql import Window
 
     return df.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where("_rank = 1").drop("_rank")
+
+
+def numbered(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Adds ``number``: the place of each row among those of its key, from 1, in the order given, which must tell rows apart.
+
+    A key may hold any share of the rows: ranges of (key, order) are numbered each by itself, and begin where the ranges before them end. The ranges are kept in the
+    shared folder, so that both steps see the same ones; the starts are a row per key and range."""
+    from pyspark.sql import Window
+
+    n = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    parts = checkpointed(df.repartitionByRange(n, *keys, *order).withColumn("_part", F.spark_partition_id()))
+    before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = parts.groupBy(*keys, "_part").agg(F.count("*").alias("_n")).withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    own = F.row_number().over(Window.partitionBy(*keys, "_part").orderBy(*order))
+    out = parts.withColumn("_own", own).join(starts, [*keys, "_part"])
+    return out.select(*df.columns, (F.col("_own") + F.col("_start")).cast("long").alias("number"))

@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import sequences, text
-from ..operators.tables import latest_per_key
+from ..operators.gates import strict_gate, tolerant_gate
+from ..operators.tables import latest_per_key, numbered
+from ..sources.sinks import message_attributes
 from .registry import query
 
 SKIP, LEAST = ("blank",), 0.3
@@ -68,37 +70,6 @@ def by_stage(e) -> DataFrame:
     return maps.select("volume", F.explode("m").alias("error_stage", "n"))
 
 
-@query(
-    "a10_a11_failure_gates",
-    f"""WITH c AS (SELECT p.volume, count(*) AS expected, count({_REASON}) AS skipped, count(*) FILTER (NOT p.ok AND {_REASON} IS NULL) AS errors FROM page_output p LEFT JOIN classes c USING (page_id) GROUP BY p.volume)
-    SELECT volume, expected, skipped, errors, CASE WHEN errors > 0 AND errors = expected - skipped THEN 'terminal' WHEN errors / greatest(expected - skipped, 1) > 0.05 THEN 'retryable' ELSE 'done' END AS tolerant, CASE WHEN errors > 0 THEN 'terminal' ELSE 'done' END AS strict FROM c""",
-)
-def gates(e) -> DataFrame:
-    j = e.page_output.join(e.classes, "page_id", "left").withColumn("reason", skip_reason())
-    g = j.groupBy("volume").agg(F.count("*").alias("expected"), F.count("reason").alias("skipped"), F.count(F.when(~F.col("ok") & F.col("reason").isNull(), 1)).alias("errors"))
-    return g.select("*", tolerant_gate().alias("tolerant"), F.when(F.col("errors") > 0, "terminal").otherwise("done").alias("strict"))
-
-
-def tolerant_gate(share: float = 0.05) -> Column:
-    """Skipped pages don't count; failing in all is terminal, in more than the share retryable."""
-    ran, errors = F.col("expected") - F.col("skipped"), F.col("errors")
-    return F.when((errors > 0) & (errors == ran), "terminal").when(errors / F.greatest(ran, F.lit(1)) > share, "retryable").otherwise("done")
-
-
-@query(
-    "a12_a13_unit_merge",
-    """SELECT page_id, string_agg(trim(text), chr(10) || chr(10) ORDER BY unit) FILTER (role = 'user' AND trim(text) <> '') AS body, string_agg(trim(text), chr(10) || chr(10) ORDER BY unit) FILTER (role = 'assistant' AND trim(text) <> '') AS footnotes,
-    count(*) FILTER (role = 'assistant') AS n_footnotes, CAST(sum(length(text)) AS BIGINT) AS chars, max(unit) AS most FROM units GROUP BY page_id""",
-)
-def unit_merge(e) -> DataFrame:
-    def joined(role):
-        own = F.filter("us", lambda u: (u["role"] == role) & (F.trim(u["text"]) != ""))
-        return F.when(F.size(own) > 0, F.array_join(F.transform(own, lambda u: F.trim(u["text"])), "\n\n"))
-
-    g = e.units.groupBy("page_id").agg(F.array_sort(F.collect_list(F.struct("unit", "role", "text"))).alias("us"), F.count(F.when(F.col("role") == "assistant", 1)).alias("n_footnotes"), F.sum(F.length("text")).alias("chars"), F.max("unit").alias("most"))
-    return g.select("page_id", joined("user").alias("body"), joined("assistant").alias("footnotes"), "n_footnotes", "chars", "most")
-
-
 @query(
     "a14_sweep_report",
     """WITH s AS (SELECT l_returnflag AS sweep, count(*) AS n, sum(l_quantity) AS cost, avg(l_discount) AS err FROM lineitem GROUP BY 1)
@@ -126,81 +97,21 @@ def height_percentile(e) -> DataFrame:
     return e.boxes.groupBy("page_id").agg(F.when(F.count("*") >= 5, F.round(F.percentile("h", 0.75), 4)).alias("p75"))
 
 
-@query(
-    "a18_a19_robust_angle",
-    """WITH a AS (SELECT page_id, (x % 21 - 10) / 4.0 AS ang, w * h AS area FROM boxes), m AS (SELECT page_id, median(ang) AS med FROM a GROUP BY 1), d AS (SELECT page_id, median(abs(ang - med)) AS mad FROM a JOIN m USING (page_id) GROUP BY 1)
-    SELECT page_id, round(coalesce(sum(ang * area) FILTER (mad = 0 OR abs(ang - med) <= 3 * mad) / sum(area) FILTER (mad = 0 OR abs(ang - med) <= 3 * mad), 0), 4) AS angle FROM a JOIN m USING (page_id) JOIN d USING (page_id) GROUP BY page_id""",
-)
-def robust_angle(e) -> DataFrame:
-    a = e.boxes.select("page_id", ((F.col("x") % 21 - 10) / 4.0).alias("ang"), (F.col("w") * F.col("h")).cast("long").alias("area"))
-    # One shuffle: the page's angles meet once, and the two medians are taken over the array.
-    g = a.groupBy("page_id").agg(F.median("ang").alias("med"), F.collect_list(F.struct("ang", "area")).alias("xs"))
-    dev = F.array_sort(F.transform("xs", lambda x: F.abs(x["ang"] - F.col("med"))))
-    n = F.size("dev")
-    g = g.withColumn("dev", dev).withColumn("mad", (F.element_at("dev", ((n + 1) / 2).cast("int")) + F.element_at("dev", ((n + 2) / 2).cast("int"))) / 2)
-    kept = F.filter("xs", lambda x: (F.col("mad") == 0) | (F.abs(x["ang"] - F.col("med")) <= 3 * F.col("mad")))
-    total = lambda f: F.aggregate(kept, F.lit(0.0), lambda s, x: s + f(x))
-    return g.select("page_id", F.round(F.coalesce(F.try_divide(total(lambda x: x["ang"] * x["area"]), total(lambda x: x["area"])), F.lit(0.0)), 4).alias("angle"))
-
-
 @query("a20_page_confidence", "SELECT page_id, round(coalesce(sum(conf * w) / nullif(sum(w), 0), 0), 6) AS confidence FROM boxes GROUP BY page_id")
 def page_confidence(e) -> DataFrame:
     return e.boxes.groupBy("page_id").agg(F.round(F.coalesce(F.try_divide(F.sum(F.col("conf") * F.col("w")), F.sum("w")), F.lit(0.0)), 6).alias("confidence"))
 
 
-@query("a22_line_nearest_mean", "WITH m AS (SELECT *, abs(h - avg(h) OVER (PARTITION BY page_id)) AS d FROM boxes) SELECT page_id, arg_min(idx, round(d, 6) * 1000 + idx) AS idx FROM m GROUP BY page_id")
-def nearest_mean(e) -> DataFrame:
-    d = F.abs(F.col("h") - F.avg("h").over(Window.partitionBy("page_id")))
-    return e.boxes.withColumn("d", F.round(d, 6)).groupBy("page_id").agg(F.min_by("idx", F.col("d") * 1000 + F.col("idx")).alias("idx"))
-
-
 @query("a23_best_retry_sample", "SELECT page_id, arg_min(idx, CAST(h AS BIGINT) * 100000000 + w * 10000 + idx) AS idx FROM boxes GROUP BY page_id")
 def best_sample(e) -> DataFrame:
     return e.boxes.groupBy("page_id").agg(F.min_by("idx", F.struct("h", "w", "idx")).alias("idx"))
 
 
-@query("a24_j15_lines_by_position", """WITH g AS (SELECT item_id, unnest(string_split(text, ' ')) AS a, generate_subscripts(string_split(text, ' '), 1) AS n FROM benchmark), c AS (SELECT item_id, unnest(string_split(replace(text, 'th', 'h'), ' ')) AS b, generate_subscripts(string_split(text, ' '), 1) AS n FROM benchmark)
-    SELECT item_id, count(*) AS words, count(*) FILTER (a <> b) AS changed, CAST(sum(abs(strlen(a) - strlen(b))) AS BIGINT) AS lost FROM g JOIN c USING (item_id, n) GROUP BY item_id""")
-def by_position(e) -> DataFrame:
-    golden = e.benchmark.select("item_id", F.posexplode(F.split("text", " ")).alias("n", "a"))
-    current = e.benchmark.select("item_id", F.posexplode(F.split(F.replace("text", F.lit("th"), F.lit("h")), " ")).alias("n", "b"))
-    return golden.join(current, ["item_id", "n"]).groupBy("item_id").agg(F.count("*").alias("words"), F.count(F.when(F.col("a") != F.col("b"), 1)).alias("changed"), F.sum(F.abs(F.octet_length("a") - F.octet_length("b"))).alias("lost"))
-
-
-@query("f12_f13_error_parse", r"""SELECT page_id, regexp_extract(error_message, '^\[([^\]]+)\]', 1) AS stage, regexp_extract(error_message, '^\[[^\]]+\] ([^:]+):', 1) AS type, regexp_extract(error_message, ': (.*)$', 1) AS message FROM page_output WHERE NOT ok""")
-def error_parse(e) -> DataFrame:
-    return e.page_output.where("not ok").select("page_id", text.parsed_error(text.shortened(F.col("error_message"))).alias("p")).select("page_id", "p.*")
-
-
-@query("f14_failure_class", """SELECT page_id, CASE WHEN error_message LIKE '%TimeoutError%' THEN 'timeout' ELSE 'terminal' END AS class FROM page_output WHERE NOT ok""")
-def failure_class(e) -> DataFrame:
-    p = e.page_output.where("not ok").select("page_id", text.parsed_error(F.col("error_message")).alias("p"))
-    return p.select("page_id", text.failure_class(F.col("p.type"), F.col("p.message")).alias("class"))
-
-
 @query("f13_shortened_texts", "SELECT page_id, CASE WHEN length(t) > 128 THEN substr(t, 1, 127) || '…' ELSE t END AS short FROM (SELECT page_id, trim(replace(page_text, chr(10), ' ')) AS t FROM page_output)")
 def shortened(e) -> DataFrame:
     return e.page_output.select("page_id", text.shortened(F.col("page_text"), 128).alias("short"))
 
 
-@query("f15_w09_lanes_and_batches", """WITH l AS (SELECT page_id, CASE WHEN page_id % 3 = 0 THEN 'tiff' ELSE 'jpeg' END AS lane FROM page_output), r AS (SELECT *, row_number() OVER (PARTITION BY lane ORDER BY page_id) AS rn FROM l)
-    SELECT page_id, lane, 'run-' || lane || '-' || lpad(CAST((rn - 1) // 16 + 1 AS VARCHAR), 4, '0') AS batch_id FROM r""")
-def lanes(e) -> DataFrame:
-    named = e.page_output.select("page_id", F.concat(F.lit("p"), F.when(F.col("page_id") % 3 == 0, ".TIF").otherwise(".jpg")).alias("f"))
-    lane = F.when(F.lower(F.substring_index("f", ".", -1)).isin("tif", "tiff"), "tiff").otherwise("jpeg")
-    rn = F.row_number().over(Window.partitionBy("lane").orderBy("page_id"))
-    return named.withColumn("lane", lane).withColumn("rn", rn).select("page_id", "lane", F.concat(F.lit("run-"), "lane", F.lit("-"), F.lpad(F.expr("cast((rn - 1) div 16 + 1 as string)"), 4, "0")).alias("batch_id"))
-
-
-@query("f16_f17_s09_removed_codes", """WITH r AS (SELECT page_id, coalesce(nullif(lower(trim(label)), ''), CASE cls WHEN 0 THEN 'header' WHEN 1 THEN 'text-area' WHEN 2 THEN 'footnote' ELSE 'footer' END) AS lab FROM boxes)
-    SELECT page_id, CASE WHEN bool_or(lab = 'header') AND bool_or(lab = 'footer') THEN 'hf' WHEN bool_or(lab = 'header') THEN 'h' WHEN bool_or(lab = 'footer') THEN 'f' ELSE 'none' END AS removed, count(*) FILTER (lab = 'text-area') AS bodies FROM r GROUP BY page_id""")
-def removed(e) -> DataFrame:
-    names = F.create_map(*[F.lit(x) for kv in {0: "header", 1: "text-area", 2: "footnote", 3: "footer"}.items() for x in kv])
-    lab = F.coalesce(F.nullif(F.lower(F.trim("label")), F.lit("")), names[F.col("cls")])
-    g = e.boxes.select("page_id", lab.alias("lab")).groupBy("page_id").agg(F.bool_or(F.col("lab") == "header").alias("h"), F.bool_or(F.col("lab") == "footer").alias("f"), F.count(F.when(F.col("lab") == "text-area", 1)).alias("bodies"))
-    return g.select("page_id", F.when(F.col("h") & F.col("f"), "hf").when(F.col("h"), "h").when(F.col("f"), "f").otherwise("none").alias("removed"), "bodies")
-
-
 @query("f18_retry_gate", "SELECT page_id, idx FROM boxes WHERE w >= 100 OR conf >= 0.5")
 def retry_gate(e, fires: int = 100, score: float = 0.5) -> DataFrame:
     never = F.lit(False)
@@ -214,12 +125,6 @@ def routing(e) -> DataFrame:
     return once.unionByName(e.boxes.where(~final).select("page_id", "idx", F.lit("again").alias("route")))
 
 
-@query("f21_f22_filter_and_rescale", "SELECT page_id, idx, CAST(trunc(x / 0.75) AS INTEGER) AS x, CAST(trunc(y / 0.75) AS INTEGER) AS y, CAST(trunc(w / 0.75) AS INTEGER) AS w, CAST(trunc(h / 0.75) AS INTEGER) AS h FROM boxes WHERE w * h > 800 AND w >= 30 AND h >= 10")
-def rescale(e) -> DataFrame:
-    whole = [(F.col(c) / 0.75).cast("int").alias(c) for c in ("x", "y", "w", "h")]
-    return e.boxes.where("w * h > 800 and w >= 30 and h >= 10").select("page_id", "idx", *whole)
-
-
 @query("j10_j11_pages_with_boxes", "SELECT o.o_orderkey AS page_id, count(b.idx) AS n, min(b.x) AS x FROM orders o LEFT JOIN boxes b ON b.page_id = o.o_orderkey GROUP BY 1")
 def with_boxes(e) -> DataFrame:
     per = e.boxes.groupBy("page_id").agg(F.count("*").alias("n"), F.min("x").alias("x"))
@@ -232,17 +137,6 @@ def by_unit(e) -> DataFrame:
     return e.units.select("page_id", "unit").join(nxt, ["page_id", "unit"])
 
 
-@query("w08_page_index", "SELECT page_id, volume, row_number() OVER (PARTITION BY volume ORDER BY file) - 1 AS page_index FROM page_output")
-def page_index(e) -> DataFrame:
-    return e.page_output.select("page_id", "volume", (F.row_number().over(Window.partitionBy("volume").orderBy("file")) - 1).cast("long").alias("page_index"))
-
-
-@query("w10_stratified_sample", "SELECT page_id, lang FROM (SELECT page_id, lang, row_number() OVER (PARTITION BY lang ORDER BY page_id = 5 DESC, md5(CAST(page_id AS VARCHAR))) AS r FROM page_output) WHERE r <= CASE lang WHEN 'en' THEN 20 ELSE 8 END")
-def stratified(e) -> DataFrame:
-    r = F.row_number().over(Window.partitionBy("lang").orderBy((F.col("page_id") == 5).desc(), F.md5(F.col("page_id").cast("string").cast("binary"))))
-    return e.page_output.select("page_id", "lang").withColumn("r", r).where(F.col("r") <= F.when(F.col("lang") == "en", 20).otherwise(8)).drop("r")
-
-
 _FOLD = """WITH RECURSIVE s AS (SELECT page_id, idx, {size} AS size FROM boxes), f AS (SELECT page_id, idx, size AS total, 1 AS n, 0 AS chunk FROM s WHERE idx = 0 UNION ALL
     SELECT s.page_id, s.idx, CASE WHEN {new} THEN s.size ELSE f.total + s.size END, CASE WHEN {new} THEN 1 ELSE f.n + 1 END, CASE WHEN {new} THEN f.chunk + 1 ELSE f.chunk END FROM f JOIN s ON s.page_id = f.page_id AND s.idx = f.idx + 1)
     SELECT page_id, idx, chunk FROM f"""
@@ -263,22 +157,11 @@ def dual_chunks(e) -> DataFrame:
     return _chunks(e, F.col("h"), lambda xs: sequences.dual_chunks(xs, 3, 150))
 
 
-@query("k09_send_batches", "SELECT worker_id, (rn - 1) // 10 AS batch, count(*) AS n FROM (SELECT worker_id, row_number() OVER (PARTITION BY worker_id ORDER BY message_id) AS rn FROM messages) GROUP BY 1, 2")
-def send_batches(e) -> DataFrame:
-    rn = F.row_number().over(Window.partitionBy("worker_id").orderBy("message_id"))
-    return e.messages.withColumn("rn", rn).groupBy("worker_id", F.expr("cast((rn - 1) div 10 as bigint)").alias("batch")).agg(F.count("*").alias("n"))
-
-
 @query("k10_k11_fallback_content", "SELECT p.page_id, coalesce(CASE WHEN p.ok THEN length(p.page_text) END, length(c.label), 0) AS content FROM page_output p LEFT JOIN classes c USING (page_id)")
 def fallback(e) -> DataFrame:
     return e.page_output.join(e.classes.select("page_id", "label"), "page_id", "left").select("page_id", F.coalesce(F.when(F.col("ok"), F.length("page_text")), F.length("label"), F.lit(0)).cast("long").alias("content"))
 
 
-@query("x05_dead_letters", "SELECT worker_id, kind, count(*) AS receives, count(*) > 3 AS dead FROM messages GROUP BY 1, 2")
-def dead_letters(e) -> DataFrame:
-    return e.messages.groupBy("worker_id", "kind").agg(F.count("*").alias("receives")).withColumn("dead", F.col("receives") > 3)
-
-
 @query("x06_redrive", "WITH dead AS (SELECT worker_id, kind FROM messages GROUP BY 1, 2 HAVING count(*) > 3) SELECT message_id FROM messages SEMI JOIN dead USING (worker_id, kind) ORDER BY message_id LIMIT 1000")
 def redrive(e) -> DataFrame:
     dead = e.messages.groupBy("worker_id", "kind").count().where("count > 3")
@@ -288,3 +171,122 @@ def redrive(e) -> DataFrame:
 @query("x11_page_reassembly", "SELECT page_id, count(*) AS got, max(unit) + 1 AS expected, count(*) = max(unit) + 1 AS complete FROM units WHERE unit <> 3 GROUP BY page_id")
 def reassembly(e) -> DataFrame:
     return e.units.where("unit <> 3").groupBy("page_id").agg(F.count("*").alias("got"), (F.max("unit") + 1).alias("expected")).withColumn("complete", F.col("got") == F.col("expected"))
+
+
+# --- errors
+
+_FIRST = "CASE page_id % 4 WHEN 0 THEN error_message WHEN 1 THEN '[Write] disk is full ' WHEN 2 THEN 'out of luck: again' ELSE '[cut' END"
+
+
+@query("f12_f13_error_parse", f"""SELECT page_id, CASE page_id % 4 WHEN 0 THEN error_stage WHEN 1 THEN 'Write' ELSE '' END AS stage, CASE WHEN page_id % 4 <> 0 THEN '' WHEN page_id % 3 = 0 THEN 'TimeoutError' ELSE 'ValueError' END AS type,
+    CASE page_id % 4 WHEN 0 THEN 'page ' || page_id WHEN 1 THEN 'disk is full' ELSE {_FIRST} END AS message FROM page_output WHERE NOT ok""")
+def error_parse(e) -> DataFrame:
+    return e.page_output.where("not ok").select("page_id", text.parsed_error(text.shortened(F.expr(_FIRST))).alias("p")).select("page_id", "p.*")
+
+
+_KINDS = ("TerminalTaskError", "RetryableTaskError", "VolumeTimeoutError", "FileNotFoundError", "RuntimeError")
+
+
+@query("f14_failure_class", """SELECT page_id, k <> 0 AS retryable, CASE k WHEN 0 THEN m WHEN 1 THEN m WHEN 2 THEN 'Volume timeout: ' || m WHEN 3 THEN 'FileNotFoundError: ' || m ELSE 'RuntimeError: ' || m END AS reason,
+    CASE k WHEN 2 THEN true WHEN 3 THEN page_id % 2 = 0 ELSE page_id % 3 <> 1 OR page_id % 2 = 0 END AS pipeline_retryable,
+    CASE WHEN k = 2 THEN 'Volume timeout: ' || m WHEN page_id % 2 = 0 THEN 'GPU OOM error: ' || m WHEN k = 3 OR page_id % 3 = 1 THEN 'Resource not found: ' || m ELSE 'Pipeline error (' || ['TerminalTaskError', 'RetryableTaskError', 'VolumeTimeoutError', 'FileNotFoundError', 'RuntimeError'][k + 1] || '): ' || m END AS pipeline_reason
+    FROM (SELECT page_id, page_id % 5 AS k, CASE WHEN page_id % 2 = 0 THEN 'CUDA out of memory ' ELSE '' END || CASE WHEN page_id % 3 = 1 THEN 'status 404' ELSE 'failed' END AS m FROM page_output)""")
+def failure_class(e) -> DataFrame:
+    k = F.col("page_id") % 5
+    kind = F.get(F.array(*[F.lit(x) for x in _KINDS]), k.cast("int"))
+    message = F.concat(F.when(F.col("page_id") % 2 == 0, "CUDA out of memory ").otherwise(""), F.when(F.col("page_id") % 3 == 1, "status 404").otherwise("failed"))
+    out = e.page_output.select("page_id", text.failure_class(kind, message).alias("a"), text.pipeline_failure_class(kind, message).alias("b"))
+    return out.select("page_id", "a.*", F.col("b.retryable").alias("pipeline_retryable"), F.col("b.reason").alias("pipeline_reason"))
+
+
+@query(
+    "a10_a11_failure_gates",
+    f"""WITH p AS (SELECT p.volume || '-' || p.page_id % 40 AS vol, p.ok, p.error_stage, p.page_id % 31 = 7 AS dropped, {_REASON} AS reason FROM page_output p LEFT JOIN classes c USING (page_id)),
+    c AS (SELECT vol, count(*) AS expected, count(reason) AS skipped, count(*) FILTER (NOT ok AND reason IS NULL) AS errors, count(*) FILTER (NOT ok AND reason IS NULL AND error_stage = 'Decode') AS early, count(*) FILTER (dropped) AS dropped FROM p GROUP BY vol)
+    SELECT vol, expected, skipped, errors, dropped, CASE WHEN expected - skipped - early = 0 AND skipped = 0 THEN 'terminal' WHEN errors / greatest(expected - skipped, 1) > 0.05 THEN 'retryable' ELSE 'done' END AS tolerant,
+    CASE WHEN dropped > 0 THEN 'retryable' WHEN errors > 0 THEN 'terminal' ELSE 'done' END AS strict FROM c""",
+)
+def gates(e) -> DataFrame:
+    vol = F.concat("volume", F.lit("-"), (F.col("page_id") % 40).cast("string"))
+    j = e.page_output.join(e.classes, "page_id", "left").withColumns({"reason": skip_reason(), "vol": vol})
+    failed = ~F.col("ok") & F.col("reason").isNull()
+    n = lambda c: F.count(F.when(c, 1))
+    g = j.groupBy("vol").agg(F.count("*").alias("expected"), F.count("reason").alias("skipped"), n(failed).alias("errors"), n(failed & (F.col("error_stage") == "Decode")).alias("early"), n(F.col("page_id") % 31 == 7).alias("dropped"))
+    return g.select("vol", "expected", "skipped", "errors", "dropped", tolerant_gate(*[F.col(c) for c in ("expected", "skipped", "errors", "early")]).alias("tolerant"), strict_gate(F.col("errors"), F.col("dropped")).alias("strict"))
+
+
+# --- merging units
+
+_SPACE = "' ' || chr(9) || chr(10) || chr(13)"
+_UNITS = """SELECT page_id, unit, CASE WHEN role = 'assistant' THEN 'footnote' ELSE 'body' END AS kind, CASE WHEN (page_id + unit) % 4 = 0 THEN ' ' || chr(10) ELSE chr(10) || text || ' ' END AS text, length(text) AS tokens, (page_id + unit) % 5 = 4 AS truncated, CASE WHEN unit % 3 = 2 THEN '' ELSE 'stop' END AS finish,
+    page_id % 3 * unit AS fires, unit * 3 AS most, (page_id + unit) % 7 = 3 AS retried FROM units"""
+
+
+def _joined(kind: str) -> str:
+    return f"CASE WHEN count(*) FILTER (kind = '{kind}') = 0 THEN '' WHEN count(*) FILTER (kind = '{kind}') = 1 THEN any_value(text) FILTER (kind = '{kind}') ELSE coalesce(string_agg(trim(text, {_SPACE}), chr(10) || chr(10) ORDER BY unit) FILTER (kind = '{kind}' AND trim(text, {_SPACE}) <> ''), '') END"
+
+
+@query(
+    "a12_a13_unit_merge",
+    f"""WITH u AS ({_UNITS}) SELECT page_id, {_joined('body')} AS body, {_joined('footnote')} AS footnotes, count(*) FILTER (kind = 'footnote') AS n_footnotes, CAST(sum(tokens) AS BIGINT) AS tokens, bool_or(truncated) AS truncated,
+    CASE WHEN bool_or(truncated) THEN 'length' ELSE coalesce(arg_max(finish, unit) FILTER (kind = 'body'), '') END AS finish_reason, CAST(sum(fires) AS BIGINT) AS fires, max(most) AS most, bool_or(retried) AS retried FROM u GROUP BY page_id""",
+)
+def unit_merge(e) -> DataFrame:
+    key = F.col("page_id") + F.col("unit")
+    units = e.units.select(
+        "page_id", "unit", F.when(F.col("role") == "assistant", "footnote").otherwise("body").alias("kind"), F.when(key % 4 == 0, " \n").otherwise(F.concat(F.lit("\n"), "text", F.lit(" "))).alias("text"), F.length("text").alias("tokens"), (key % 5 == 4).alias("truncated"),
+        F.when(F.col("unit") % 3 == 2, "").otherwise("stop").alias("finish"), (F.col("page_id") % 3 * F.col("unit")).alias("fires"), (F.col("unit") * 3).alias("most"), (key % 7 == 3).alias("retried"),
+    )
+    return merged_units(units)
+
+
+def merged_units(units: DataFrame) -> DataFrame:
+    """One row a page of its units (page_id, unit, kind, text, tokens, truncated, finish, fires, most, retried): the body's texts and those of footnotes, each joined, and
+    the sums, maxima and flags of all. A page is cut off if any unit is; else it ended as the last unit of its body did."""
+    g = units.groupBy("page_id").agg(
+        F.array_sort(F.collect_list(F.struct("unit", "kind", "text", "finish"))).alias("us"), F.count(F.when(F.col("kind") == "footnote", 1)).alias("n_footnotes"), F.sum("tokens").alias("tokens"), F.bool_or("truncated").alias("truncated"),
+        F.sum("fires").alias("fires"), F.max("most").alias("most"), F.bool_or("retried").alias("retried"),
+    )
+    own = lambda kind: F.filter("us", lambda u: u["kind"] == kind)
+    last = F.coalesce(F.try_element_at(own("body"), F.lit(-1))["finish"], F.lit(""))
+    texts = lambda kind: joined_texts(F.transform(own(kind), lambda u: u["text"]))
+    return g.select("page_id", texts("body").alias("body"), texts("footnote").alias("footnotes"), "n_footnotes", "tokens", "truncated", F.when(F.col("truncated"), "length").otherwise(last).alias("finish_reason"), "fires", "most", "retried")
+
+
+def joined_texts(texts: Column, between: str = "\n\n") -> Column:
+    """Texts of parts as one: trimmed, without blank ones, parted by an empty line. A single part stays as it is; no part gives ''."""
+    some = F.filter(F.transform(texts, text.stripped), lambda t: t != "")
+    return F.when(F.size(texts) == 1, F.coalesce(texts[0], F.lit(""))).otherwise(F.array_join(some, between))
+
+
+# --- numbering and batches
+
+@query("w08_page_index", "SELECT page_id, volume, row_number() OVER (PARTITION BY volume ORDER BY file) - 1 AS page_index FROM page_output")
+def page_index(e) -> DataFrame:
+    return numbered(e.page_output.select("page_id", "volume", "file"), ["volume"], ["file"]).select("page_id", "volume", (F.col("number") - 1).alias("page_index"))
+
+
+@query("f15_w09_lanes_and_batches", """WITH l AS (SELECT page_id, CASE WHEN page_id % 5 < 2 THEN 'files' ELSE 'images' END AS lane, ['image/tiff', 'image/tiff', 'image/jpeg', 'image/webp', 'application/octet-stream'][page_id % 5 + 1] AS media_type FROM page_output), r AS (SELECT *, row_number() OVER (PARTITION BY lane ORDER BY page_id) AS rn FROM l)
+    SELECT page_id, lane, media_type, 'run-' || lane || '-' || CASE WHEN (rn - 1) // 16 + 1 < 10000 THEN lpad(CAST((rn - 1) // 16 + 1 AS VARCHAR), 4, '0') ELSE CAST((rn - 1) // 16 + 1 AS VARCHAR) END AS batch_id FROM r""")
+def lanes(e) -> DataFrame:
+    names = F.array(*[F.lit(x) for x in ("p.TIF", "p.tiff", "p.JPG", "p.webp", "p")])
+    laned = e.page_output.select("page_id", text.lane(F.get(names, (F.col("page_id") % 5).cast("int"))).alias("l")).select("page_id", "l.*")
+    n = F.expr("(number - 1) div 16 + 1").cast("string")
+    padded = F.when(F.length(n) < 4, F.lpad(n, 4, "0")).otherwise(n)
+    return numbered(laned, ["lane"], ["page_id"]).select("page_id", "lane", "media_type", F.concat(F.lit("run-"), "lane", F.lit("-"), padded).alias("batch_id"))
+
+
+@query(
+    "k09_send_batches",
+    """SELECT worker_id, batch, count(*) AS n, string_agg(attributes, '|' ORDER BY message_id) AS attributes FROM (SELECT worker_id, message_id, (row_number() OVER (PARTITION BY worker_id ORDER BY message_id) - 1) // 10 AS batch,
+    '{"w_id":"W' || worker_id || '","i_id":"I' || message_id || '"' || CASE WHEN message_id % 3 = 0 THEN ',"source":"benchmark","i_version":"v' || message_id % 7 || '"' ELSE '' END || '}' AS attributes FROM messages) GROUP BY 1, 2""",
+)
+def send_batches(e) -> DataFrame:
+    """The batches of ten that are sent for each worker, with the attributes of each message: those that are empty or the default aren't sent."""
+    m = F.col("message_id")
+    source = F.when(m % 3 == 0, "benchmark").when(m % 3 == 1, "archive")
+    volumes = e.messages.select("worker_id", "message_id", F.concat(F.lit("W"), F.col("worker_id").cast("string")).alias("w_id"), F.concat(F.lit("I"), m.cast("string")).alias("i_id"), source.alias("source"), F.when(m % 3 == 0, F.concat(F.lit("v"), (m % 7).cast("string"))).otherwise("").alias("i_version"))
+    rn = F.row_number().over(Window.partitionBy("worker_id").orderBy("message_id"))
+    sent = volumes.withColumn("rn", rn).select("worker_id", "message_id", message_attributes().alias("attributes"), F.expr("cast((rn - 1) div 10 as bigint)").alias("batch"))
+    g = sent.groupBy("worker_id", "batch").agg(F.count("*").alias("n"), F.array_sort(F.collect_list(F.struct("message_id", "attributes"))).alias("ms"))
+    return g.select("worker_id", "batch", "n", F.array_join(F.transform("ms", lambda x: x["attributes"]), "|").alias("attributes"))

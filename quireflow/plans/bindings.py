@@ -39,6 +39,8 @@ SQL: dict[str, str] = {
     "boxes": """SELECT l_orderkey AS page_id, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) - 1 AS INT) AS idx,
         CAST(l_partkey * 13 % 800 AS INT) AS x, CAST(l_suppkey * 37 % 1000 AS INT) AS y, CAST(20 + l_quantity * 4 AS INT) AS w, CAST(10 + l_linenumber * 12 AS INT) AS h, CAST(l_linenumber % 4 AS INT) AS cls,
         CASE l_returnflag WHEN 'R' THEN ' Text-Area ' WHEN 'A' THEN '' ELSE NULL END AS label, CAST(l_discount * 10 AS DOUBLE) AS conf FROM {lineitem}""",
+    "regions": """SELECT page_id, idx, coalesce(nullif(lower(trim(label)), ''), CASE cls WHEN 0 THEN 'header' WHEN 1 THEN 'text-area' WHEN 2 THEN 'footnote' WHEN 3 THEN 'footer' ELSE '' END) AS label,
+        greatest(0, x - CAST(w / 2 AS INT)) AS x1, greatest(0, y - CAST(h / 2 AS INT)) AS y1, least(800, x + CAST(w / 2 AS INT)) AS x2, least(1000, y + CAST(h / 2 AS INT)) AS y2 FROM {boxes}""",
     "units": """SELECT conv_id AS page_id, turn AS unit, role, text FROM {conversations}""",
     "messages": """SELECT event_id AS message_id, ts AS sent_at, user_id AS worker_id, event_type AS kind, value, props AS body FROM {events}""",
     "vectors": """SELECT vec_id AS step_id, label AS line_id, embedding AS logits FROM {embeddings}""",

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import io
 import os
+import re
 import tempfile
 import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _SHIPPED: set[str] = set()
 
@@ -30,6 +31,8 @@ def ship(spark: SparkSession) -> SparkSession:
             out = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path)
             out.write(bytearray(buffer.getvalue()))
             out.close()
+        elif not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         else:
             at = os.fspath(Path(tempfile.mkdtemp(prefix="quireflow-code-")) / "quireflow.zip")
             Path(at).write_bytes(buffer.getvalue())
@@ -38,10 +41,27 @@ def ship(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def shared_path(spark: SparkSession, name: str) -> str:
-    """A new path in the folder all executors share, from spark.checkpoint.dir; a local folder only where that is unset."""
+def shared_dir(spark: SparkSession) -> str:
+    """The folder all executors share, from spark.checkpoint.dir. Where that is unset, a local one is made if Spark runs in one process; on a cluster it is an error."""
     given = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    at = spark.sparkContext._jsc.sc().getCheckpointDir()
+    if not given and at.isDefined():
+        return str(at.get()).rstrip("/")
     if not given:
-        at = spark.sparkContext._jsc.sc().getCheckpointDir()
-        given = str(at.get()) if at.isDefined() else tempfile.mkdtemp(prefix="quireflow-")
-    return f"{given.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        given = tempfile.mkdtemp(prefix="quireflow-")
+    if at.isEmpty():
+        spark.sparkContext.setCheckpointDir(given)
+    return given.rstrip("/")
+
+
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder."""
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Cuts the lineage with a reliable checkpoint in the shared folder."""
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
