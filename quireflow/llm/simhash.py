@@ -56,6 +56,10 @@ def fingerprints(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(out), np.concatenate(some)
 
 
+#: For each byte, its bits from the highest on in a lane of eight bits each: sums of up to 255 bytes stay apart.
+_LANES = np.array([sum((v >> (7 - k) & 1) << (8 * k) for k in range(8)) for v in range(256)], np.uint64)
+
+
 def _code(h: np.ndarray, row: np.ndarray, n: int, copies: np.ndarray) -> np.ndarray:
     """The SimHash of each row's features, 64 bits for each copy."""
     width = K.ROW_BITS  # a constant: the code of a text must not depend on its neighbours in the batch
@@ -64,18 +68,26 @@ def _code(h: np.ndarray, row: np.ndarray, n: int, copies: np.ndarray) -> np.ndar
     new = np.ones(len(key), bool)
     new[1:] = key[1:] != key[:-1]
     at = np.flatnonzero(new)
-    weight = np.rint(16 * np.diff(np.append(at, len(key))) ** POWER).astype(np.int32)  # whole numbers: sums don't depend on their order
+    times = np.diff(np.append(at, len(key)))
     key = key[at]
+    weight = np.rint(16 * times**POWER).astype(np.int64)  # whole numbers: sums don't depend on their order
     row = (key >> np.uint64(64 - width)).astype(np.int64)
     word = key << np.uint64(width)
-    total, ones = np.zeros(n, np.int64), np.zeros((n, 64 * len(copies)), np.int64)
-    for s in range(0, len(key), _BLOCK):
-        r, w = row[s : s + _BLOCK], weight[s : s + _BLOCK]
-        code = np.stack([K.mix(word[s : s + _BLOCK] ^ c) for c in copies], axis=1)
-        bits = np.unpackbits(code.view(np.uint8), axis=1) * w[:, None]
-        cut = np.flatnonzero(np.diff(r, prepend=-1))
-        ones[r[cut]] += np.add.reduceat(bits, cut, axis=0)
-        total[r[cut]] += np.add.reduceat(w, cut)
+    total = np.bincount(row, weight, n).astype(np.int64)
+    ones = np.zeros((n, 64 * len(copies)), np.int64)
+    for own in (np.flatnonzero(times == 1), np.flatnonzero(times > 1)):  # most words of a text occur once: their bits are counted in lanes, then weighted
+        for s in range(0, len(own), _BLOCK):
+            at = own[s : s + _BLOCK]
+            r = row[at]
+            code = np.stack([K.mix(word[at] ^ c) for c in copies], axis=1).view(np.uint8)
+            starts = np.flatnonzero(np.diff(r, prepend=-1))
+            if times[at[0]] == 1:
+                place = np.arange(len(at)) - np.repeat(starts, np.diff(np.append(starts, len(at))))
+                cut = np.flatnonzero(place % 255 == 0)
+                lanes = np.add.reduceat(_LANES[code], cut, axis=0).view(np.uint8).astype(np.int64)
+                ones[r[starts]] += 16 * np.add.reduceat(lanes, np.searchsorted(cut, starts), axis=0)
+            else:
+                ones[r[starts]] += np.add.reduceat(np.unpackbits(code, axis=1) * weight[at].astype(np.int32)[:, None], starts, axis=0)
     return np.packbits(2 * ones > total[:, None], axis=1).view(np.uint64)
 
 
