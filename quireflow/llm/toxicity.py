@@ -8,21 +8,28 @@ present or not in the text, so that one word counts in a text of any length. A b
 and its log-odds between texts with any category and texts without lie ``Z`` standard errors off, or if it stands in texts with a category
 alone and so often that chance would do it less than once in a million; the rest of the vocabulary has no say. Two more features count the risky buckets present.
 
-The fit takes a bounded sample of labelled texts, whose bucket counts are aggregated by Spark; the driver gets the chosen buckets only. Scoring is one pass without a shuffle.
+An out-of-fold prediction must not have seen its labels, and the choice of buckets sees labels too: each fold is predicted by models on the buckets that the
+other folds choose. Counts are kept by fold, so those of the others are the whole less the fold's own.
+
+The fit takes a bounded sample of labelled texts, one text an id, whose bucket counts are aggregated by Spark; the driver gets the buckets that any fold chooses and which of
+them stand in each text of the sample. Scoring is one pass without a shuffle.
 """
 
 from __future__ import annotations
 
+import functools
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DoubleType
 
 from . import kernels as K
-from .common import batch, id_text, text_of
+from .common import batch, id_text, key_of, row_schemas, text_of, written
 from .linear import Rows, minimise, sigmoid
 
 BITS = 20
@@ -88,18 +95,38 @@ def _logistic(x: Rows, before: np.ndarray, y: np.ndarray, steps: int, ridge: flo
     return p[:-1], float(p[-1])
 
 
-def fit_chain(x: Rows, ys: np.ndarray, fold: np.ndarray, steps: int = STEPS, ridge: float = RIDGE) -> tuple[list[np.ndarray], list[float]]:
-    """The models of the chain; ys: n x categories, fold: the fold of each row."""
+def marked(yes: np.ndarray, have: np.ndarray, toxic: int, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(which buckets are features, which are risky) of buckets that stand in ``have`` of ``size`` texts, ``yes`` of them with a category, as ``toxic`` of all are."""
+    if not 0 < toxic < size:
+        return np.zeros(len(yes), bool), np.zeros(len(yes), bool)
+    # Risky or safe by the log-odds with a half added to each count, over their standard error.
+    a, b, c, d = yes + 0.5, have - yes + 0.5, toxic - yes + 0.5, (size - toxic) - (have - yes) + 0.5
+    z = np.log(a * d / (b * c)) / np.sqrt(1 / a + 1 / b + 1 / c + 1 / d)
+    often = math.log(CHANCE) / math.log(toxic / size)  # the error is wide for a bucket without a text on the other side
+    return (have >= MIN_DOCS) & ((np.abs(z) >= Z) | ((yes == have) & (yes >= often))), z > 0
+
+
+def severity(x: Rows, chain: Chain) -> np.ndarray:
+    """How many risky buckets stand in each text."""
+    at = x.index < len(chain.chosen)
+    return np.bincount(x.row[at], chain.risky[x.index[at]].astype(np.float64), len(x))
+
+
+def fit_chain(x: Rows, ys: np.ndarray, fold: np.ndarray, steps: int = STEPS, ridge: float = RIDGE, view: Callable[[int], Rows] | None = None) -> tuple[list[np.ndarray], list[float]]:
+    """The models of the chain; ys: n x categories, fold: the fold of each row, view: the features of all rows without the labels of a fold (``x`` by default).
+
+    Probabilities that a later model is trained on come from models of the other folds, on the features that those choose."""
     before, weights, biases = np.zeros((len(x), 0)), [], []
+    folds = np.unique(fold)
+    views = {f: view(f) if view else x for f in (folds if ys.shape[1] > 1 else ())}
     for c in range(ys.shape[1]):
         y, out = ys[:, c].astype(np.float64), np.zeros(len(x))
-        for f in np.unique(fold) if c + 1 < ys.shape[1] else ():
+        for f, fx in views.items() if c + 1 < ys.shape[1] else ():
             own, rest = np.flatnonzero(fold == f), np.flatnonzero(fold != f)
             if not len(rest):
                 rest = own
-            part = x.take(own)
-            w, b = _logistic(x.take(rest), before[rest], y[rest], steps, ridge)
-            out[own] = sigmoid(part.dot(w[: x.width]) + before[own] @ w[x.width :] + b)
+            w, b = _logistic(fx.take(rest), before[rest], y[rest], steps, ridge)
+            out[own] = sigmoid(fx.take(own).dot(w[: fx.width]) + before[own] @ w[fx.width :] + b)
         w, b = _logistic(x, before, y, steps, ridge)
         weights.append(w)
         biases.append(b)
@@ -107,66 +134,85 @@ def fit_chain(x: Rows, ys: np.ndarray, fold: np.ndarray, steps: int = STEPS, rid
     return weights, biases
 
 
+def _train(row: np.ndarray, bucket: np.ndarray, ys: np.ndarray, fold: np.ndarray, known: np.ndarray, yes: np.ndarray, have: np.ndarray, names: list[str], severe: str | None, steps: int, ridge: float) -> Chain:
+    """The chain from the sample: (row, bucket) of the texts, their labels and folds; ``yes`` and ``have`` count the buckets ``known`` by fold."""
+    n, toxic = len(fold), ys.max(axis=1, initial=0) > 0
+
+    def chosen(rest: np.ndarray, folds: np.ndarray) -> Chain:
+        keep, risky = marked(yes[folds].sum(axis=0), have[folds].sum(axis=0), int(toxic[rest].sum()), int(rest.sum()))
+        return Chain((), known[keep], risky[keep], (), ())
+
+    all_folds = np.arange(len(yes))
+    whole = chosen(np.ones(n, bool), all_folds)
+    x = whole.rows(row, bucket, n)
+    if severe:
+        level = severity(x, whole)
+        limit = max(2, np.median(level[toxic])) if toxic.any() else 2
+        ys, names = np.concatenate([ys, (toxic & (level >= limit)).astype(np.int64)[:, None]], axis=1), [*names, severe]
+    weights, biases = fit_chain(x, ys, fold, steps, ridge, lambda f: chosen(fold != f, all_folds[all_folds != f]).rows(row, bucket, n))
+    return Chain(tuple(names), whole.chosen, whole.risky, tuple(weights), tuple(biases))
+
+
 def fit(df: DataFrame, labels: DataFrame, categories: dict[str, Column | str], id_col: str = "doc_id", text_col: str = "text", label_id: str = "doc_id", severe: str | None = None, sample: int = SAMPLE, steps: int = STEPS, ridge: float = RIDGE) -> Chain:
     """Fits on at most ``sample`` labelled documents; ``categories`` maps names, in the order of the chain, to 0/1 columns of ``labels``.
 
-    ``severe`` names one more category, the last, for label tables that don't grade: texts with a category whose risky words are at least as many as
-    those of the median such text. Null labels count as 0, null ids don't count, and of several labels of an id the greatest counts. Null texts are
+    ``severe`` names one more category, the last, for label tables that don't grade: texts with a category that hold at least as many risky buckets as
+    the median such text. Null labels count as 0, null ids don't count, of several labels of an id the greatest counts and of its texts the least; ids may be of any type. Null texts are
     empty. If no sampled text has a category, or all do, no bucket is chosen and every text scores the base rate.
     """
     names = list(categories)
     wanted = [(F.col(c) if isinstance(c, str) else c).cast("int").alias(f"y{k}") for k, c in enumerate(categories.values())]
     ys = [f"y{k}" for k in range(len(names))]
-    chosen = labels.where(F.col(label_id).isNotNull()).select(F.col(label_id).cast("long").alias("id"), *wanted).groupBy("id").agg(*[F.coalesce(F.max(y), F.lit(0)).alias(y) for y in ys]).orderBy(F.xxhash64("id"), "id").limit(sample)
-    texts = id_text(df, id_col, text_col).join(F.broadcast(chosen), "id").select("id", "text", *ys)
+    chosen = labels.select(key_of(labels, label_id).alias("id"), *wanted).where("id is not null").groupBy("id").agg(*[F.coalesce(F.max(y), F.lit(0)).alias(y) for y in ys]).orderBy(F.xxhash64("id"), "id").limit(sample)
+    texts = written(id_text(df, id_col, text_col).join(F.broadcast(chosen), "id").groupBy("id", *ys).agg(F.min("text").alias("text")), "toxicity")  # one text an id: bounded by ``sample``
     any_of = F.greatest(*[F.col(y) for y in ys], F.lit(0)).alias("any")
+    fold_of = F.pmod(F.xxhash64("id"), F.lit(FOLDS)).cast("int").alias("fold")
 
     def present(batches):
-        schema = pa.schema([("bucket", pa.int32()), ("any", pa.int32())])
+        schema = pa.schema([("fold", pa.int32()), ("bucket", pa.int32()), ("any", pa.int32())])
         for x in batches:
-            label = x.column("any").to_numpy()
+            fold, label = x.column("fold").to_numpy(), x.column("any").to_numpy()
             for i, _, row, bucket in buckets(x.column("text")):
-                yield batch(schema, bucket.astype(np.int32), label[i + row])
-            yield batch(schema, np.full(len(label), -1, np.int32), label)  # for the number of texts
-
-    counts = texts.select("text", any_of).mapInArrow(present, "bucket int, any int").groupBy("bucket").agg(F.sum("any").alias("yes"), F.count("*").alias("all"))
-    total = counts.where("bucket = -1").first()
-    yes, size = (total.yes, total["all"]) if total else (0, 0)
-    # Risky or safe by the log-odds with a half added to each count, over their standard error.
-    a, b, c, d = F.col("yes") + 0.5, F.col("all") - F.col("yes") + 0.5, yes - F.col("yes") + 0.5, (size - yes) - (F.col("all") - F.col("yes")) + 0.5
-    z = F.log(a * d / (b * c)) / F.sqrt(1 / a + 1 / b + 1 / c + 1 / d)
-    known = counts.where(f"bucket >= 0 and all >= {MIN_DOCS}").withColumn("z", z)
-    often = math.log(CHANCE) / math.log(yes / size) if 0 < yes < size else math.inf  # the error is wide for a bucket without a text on the other side
-    marks = known.where((F.abs("z") >= Z) | ((F.col("yes") == F.col("all")) & (F.col("yes") >= often))).select("bucket", (F.col("z") > 0).alias("risky")).orderBy("bucket").collect() if 0 < yes < size else []
-    chain = Chain(tuple(names), np.array([m.bucket for m in marks], np.int64), np.array([m.risky for m in marks], bool), (), ())
-    keep = chain.chosen
+                yield batch(schema, fold[i + row], bucket.astype(np.int32), label[i + row])
+
+    counts = texts.select(fold_of, "text", any_of).mapInArrow(present, "fold int, bucket int, any int").groupBy("bucket", "fold").agg(F.sum("any").alias("yes"), F.count("*").alias("have"))
+    counts = counts.groupBy("bucket").agg(F.sum("yes").alias("yes"), F.sum("have").alias("have"), F.map_from_entries(F.collect_list(F.struct("fold", F.struct("yes", "have")))).alias("by"))
+    size = texts.select(fold_of, any_of).groupBy("fold").agg(F.count("*").alias("n"), F.sum("any").alias("yes")).collect()  # a row a fold
+    total, toxic = sum(r.n for r in size), sum(r.yes for r in size)
+    # What no fold could choose stays behind: a bucket in too few texts, or far from a mark even without any one fold.
+    part = lambda k, c: F.coalesce(F.try_element_at("by", F.lit(k))[c], F.lit(0))
+    use = [(F.col("yes"), F.col("have"), toxic, total)] + [(F.col("yes") - part(r.fold, "yes"), F.col("have") - part(r.fold, "have"), toxic - r.yes, total - r.n) for r in size]
+    marks = [_mark(*u) for u in use if 0 < u[2] < u[3]]
+    known = counts.where(functools.reduce(lambda a, b: a | b, marks)).orderBy("bucket").collect() if marks else []  # the vocabulary with a mark: at most the WIDTH buckets
+    keep = np.array([m.bucket for m in known], np.int64)
+    yes, have = (np.array([[m.by[f][k] if f in m.by else 0 for m in known] for f in range(FOLDS)], np.float64).reshape(FOLDS, len(known)) for k in (0, 1))
 
     def chosen_of(batches):
-        schema = pa.schema([("id", pa.int64()), ("b", pa.binary()), *((y, pa.int32()) for y in ys)])
+        schema = pa.schema([("id", pa.int64()), ("fold", pa.int32()), ("b", pa.binary()), *((y, pa.int32()) for y in ys)])
         for x in batches:
             for i, j, row, bucket in buckets(x.column("text")):
                 at = np.isin(bucket, keep)
                 row, bucket = row[at], bucket[at]
                 cut = np.searchsorted(row, np.arange(j - i + 1))
-                part = x.slice(i, j - i)
-                yield batch(schema, part.column("id"), [bucket[s:e].astype("<u4").tobytes() for s, e in zip(cut[:-1], cut[1:])], *[part.column(y) for y in ys])
+                own = x.slice(i, j - i)
+                yield batch(schema, own.column("id"), own.column("fold"), [bucket[s:e].astype("<u4").tobytes() for s, e in zip(cut[:-1], cut[1:])], *[own.column(y) for y in ys])
 
-    rows = texts.mapInArrow(chosen_of, "id long, b binary, " + ", ".join(f"{y} int" for y in ys)).collect()  # bounded by ``sample``
+    rows = texts.select("id", fold_of, "text", *ys).mapInArrow(chosen_of, "id long, fold int, b binary, " + ", ".join(f"{y} int" for y in ys)).collect()  # bounded by ``sample``
+    if not rows:
+        names = names + [severe] if severe else names
+        return Chain(tuple(names), keep[:0], np.zeros(0, bool), tuple(np.zeros(2 + k) for k in range(len(names))), (-30.0,) * len(names))
     rows.sort(key=lambda r: (r.id, r.b))
     own = [np.frombuffer(r.b, "<u4").astype(np.int64) for r in rows]
-    x = chain.rows(np.repeat(np.arange(len(own)), [len(o) for o in own]), np.concatenate(own or [np.zeros(0, np.int64)]), len(own))
     y = np.array([[r[k] for k in ys] for r in rows], np.int64).reshape(len(rows), len(ys))
-    if severe:
-        risky = np.bincount(x.row[x.index == len(keep)], minlength=len(x)) * np.exp2(np.bincount(x.row, x.value * (x.index == len(keep) + 1), len(x)))
-        toxic = y.max(axis=1, initial=0) > 0
-        limit = max(2, np.median(risky[toxic])) if toxic.any() else 2
-        y = np.concatenate([y, (toxic & (risky >= limit)).astype(np.int64)[:, None]], axis=1)
-        names.append(severe)
-    if not len(rows):
-        return Chain(tuple(names), chain.chosen, chain.risky, tuple(np.zeros(x.width + k) for k in range(len(names))), (-30.0,) * len(names))
-    fold = (K.mix(np.array([r.id for r in rows], np.int64).view(np.uint64)) % np.uint64(FOLDS)).astype(np.int64)
-    weights, biases = fit_chain(x, y, fold, steps, ridge)
-    return Chain(tuple(names), chain.chosen, chain.risky, tuple(weights), tuple(biases))
+    return _train(np.repeat(np.arange(len(own)), [len(o) for o in own]), np.concatenate(own), y, np.array([r.fold for r in rows]), keep, yes, have, names, severe, steps, ridge)
+
+
+def _mark(yes: Column, have: Column, toxic: int, size: int) -> Column:
+    """``marked`` as a column."""
+    a, b, c, d = yes + 0.5, have - yes + 0.5, toxic - yes + 0.5, (size - toxic) - (have - yes) + 0.5
+    z = F.log(a * d / (b * c)) / F.sqrt(1 / a + 1 / b + 1 / c + 1 / d)
+    often = math.log(CHANCE) / math.log(toxic / size)
+    return (have >= MIN_DOCS) & ((F.abs(z) >= Z - 1e-9) | ((yes == have) & (yes >= often)))
 
 
 def score(df: DataFrame, chain: Chain, id_col: str = "doc_id", text_col: str = "text", cut: float = CUT) -> DataFrame:
@@ -175,14 +221,14 @@ def score(df: DataFrame, chain: Chain, id_col: str = "doc_id", text_col: str = "
     Null and empty texts score as texts without a known word. Rows with null or repeated ids are rows like others, equal texts score
     alike, an empty table gives no rows, and other columns are ignored. Whole texts count.
     """
-    names = [f"p_{c}" for c in chain.categories]
-    schema = pa.schema([("id", pa.int64()), *((n, pa.float64()) for n in names), ("toxic", pa.bool_()), ("keep", pa.bool_())])
+    docs = text_of(df, id_col, text_col)
+    schema, arrow = row_schemas(docs, [*((f"p_{c}", DoubleType()) for c in chain.categories), ("toxic", BooleanType()), ("keep", BooleanType())])
 
     def scored(batches):
         for x in batches:
             for i, j, row, bucket in buckets(x.column("text")):
                 p = chain.predict(chain.rows(row, bucket, j - i))
                 toxic = (p >= cut).any(axis=1)
-                yield batch(schema, x.column("id").slice(i, j - i), *p.T, toxic, ~toxic)
+                yield batch(arrow, x.column("id").slice(i, j - i), *p.T, toxic, ~toxic)
 
-    return text_of(df, id_col, text_col).mapInArrow(scored, "id long, " + "".join(f"`{n}` double, " for n in names) + "toxic boolean, keep boolean")
+    return docs.mapInArrow(scored, schema)

@@ -1,4 +1,7 @@
+import math
+
 import numpy as np
+import pyarrow as pa
 
 from quireflow.llm import toxicity as T
 from quireflow.llm.linear import Rows
@@ -52,3 +55,65 @@ def test_odd_rows(spark):
     assert T.score(df.where("false"), chain).count() == 0
     for none in (labels.where("false"), labels.where("insult = 0")):
         assert not any(r.toxic for r in T.score(df, T.fit(train, none, {"insult": "insult"}, severe="severe")).collect())
+
+
+def test_scores_equal_a_plain_chain(spark):
+    schema = "doc_id long, text string, insult int, threat int"
+    train = spark.createDataFrame(corpus(300, 5), schema)
+    chain = T.fit(train, train.drop("text"), {"insult": "insult", "threat": "threat"})
+    held = corpus(60, 6)
+    got = {r.id: r for r in T.score(spark.createDataFrame(held, schema), chain).collect()}
+    places = {int(b): k for k, b in enumerate(chain.chosen)}
+    for i, text, *_ in held:  # one text at a time, with a set of buckets and sums in plain floats
+        own = {b for _, _, _, bs in T.buckets(pa.array([text])) for b in bs.tolist()}
+        hit = [places[b] for b in own if b in places]
+        risky = sum(bool(chain.risky[k]) for k in hit)
+        before = []
+        for w, b in zip(chain.weights, chain.biases):
+            n = len(chain.chosen)
+            z = b + sum(w[k] for k in hit) + (w[n] + w[n + 1] * math.log2(risky) if risky else 0) + sum(p * v for p, v in zip(before, w[n + 2 :]))
+            before.append(1 / (1 + math.exp(-z)))
+        assert np.allclose([got[i].p_insult, got[i].p_threat], before, atol=1e-9)
+        assert got[i].toxic == (max(before) >= T.CUT)
+
+
+def test_counts_and_choice_equal_brute_force(spark, monkeypatch):
+    rows = corpus(240, 7)
+    seen = {}
+    monkeypatch.setattr(T, "_train", lambda *a: seen.setdefault("a", a) and None)
+    df = spark.createDataFrame([(*r[:2], r[2]) for r in rows], "doc_id long, text string, insult int")
+    T.fit(df, df.drop("text"), {"insult": "insult"})
+    row, bucket, ys, fold, known, yes, have, *_ = seen["a"]
+    from pyspark.sql import functions as F
+
+    folds = {r.doc_id: r.f for r in df.select("doc_id", F.pmod(F.xxhash64("doc_id"), F.lit(T.FOLDS)).alias("f")).collect()}
+    sets = [(folds[i], y, {b for _, _, _, bs in T.buckets(pa.array([t])) for b in bs.tolist()}) for i, t, y, _ in rows]
+    for left_out in [None, *range(T.FOLDS)]:
+        part = [s for s in sets if s[0] != left_out]
+        toxic, counts = sum(y for _, y, _ in part), {}
+        for _, y, own in part:
+            for b in own:
+                a, n = counts.get(b, (0, 0))
+                counts[b] = (a + y, n + 1)
+        keep, _ = T.marked(np.array([a for a, _ in counts.values()], float), np.array([n for _, n in counts.values()], float), toxic, len(part))
+        want = {b for b, k in zip(counts, keep) if k}
+        use = np.array([f for f in range(T.FOLDS) if f != left_out])
+        got, _ = T.marked(yes[use].sum(axis=0), have[use].sum(axis=0), toxic, len(part))
+        assert want and set(known[got].tolist()) == want
+
+
+def test_a_fold_does_not_choose_its_own_buckets():
+    # A bucket that stands in toxic texts of one fold alone is no feature where that fold is predicted.
+    n = 200
+    fold, y = np.arange(n) % 5, (np.arange(n) % 10 < 5).astype(int)
+    row = np.flatnonzero((fold == 3) & (y == 1))
+    yes, have = np.zeros((5, 1)), np.zeros((5, 1))
+    yes[3], have[3] = len(row), len(row)
+    seen = []
+    real = T.Chain.rows
+    T.Chain.rows = lambda self, *a: seen.append(len(self.chosen)) or real(self, *a)
+    try:
+        T._train(row, np.full(len(row), 7), np.stack([y, y], axis=1), fold, np.array([7]), yes, have, ["a", "b"], None, 20, 1e-4)
+    finally:
+        T.Chain.rows = real
+    assert seen == [1, 1, 1, 1, 0, 1]
