@@ -18,9 +18,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DoubleType
 
 from . import kernels as K
-from .common import batch, filter_rows, id_text, text_of
+from .common import batch, col, filter_rows, id_text, key_of, row_schemas, text_of
 from .linear import Rows, minimise, sigmoid
 
 BITS = 14
@@ -122,10 +123,10 @@ def _fit(x: Rows, y: np.ndarray, grades: tuple[int, ...], steps: int, ridge: flo
 def fit(df: DataFrame, ratings: DataFrame, id_col: str = "doc_id", text_col: str = "text", rating_id: str = "doc_id", grade_col: str = "quality", sample: int = SAMPLE, steps: int = STEPS, ridge: float = RIDGE) -> Model:
     """Fits on at most ``sample`` rated documents.
 
-    Null ids, grades and texts don't count. Of several ratings of an id the least counts; of several rows of an id each does. With fewer
+    Null ids, grades and texts don't count. Of several ratings of an id the least counts, and of its texts the least; ids may be of any type. With fewer
     than two grades there is nothing to learn: every text that has a word then gets the only grade (1, if there is none) and is kept.
     """
-    rated = ratings.select(F.col(rating_id).cast("long").alias("id"), F.col(grade_col).cast("int").alias("grade")).where("id is not null and grade is not null")
+    rated = ratings.select(key_of(ratings, rating_id).alias("id"), col(ratings, grade_col).cast("int").alias("grade")).where("id is not null and grade is not null")
     chosen = rated.groupBy("id").agg(F.min("grade").alias("grade")).orderBy(F.xxhash64("id"), "id").limit(sample)
     out = pa.schema([("id", pa.int64()), ("grade", pa.int32()), ("bucket", pa.binary()), ("value", pa.binary())])
 
@@ -137,9 +138,9 @@ def fit(df: DataFrame, ratings: DataFrame, id_col: str = "doc_id", text_col: str
                 part = x.slice(i, j - i)
                 yield batch(out, part.column("id"), part.column("grade"), [bucket[a:b].astype("<u2").tobytes() for a, b in spans], [value[a:b].astype("<f4").tobytes() for a, b in spans])
 
-    texts = id_text(df, id_col, text_col).where("text is not null")
-    rows = texts.join(F.broadcast(chosen), "id").select("id", "grade", "text").mapInArrow(made, "id long, grade int, bucket binary, value binary").collect()  # bounded by ``sample``
-    rows.sort(key=lambda r: (r.id, r.bucket, r.value))
+    texts = id_text(df, id_col, text_col).where("text is not null").join(F.broadcast(chosen), "id").groupBy("id", "grade").agg(F.min("text").alias("text"))
+    rows = texts.select("id", "grade", "text").mapInArrow(made, "id long, grade int, bucket binary, value binary").collect()  # one row an id: bounded by ``sample``
+    rows.sort(key=lambda r: r.id)
     grades = tuple(sorted({r.grade for r in rows}))
     if len(grades) < 2:
         only = grades[0] if grades else 1
@@ -158,20 +159,24 @@ def score(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "
     tail = model.grades.index(at_least) - 1 if at_least is not None else 0
     if tail < 0:
         raise ValueError("at_least must be a grade above the least")
-    schema = pa.schema([("id", pa.int64()), ("expected_grade", pa.float64()), ("p_tail", pa.float64()), ("keep", pa.bool_())])
+    docs = text_of(df, id_col, text_col)
+    schema, arrow = row_schemas(docs, [("expected_grade", DoubleType()), ("p_tail", DoubleType()), ("keep", BooleanType())])
 
     def scored(batches):
         for x in batches:
             for i, j, row, bucket, value in features(x.column("text")):
                 some = np.bincount(row, minlength=j - i) > 0
                 p = model.tails(np.bincount(row, value * model.weights[bucket], j - i)) * some[:, None]
-                yield batch(schema, x.column("id").slice(i, j - i), grades[0] + p @ np.diff(grades), p[:, tail], p[:, tail] >= keep)
+                yield batch(arrow, x.column("id").slice(i, j - i), grades[0] + p @ np.diff(grades), p[:, tail], p[:, tail] >= keep)
 
-    return text_of(df, id_col, text_col).mapInArrow(scored, "id long, expected_grade double, p_tail double, keep boolean")
+    return docs.mapInArrow(scored, schema)
 
 
 def drop_low(df: DataFrame, model: Model, text_col: str = "text", at_least: int | None = None, keep: float = KEEP) -> DataFrame:
-    """The rows of ``df`` that ``score`` keeps, with all their columns."""
+    """The rows of ``df`` that ``score`` keeps, with all their columns, whatever their names and nulls in them.
+
+    Null, empty and blank texts go; rows with null or repeated ids, and equal rows, are judged each by its own text; an empty table stays empty. Whole texts count.
+    """
     tail = model.grades.index(at_least) - 1 if at_least is not None else 0
     if tail < 0:
         raise ValueError("at_least must be a grade above the least")

@@ -1,4 +1,8 @@
+import math
+from collections import Counter
+
 import numpy as np
+import pyarrow as pa
 
 from quireflow.llm import quality as Q
 from quireflow.llm.linear import Rows
@@ -57,3 +61,48 @@ def test_odd_rows(spark):
     nothing = Q.fit(df, labels.where("false"))
     assert all(r.keep for r in Q.score(df.where("length(text) > 0"), nothing).collect())
     assert Q.drop_low(df, nothing).columns == df.columns
+
+
+def plain_score(text, model):
+    """The score of one text with words and shapes in dictionaries: the same hashes, none of the vectors."""
+    from quireflow.llm import kernels as K
+
+    words = [w for w in text.replace("\n", " ").split(" ") if w]
+    h = K.hashes(*(lambda raw, ends: (raw, np.array([a for a, _ in ends]), np.array([b for _, b in ends])))(np.frombuffer(" ".join(words).encode(), np.uint8), spans(words)))
+    kind = lambda c: 1 if "a" <= c <= "z" else 2 if "A" <= c <= "Z" else 3 if c.isdigit() else 16 + ord(c)
+    shapes = []
+    for k, w in enumerate(words):
+        same = int(k > 0 and words[k - 1] == w)
+        shapes.append((((min(len(w), 24) * 256 + kind(w[0])) * 256 + kind(w[-1])) * 256 + kind(w[(len(w) - 1) // 2]) * 2 + same) ^ int(Q._SHAPE))
+    bucket = lambda v: int(K.mix(np.array([v], np.uint64))[0] >> np.uint64(64 - Q.BITS))
+    count = Counter([int(x) >> (64 - Q.BITS) for x in h]) + Counter(map(bucket, shapes))
+    total = sum(model.weights[b] * math.sqrt(n / len(words)) for b, n in count.items())
+    pairs = [int(K.mix(np.array([(int(a) * int(K.GOLD) + int(b)) % 2**64], np.uint64))[0]) for a, b in zip(h, np.roll(h, -1))]
+    repeats = sum(a == b for a, b in zip(words, words[1:]))
+    ratios = [len(set(words)) / len(words), len(set(pairs)) / len(words), math.log2(len(words)) / 16, repeats / len(words)]
+    for k, r in enumerate(ratios):
+        step = min(15, max(0, int(r * 16)))
+        total += model.weights[bucket(int(Q._RATIO[k]) ^ ((step + 1) * int(K.GOLD)) % 2**64)]
+    tails = [1 / (1 + math.exp(-min(30, max(-30, total - b)))) for b in model.thresholds]
+    return model.grades[0] + sum(t * (b - a) for t, a, b in zip(tails, model.grades, model.grades[1:])), tails
+
+
+def spans(words):
+    at, out = 0, []
+    for w in words:
+        out.append((at, at + len(w)))
+        at += len(w) + 1
+    return out
+
+
+def test_scores_equal_brute_force(spark):
+    train, held = corpus(200, 4), corpus(40, 5)
+    schema = "doc_id long, text string, quality int"
+    model = Q.fit(spark.createDataFrame(train, schema), spark.createDataFrame(train, schema))
+    got = {r.id: r for r in Q.score(spark.createDataFrame(held, schema), model, at_least=2).collect()}
+    for i, text, _ in held:
+        grade, tails = plain_score(text, model)
+        assert abs(got[i].expected_grade - grade) < 1e-6 and abs(got[i].p_tail - tails[1]) < 1e-6 and got[i].keep == (tails[1] >= Q.KEEP)
+    names = spark.createDataFrame([(f"doc-{i}", t, 1) for i, t, _ in held], "doc_id string, text string, `text.x` int")
+    assert {r.id: round(r.p_tail, 9) for r in Q.score(names, model, at_least=2).collect()} == {f"doc-{i}": round(r.p_tail, 9) for i, r in got.items()}
+    assert Q.drop_low(names, model).columns == names.columns
