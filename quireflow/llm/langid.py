@@ -5,7 +5,7 @@ cut into blocks, every block is compressed once per language with that language'
 Matches of ``MATCH`` bytes count, about a syllable. A match into the dictionary is cheaper than a literal, so the sizes rank the languages by how much of the text their dictionary
 explains. Blocks keep the rank sharp for long texts, whose own repeats would otherwise serve every language alike.
 
-The fit reads labels without the texts, picks ``sample`` documents a language by the hash of their id, and fetches those
+The fit reads labels without the texts, picks ``sample`` documents a language by the hash of their id, and fetches pieces from all over those
 texts in one scan. Scoring is one pass over the texts with no shuffle; what each worker holds is the dictionaries,
 whose size is languages x ``dict_bytes`` whatever the corpus.
 """
@@ -15,44 +15,70 @@ from __future__ import annotations
 import functools
 
 import numpy as np
-import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DoubleType, StringType
 
 from . import kernels as K
-from .common import batch, text_of
+from .common import batch, col, key_of, row_schemas, text_of
 
-DICT_BYTES, SAMPLE, MIN_DOCS, BLOCK, LEVEL, MATCH, MARGIN, UNKNOWN = 65_536, 48, 3, 4096, 6, 4, 0.02, "und"
-_SCHEMA = pa.schema([("id", pa.int64()), ("lang", pa.string()), ("nearest", pa.string()), ("runner_up", pa.string()), ("margin", pa.float64()), ("keep", pa.bool_())])
+DICT_BYTES, SAMPLE, MIN_DOCS, LANGUAGES, PIECE, BLOCK, LEVEL, MATCH, MARGIN, UNKNOWN = 65_536, 48, 3, 256, 256, 4096, 6, 4, 0.02, "und"
 
 
-def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", dict_bytes: int = DICT_BYTES, sample: int = SAMPLE, min_docs: int = MIN_DOCS) -> dict[str, bytes]:
+def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", dict_bytes: int = DICT_BYTES, sample: int = SAMPLE, min_docs: int = MIN_DOCS, languages: int = LANGUAGES) -> dict[str, bytes]:
     """The dictionary of each language that has at least ``min_docs`` labelled documents.
 
-    ``sample`` documents a language and ``dict_bytes`` bytes of their texts bound the fit. A text is cut to its first
-    2 * ``dict_bytes`` / number of texts bytes (256 at least), and of the joined texts the first ``dict_bytes`` bytes count: if all are long, about half
-    of the sampled documents get in. Null labels, ids and texts don't count. Of
-    rows that share an id the one with the least text counts.
+    ``sample`` documents a language, ``dict_bytes`` bytes of them and the ``languages`` labels with the most documents bound the fit. A text longer than its fair share is
+    represented by pieces of ``PIECE`` characters spread evenly over all of it, so every sampled document and every part of it can get in. Null labels, ids and texts
+    don't count. Of rows that share an id and a label the one with the least text counts; ids may be of any type.
     """
-    labelled = df.select(F.col(id_col).cast("long").alias("id"), F.col(lang_col).cast("string").alias("lang")).where("id is not null and lang is not null")
+    labelled = df.select(key_of(df, id_col).alias("id"), col(df, lang_col).cast("string").alias("lang")).where("id is not null and lang is not null")
+    most = labelled.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(languages).select("lang")
     first = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    chosen = labelled.withColumn("r", F.row_number().over(first)).where(F.col("r") <= sample).select("id").distinct()
-    texts = df.select(F.col(id_col).cast("long").alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text")).where("lang is not null and text is not null")
-    rows = texts.join(F.broadcast(chosen), "id").groupBy("lang", "id").agg(F.min("text").alias("text")).collect()  # at most ``sample`` a language
+    chosen = labelled.join(F.broadcast(most), "lang").distinct().withColumn("r", F.row_number().over(first)).where(F.col("r") <= sample).select("id", "lang")  # at most sample x languages
+    texts = df.select(key_of(df, id_col).alias("id"), col(df, lang_col).cast("string").alias("lang"), col(df, text_col).cast("string").alias("text")).where("lang is not null and text is not null")
+    pieces = max(1, 4 * dict_bytes // sample // PIECE)
+    step = (F.length("text") - PIECE) / F.lit(max(1, pieces - 1))
+    spread = F.transform(F.sequence(F.lit(0), F.lit(pieces - 1)), lambda k: F.substring("text", F.floor(k * step).cast("int") + 1, F.lit(PIECE)))
+    parts = F.when(F.length("text") <= pieces * PIECE, F.array("text")).otherwise(spread)
+    rows = texts.join(F.broadcast(chosen), ["id", "lang"]).groupBy("lang", "id").agg(F.min("text").alias("text")).select("lang", F.xxhash64("id").alias("h"), parts.alias("parts")).collect()  # bounded by all three
     found: dict[str, list] = {}
     for r in rows:
-        found.setdefault(r.lang, []).append((K.mix(np.array([r.id], np.int64).view(np.uint64))[0], r.text))
+        found.setdefault(r.lang, []).append((r.h, [K.lowered(np.frombuffer(p.encode(), np.uint8)).tobytes() for p in r.parts]))
     out = {}
     for lang, own in sorted(found.items()):
         if len(own) >= min_docs:
-            each = max(256, 2 * dict_bytes // len(own))  # a fair part for each text, so that one long text doesn't fill the dictionary
-            data = b"\n".join(K.lowered(np.frombuffer(t.encode()[:each], np.uint8)).tobytes() for _, t in sorted(own))[:dict_bytes]
+            data = b"\n".join(_fair([parts for _, parts in sorted(own)], dict_bytes))[:dict_bytes]
             if len(data) >= 8:
                 out[lang] = data
     return out
 
 
+def _fair(texts: list[list[bytes]], limit: int) -> list[bytes]:
+    """The texts, given in parts, so that all of them take about ``limit`` bytes: none more than the same share, of which long ones give parts from all over."""
+    size = [sum(map(len, t)) for t in texts]
+    share, left = 0, limit
+    for k, n in enumerate(sorted(size)):
+        share = left // (len(size) - k)
+        if n > share:
+            break
+        left -= n
+        share = n
+    out = []
+    for t, n in zip(texts, size):
+        if n <= share:
+            out.append(b"".join(t))
+        elif len(t) == 1:  # one part: cut into pieces first
+            cut = [t[0][a : a + PIECE] for a in range(0, n, PIECE)]
+            use = max(1, share // PIECE)
+            out.append(b"".join(cut[k * len(cut) // use] for k in range(use)))
+        else:
+            use = max(1, share * len(t) // n)
+            out.append(b"".join(t[k * len(t) // use] for k in range(use)))
+    return out
+
+
 @functools.lru_cache(maxsize=4)
 def _compressors(dictionaries: tuple[tuple[str, bytes], ...], level: int) -> list[zstandard.ZstdCompressor]:
     out = []
@@ -79,8 +105,9 @@ def detect(df: DataFrame, dictionaries: dict[str, bytes], id_col: str = "doc_id"
     dictionary there is no runner-up and its language is kept; with none everything is 'und'. Rows with null or repeated ids are rows
     like others, an empty table gives no rows, and other columns are ignored. Whole texts count.
     """
-    named = tuple(sorted(dictionaries.items()))
+    docs, named = text_of(df, id_col, text_col), tuple(sorted(dictionaries.items()))
     names = [k for k, _ in named]
+    schema, arrow = row_schemas(docs, [("lang", StringType()), ("nearest", StringType()), ("runner_up", StringType()), ("margin", DoubleType()), ("keep", BooleanType())])
 
     def score(batches):
         compressors = _compressors(named, level)
@@ -96,6 +123,6 @@ def detect(df: DataFrame, dictionaries: dict[str, bytes], id_col: str = "doc_id"
                 far.append(names[order[1]] if len(s) > 1 else None)
                 wide.append(m)
                 best.append(sure)
-            yield batch(_SCHEMA, x.column("id"), [n if k else UNKNOWN for n, k in zip(near, best)], near, far, wide, best)
+            yield batch(arrow, x.column("id"), [n if k else UNKNOWN for n, k in zip(near, best)], near, far, wide, best)
 
-    return text_of(df, id_col, text_col).mapInArrow(score, "id long, lang string, nearest string, runner_up string, margin double, keep boolean")
+    return docs.mapInArrow(score, schema)
