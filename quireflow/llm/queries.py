@@ -51,7 +51,7 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return caps.group_near_vectors(table(spark, sf_dir, "embeddings")).selectExpr("id AS vec_id", "`group` AS group_id", "keep")
+    return caps.group_near_vectors(table(spark, sf_dir, "embeddings")).selectExpr("id AS vec_id", "`group` AS group_id", "keep", "class AS class_id", "links AS n_links")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

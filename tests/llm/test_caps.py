@@ -32,6 +32,55 @@ def test_recall_against_brute_force(spark):
     assert all(keep == (g == i) for i, (g, keep) in got.items())
 
 
+def test_links_and_classes_equal_brute_force(spark, monkeypatch):
+    rows = vectors(600)
+    rows += [(5000 + k, v) for k, (_, v) in enumerate(rows[610:630])]  # copies: the same classes, no more links
+    v = np.array([x for _, x in rows], np.float32).astype(float)
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    least = {}
+    for (i, _), x in zip(rows, map(tuple, v)):
+        least[x] = min(least.get(x, i), i)
+    distinct = np.array(list(least))
+    near = distinct @ distinct.T >= C.COSINE
+    links = dict(zip(least, near.sum(axis=1) - 1))
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    for block in (None, 50):  # a set of 150 in blocks of 50, too
+        if block:
+            monkeypatch.setattr(C, "group_sizes", lambda m, f=C.group_sizes: f(m, block))
+        got = {r.id: r for r in C.group_near_vectors(df).collect()}
+        assert all(got[i]["class"] == least[x] for (i, _), x in zip(rows, map(tuple, v)))
+        right = [got[i].links == links[x] for (i, _), x in zip(rows, map(tuple, v)) if links[x]]
+        assert len(right) > 300 and np.mean(right) > 0.97 and all(got[i].links <= links[x] for (i, _), x in zip(rows, map(tuple, v)))
+
+
+def test_sketches_of_near_pairs_stay_within_the_margin():
+    rng = np.random.default_rng(3)
+    for dim in (16, 63, 64, 384):
+        x = rng.standard_normal((4000, dim)) * rng.gamma(1, 1, dim)  # some dimensions far greater than others
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        g = rng.standard_normal(x.shape)
+        g -= (g * x).sum(1, keepdims=True) * x
+        y = C.COSINE * x + np.sqrt(1 - C.COSINE**2) * g / np.linalg.norm(g, axis=1, keepdims=True)
+        turn = C._codes(C.Caps(dim, 2.0, 4))[0][0]
+        a, b = (C.unsketched(C.sketch(v @ turn)) for v in (x, y))
+        assert np.mean((a * b).sum(axis=1) >= C.COSINE - C.MARGIN) > 0.998
+
+
+def test_wide_buckets_are_connected_like_narrow_ones():
+    v = np.random.default_rng(8).standard_normal((1400, 3))
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    node = np.arange(1400)
+    label = lambda e: C._forest(np.concatenate([e, np.stack([node, node], axis=1)]))
+    whole = np.array(np.nonzero(np.triu(v @ v.T >= 0.9995, 1))).T
+    assert sorted(map(tuple, label(C.bucket_edges(v, node, 0.9995)))) == sorted(map(tuple, label(whole)))
+
+
+def test_ids_of_any_type(spark):
+    df = spark.createDataFrame([("a", [1.0, 0.0]), ("b", [1.0, 0.001]), ("c", [0.0, 1.0]), ("d", [2.0, 0.0])], "vec_id string, embedding array<float>")
+    got = {r.id: r for r in C.group_near_vectors(df).collect()}
+    assert len({got[k].group for k in "abd"}) == 1 and got["c"].group == "c" and {k: r.links for k, r in got.items()} == {"a": 2, "b": 2, "c": 0, "d": 2}
+
+
 def test_recall_of_pairs_at_the_threshold():
     rng = np.random.default_rng(1)
     x = rng.standard_normal((1000, 64))
