@@ -75,6 +75,33 @@ def model_slot(df: DataFrame, load: Callable[[], Callable[[pd.DataFrame], pd.Dat
     return df.mapInPandas(work, f"{schema}, error_stage string, error_message string")
 
 
+def staged(df: DataFrame, stages: list[tuple[str, Callable[[], Callable[[dict], dict]]]], schema: str) -> DataFrame:
+    """Rows through the stages of a pipeline, one after the other in one task. Each stage is a function of a row's values, made once a worker, that adds or replaces some.
+
+    An error is a value, not an end: the row keeps what it has of the columns of ``schema`` that came in, the rest is null, and its error_stage, error_type and error_message are
+    set; later stages pass it on. Columns of ``schema`` are put out, then the envelope."""
+    names = [p.split()[0] for p in schema.split(",")]
+    given = set(df.columns)
+    envelope = ("error_stage", "error_type", "error_message")
+
+    def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        made = [(name, load()) for name, load in stages]
+        for frame in frames:
+            out = []
+            for row in frame.to_dict("records"):
+                start, error = dict(row), (None, None, None)
+                for name, f in made:
+                    try:
+                        row.update(f(row))
+                    except Exception as e:
+                        row, error = start, (name, type(e).__name__, str(e)[:512])
+                        break
+                out.append([*(row.get(c) if error[0] is None or c in given else None for c in names), *error])
+            yield pd.DataFrame(out, columns=[*names, *envelope], dtype=object)
+
+    return df.mapInPandas(work, f"{schema}, error_stage string, error_type string, error_message string")
+
+
 @dataclasses.dataclass(frozen=True)
 class CountConfig:
     least: int = 1

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..operators.tables import latest_per_key, merge_snapshot
+from ..operators import admin
+from ..operators.tables import latest_per_key, merge_snapshot, numbered
 from .registry import query
 
 FAILED = ("retryable_failed", "terminal_failed")
@@ -206,9 +207,16 @@ def not_done(e) -> DataFrame:
     return e.volumes.join(e.tasks.where("status = 'done'"), "volume_id", "left_anti").select("volume_id", "w_id")
 
 
-@query("f04_stale_tasks", "SELECT id FROM tasks, task_clock WHERE started_at < now_at - INTERVAL '5' MINUTE AND status = 'running'")
+@query("f04_stale_tasks", "SELECT id, status FROM tasks, task_clock WHERE started_at < now_at - INTERVAL '5' MINUTE")
 def stale(e) -> DataFrame:
-    return e.tasks.join(F.broadcast(e.task_clock)).where(F.expr("started_at < now_at - INTERVAL '5' MINUTE and status = 'running'")).select("id")
+    """Tasks that began more than five minutes ago, whatever became of them."""
+    return e.tasks.join(F.broadcast(e.task_clock)).where(F.expr("started_at < now_at - INTERVAL '5' MINUTE")).select("id", "status")  # one row of a clock
+
+
+@query("j07_skipped_count", "SELECT count(*) FILTER (volume_id IN (SELECT volume_id FROM tasks WHERE status = 'done')) AS skipped, count(*) FILTER (volume_id NOT IN (SELECT volume_id FROM tasks WHERE status = 'done')) AS sent FROM volumes")
+def skipped(e) -> DataFrame:
+    done = e.tasks.where("status = 'done'").select("volume_id", F.lit(True).alias("done")).distinct()
+    return e.volumes.join(done, "volume_id", "left").agg(F.count("done").alias("skipped"), F.count(F.when(F.col("done").isNull(), 1)).alias("sent"))
 
 
 @query("f05_active_workers", "SELECT worker_id FROM workers, event_clock WHERE last_heartbeat_at >= now_at - INTERVAL '10' MINUTE")
@@ -235,14 +243,18 @@ def ellipsis(c, n: int):
 
 @query(
     "m01_register_worker",
-    """WITH req AS (SELECT DISTINCT worker_name FROM workers WHERE worker_id % 3 = 0 UNION ALL SELECT 'newcomer'), best AS (SELECT worker_name, max(worker_id) AS worker_id FROM workers WHERE stopped_at IS NULL GROUP BY 1)
-    SELECT r.worker_name, coalesce(b.worker_id, (SELECT max(worker_id) FROM workers) + 1) AS worker_id, b.worker_id IS NOT NULL AS reused FROM req r LEFT JOIN best b USING (worker_name)""",
+    """WITH req AS (SELECT DISTINCT worker_name FROM workers UNION ALL SELECT 'newcomer'), best AS (SELECT worker_name, max(worker_id) AS worker_id FROM workers WHERE stopped_at IS NULL GROUP BY 1)
+    SELECT r.worker_name, coalesce(b.worker_id, (SELECT max(worker_id) FROM workers) + row_number() OVER (PARTITION BY b.worker_id IS NULL ORDER BY r.worker_name)) AS worker_id, b.worker_id IS NOT NULL AS reused FROM req r LEFT JOIN best b USING (worker_name)""",
 )
 def register(e) -> DataFrame:
-    wanted = e.workers.where("worker_id % 3 = 0").select("worker_name").distinct().union(e.spark.createDataFrame([("newcomer",)], "worker_name string"))
+    """Every name registers: the newest row of the name that isn't stopped is used again, else the next number."""
+    wanted = e.workers.select("worker_name").distinct().union(e.spark.createDataFrame([("newcomer",)], "worker_name string"))
     best = e.workers.where("stopped_at is null").groupBy("worker_name").agg(F.max("worker_id").alias("own"))
     top = e.workers.agg(F.max("worker_id").alias("top"))
-    return wanted.join(best, "worker_name", "left").join(F.broadcast(top)).select("worker_name", F.coalesce("own", F.col("top") + 1).alias("worker_id"), F.col("own").isNotNull().alias("reused"))
+    known = wanted.join(best, "worker_name", "left")
+    old = known.where("own is not null").select("worker_name", F.col("own").alias("worker_id"), F.lit(True).alias("reused"))
+    new = numbered(known.where("own is null").select("worker_name"), [], ["worker_name"]).join(F.broadcast(top))  # one row
+    return old.union(new.select("worker_name", (F.col("top") + F.col("number")).alias("worker_id"), F.lit(False)))
 
 
 @query("m02_heartbeat_and_stop", "SELECT worker_id, CASE WHEN worker_id % 4 = 0 THEN now_at ELSE last_heartbeat_at END AS last_heartbeat_at, CASE WHEN worker_id % 9 = 0 THEN coalesce(stopped_at, now_at) ELSE stopped_at END AS stopped_at FROM workers, event_clock")
@@ -255,52 +267,60 @@ def heartbeat(e) -> DataFrame:
 
 @query(
     "m03_upsert_volumes",
-    """WITH src AS (SELECT volume_id, w_id, i_id, md5(last_etag) AS e, nb_images + 1 AS n FROM volumes WHERE volume_id % 3 = 0 UNION ALL SELECT 900000000 + volume_id, w_id, i_id || 'x', last_etag, 5 FROM volumes WHERE volume_id % 50 = 0)
+    """WITH src AS (SELECT volume_id, w_id, i_id, CASE WHEN volume_id % 3 = 0 THEN md5(last_etag) ELSE last_etag END AS e, nb_images + CASE WHEN volume_id % 3 = 0 THEN 1 ELSE 0 END AS n FROM volumes UNION ALL SELECT 900000000 + volume_id, w_id, i_id || 'x', last_etag, 5 FROM volumes)
     SELECT coalesce(v.w_id, s.w_id) AS w_id, coalesce(v.i_id, s.i_id) AS i_id, coalesce(s.e, v.last_etag) AS last_etag, CAST(coalesce(s.n, v.nb_images) AS INTEGER) AS nb_images, CAST(coalesce(v.nb_images_intro, 0) AS INTEGER) AS nb_images_intro FROM volumes v FULL JOIN src s ON s.w_id = v.w_id AND s.i_id = v.i_id""",
 )
 def upsert_volumes(e) -> DataFrame:
-    v = e.volumes
-    changed = v.where("volume_id % 3 = 0").select("w_id", "i_id", F.md5("last_etag").alias("e"), (F.col("nb_images") + 1).alias("n"))
-    added = v.where("volume_id % 50 = 0").select("w_id", F.concat("i_id", F.lit("x")).alias("i_id"), F.col("last_etag").alias("e"), F.lit(5).alias("n"))
-    out = merge_snapshot(v, changed.unionByName(added), ["w_id", "i_id"], {"last_etag": F.col("s.e"), "nb_images": F.col("s.n")}, {"last_etag": F.col("s.e"), "nb_images": F.col("s.n"), "nb_images_intro": F.lit(0)})
+    """Every volume is seen again, each third changed, and a new one beside each."""
+    v, new = e.volumes, F.col("volume_id") % 3 == 0
+    seen = v.select("w_id", "i_id", F.when(new, F.md5("last_etag")).otherwise(F.col("last_etag")).alias("e"), (F.col("nb_images") + F.when(new, 1).otherwise(0)).alias("n"))
+    added = v.select("w_id", F.concat("i_id", F.lit("x")).alias("i_id"), F.col("last_etag").alias("e"), F.lit(5).alias("n"))
+    out = merge_snapshot(v, seen.unionByName(added), ["w_id", "i_id"], {"last_etag": F.col("s.e"), "nb_images": F.col("s.n")}, {"last_etag": F.col("s.e"), "nb_images": F.col("s.n"), "nb_images_intro": F.lit(0)})
     return out.select("w_id", "i_id", "last_etag", "nb_images", "nb_images_intro")
 
 
 @query(
     "m04_m05_m06_x04_claims",
-    """WITH req AS (SELECT job_id, volume_id, etag, volume_id % 10 = 0 AS force FROM (SELECT DISTINCT job_id, volume_id, etag FROM tasks WHERE id % 7 = 0) UNION ALL SELECT 99, volume_id, last_etag, false FROM volumes WHERE volume_id % 25 = 0),
+    """WITH req AS (SELECT job_id, volume_id, etag, volume_id % 10 = 0 AS force FROM (SELECT DISTINCT job_id, volume_id, etag FROM tasks) UNION ALL SELECT 99, volume_id, last_etag, false FROM volumes),
     have AS (SELECT job_id, volume_id, etag, max(id) AS id, arg_max(status, id) AS status, arg_max(attempt, id) AS attempt, arg_max(started_at, id) AS started_at FROM tasks GROUP BY 1, 2, 3)
-    SELECT r.job_id, r.volume_id, r.etag, CASE WHEN h.id IS NULL THEN 'claim' WHEN r.force THEN 'force' WHEN h.started_at < now_at - INTERVAL '5' MINUTE THEN 'stale' ELSE 'skip' END AS decision,
-    CAST(CASE WHEN h.id IS NULL THEN 1 WHEN r.force OR h.started_at < now_at - INTERVAL '5' MINUTE THEN h.attempt + 1 ELSE h.attempt END AS INTEGER) AS attempt FROM req r LEFT JOIN have h USING (job_id, volume_id, etag), task_clock""",
+    SELECT r.job_id, r.volume_id, r.etag, CASE WHEN h.id IS NULL THEN 'claim' WHEN r.force THEN 'force' WHEN h.started_at < now_at - INTERVAL '400' DAY THEN 'stale' ELSE 'skip' END AS decision,
+    CAST(CASE WHEN h.id IS NULL THEN 1 WHEN r.force OR h.started_at < now_at - INTERVAL '400' DAY THEN h.attempt + 1 ELSE h.attempt END AS INTEGER) AS attempt FROM req r LEFT JOIN have h USING (job_id, volume_id, etag), task_clock""",
 )
 def claims(e) -> DataFrame:
+    """Every task is asked for again, and every volume for a new job."""
     key = ["job_id", "volume_id", "etag"]
-    asked = e.tasks.where("id % 7 = 0").select(*key).distinct().withColumn("force", F.col("volume_id") % 10 == 0)
-    asked = asked.unionByName(e.volumes.where("volume_id % 25 = 0").select(F.lit(99).alias("job_id"), "volume_id", F.col("last_etag").alias("etag"), F.lit(False).alias("force")))
+    asked = e.tasks.select(*key).distinct().withColumn("force", F.col("volume_id") % 10 == 0)
+    asked = asked.unionByName(e.volumes.select(F.lit(99).alias("job_id"), "volume_id", F.col("last_etag").alias("etag"), F.lit(False).alias("force")))
     have = latest_per_key(e.tasks, key, F.desc("id")).select(*key, "id", "attempt", "started_at")
-    old = F.expr("started_at < now_at - INTERVAL '5' MINUTE")
+    old = F.expr("started_at < now_at - INTERVAL '400' DAY")
     decision = F.when(F.col("id").isNull(), "claim").when(F.col("force"), "force").when(old, "stale").otherwise("skip")
     attempt = F.when(F.col("id").isNull(), 1).when(F.col("force") | old, F.col("attempt") + 1).otherwise(F.col("attempt"))
-    return asked.join(have, key, "left").join(F.broadcast(e.task_clock)).select(*key, decision.alias("decision"), attempt.cast("int").alias("attempt"))
+    return asked.join(have, key, "left").join(F.broadcast(e.task_clock)).select(*key, decision.alias("decision"), attempt.cast("int").alias("attempt"))  # one row of a clock
 
 
 @query(
     "m07_m08_mark_results",
-    """WITH res AS (SELECT id, CASE WHEN id % 3 = 0 THEN 'done' WHEN id % 3 = 1 THEN 'retryable_failed' ELSE 'terminal_failed' END AS to_status, 40 AS images FROM tasks WHERE status = 'running' AND id % 2 = 0)
+    """WITH res AS (SELECT id, CASE WHEN id % 3 = 0 THEN 'done' WHEN id % 3 = 1 THEN 'retryable_failed' ELSE 'terminal_failed' END AS to_status, 40 AS images FROM tasks WHERE status = 'running')
     SELECT t.id, coalesce(r.to_status, t.status) AS status, CASE WHEN r.to_status = 'done' THEN r.images ELSE t.total_images END AS total_images FROM tasks t LEFT JOIN res r USING (id)""",
 )
 def mark(e) -> DataFrame:
     r = F.col("id") % 3
-    results = e.tasks.where("status = 'running' and id % 2 = 0").select("id", F.when(r == 0, "done").when(r == 1, "retryable_failed").otherwise("terminal_failed").alias("to_status"), F.lit(40).alias("images"))
+    results = e.tasks.where("status = 'running'").select("id", F.when(r == 0, "done").when(r == 1, "retryable_failed").otherwise("terminal_failed").alias("to_status"), F.lit(40).alias("images"))
     done = F.col("s.to_status") == "done"
     return merge_snapshot(e.tasks.select("id", "status", "total_images"), results, ["id"], {"status": F.col("s.to_status"), "total_images": F.when(done, F.col("s.images")).otherwise(F.col("t.total_images"))})
 
 
-@query("m09_delete_job_cascade", "SELECT 'jobs' AS tab, count(*) AS n FROM jobs WHERE job_id <> 3 UNION ALL SELECT 'tasks', count(*) FROM tasks WHERE job_id <> 3")
-def delete_job(e) -> DataFrame:
-    gone = e.jobs.where("job_id = 3").select("job_id")
-    left = [d.join(F.broadcast(gone), "job_id", "left_anti").agg(F.count("*").alias("n")).select(F.lit(n).alias("tab"), "n") for n, d in (("jobs", e.jobs), ("tasks", e.tasks))]
-    return left[0].unionByName(left[1])
+@query("m09_job_admin", """WITH j AS (SELECT job_id, job_name, CASE job_id WHEN 2 THEN '{"a": 1}' ELSE '{}' END AS config, CASE job_id WHEN 4 THEN 'queue-new' ELSE 'queue-' || job_id END AS queue_url, CASE job_id WHEN 5 THEN 'dlq-new' END AS dlq_url FROM jobs WHERE job_id <> 3
+    UNION ALL SELECT (SELECT max(job_id) FROM jobs) + 1, 'fresh', '{"b": 2}', 'queue-fresh', NULL) SELECT job_id, job_name, config, queue_url, dlq_url, (SELECT count(*) FROM tasks t WHERE t.job_id = j.job_id) AS tasks FROM j""")
+def job_admin(e) -> DataFrame:
+    """A job is added, one configured anew, two get other queues, and one goes with its tasks; then all jobs with what is left of their tasks."""
+    jobs = e.jobs.select("job_id", "job_name", F.lit("{}").alias("config"), F.concat(F.lit("queue-"), F.col("job_id").cast("string")).alias("queue_url"), F.lit(None).cast("string").alias("dlq_url"))
+    jobs = admin.created(jobs, "fresh", "queue-fresh", '{"b": 2}')
+    jobs = admin.configured(jobs, 2, '{"a": 1}')
+    jobs = admin.requeued(admin.requeued(jobs, 4, queue_url="queue-new"), 5, dlq_url="dlq-new")
+    jobs, tasks = admin.deleted(jobs, e.tasks, 3)
+    left = tasks.groupBy("job_id").agg(F.count("*").alias("tasks"))
+    return jobs.join(left, "job_id", "left").na.fill(0, ["tasks"])
 
 
 @query(

@@ -133,10 +133,8 @@ def resume(df: DataFrame, done: DataFrame, key: str) -> DataFrame:
     return df.join(done.select(key), key, "left_anti")
 
 
-def write_items(df: DataFrame, folder: str, key: str) -> None:
-    """A JSON file for each row, named by its key: written under another name and then renamed, so that what is there is whole. Rows that are there already are written
-    again; ``resume`` leaves them out."""
-    columns = df.columns
+def write_texts(df: DataFrame, folder: str) -> None:
+    """A JSON file for each row (name, text): written under another name and then renamed, so that what is there is whole."""
 
     def run(batches):
         import pyarrow as pa
@@ -151,7 +149,12 @@ def write_items(df: DataFrame, folder: str, key: str) -> None:
                 fs.move(f"{root}/.{name}.writing", f"{root}/{name}.json")
             yield pa.RecordBatch.from_pydict({"n": pa.array([b.num_rows], pa.int64())})
 
-    df.select(F.col(key).cast("string").alias("name"), F.to_json(F.struct(*columns)).alias("text")).mapInArrow(run, "n long").agg(F.sum("n")).collect()
+    df.mapInArrow(run, "n long").agg(F.sum("n")).collect()
+
+
+def write_items(df: DataFrame, folder: str, key: str) -> None:
+    """A JSON file for each row, named by its key. Rows that are there already are written again; ``resume`` leaves them out."""
+    write_texts(df.select(F.col(key).cast("string").alias("name"), F.to_json(F.struct(*df.columns)).alias("text")), folder)
 
 
 def read_items(spark, folder: str, schema: str) -> DataFrame:
