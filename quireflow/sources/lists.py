@@ -95,7 +95,7 @@ def _local_etag(path: pd.Series, length: pd.Series) -> pd.Series:
 def list_images(spark: SparkSession, folder: str) -> DataFrame:
     """(path, filename, length, modified, etag) of the images directly in a folder, by name; contents aren't read. Local files have a tag of size and time
     of change in nanoseconds, others none. A folder without images is an error."""
-    files = spark.read.format("binaryFile").load(folder.rstrip("/") + "/*").drop("content")
+    files = spark.read.format("binaryFile").load(folder).drop("content")
     name = F.regexp_extract("path", "([^/]*)$", 1)
     out = files.select("path", F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B"))).alias("filename"), "length", F.col("modificationTime").alias("modified")).where(is_image(F.col("filename")))
     if out.isEmpty():
