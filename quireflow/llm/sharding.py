@@ -1,17 +1,17 @@
 """Sharding by size-tiered compaction.
 
 Arrivals become small immutable shards: each task streams its rows into Parquet files of ``arrival_bytes``. Compaction puts shards into tiers by size
-and merges runs of one tier, in the order of their names, into files of ``target_bytes``; a shard near the target is left alone. Shuffles play no part: a merge is a
+and merges runs of one tier, in the order of their names, into files of about ``target_bytes``; a shard near the target is left alone. Texts are never shuffled: a merge is a
 task that streams its inputs into one file.
 
-A manifest lists the shards of a version. Commit writes it under a temporary name and renames it without overwriting, so readers see
-a version whole or not at all, and of two writers one fails and may retry. Files that no task reported, such as those of a lost executor, are in no manifest.
+A manifest is a Parquet table of the shards of a version, and a pointer to it. Commit writes the table, then the pointer under a temporary name, and renames that without overwriting, so readers see
+a version whole or not at all, and of two writers one fails and may retry. Files that no task reported, such as those of a lost executor, are in no manifest. Plans, merges and reads
+work on manifests as tables: the driver holds a version number and counts, however many shards there are.
 """
 
 from __future__ import annotations
 
 import json
-import math
 import uuid
 from dataclasses import asdict, dataclass
 
@@ -19,10 +19,13 @@ import pyarrow as pa
 import pyarrow.fs
 import pyarrow.parquet as pq
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import from_arrow_schema, to_arrow_schema
+from pyspark.sql.types import IntegerType, LongType, StructType
 
-from .common import scratch, written
+from ..operators.tables import numbered
+from .common import checkpoint, partitions, scratch, written
 
 TARGET, ARRIVAL, FANOUT, GROUP_BYTES = 64 << 20, 8 << 20, 4, 16 << 20
 _SHARD = "name string, rows long, bytes long"
@@ -37,6 +40,10 @@ class Shard:
 
 
 def _fs(uri: str) -> tuple[pyarrow.fs.FileSystem, str]:
+    """The file system of an address for the Python workers; s3a and s3n, as Hadoop calls it, are s3."""
+    scheme, sep, rest = uri.partition("://")
+    if sep and scheme in ("s3a", "s3n"):
+        uri = f"s3://{rest}"
     return pyarrow.fs.FileSystem.from_uri(uri if ":/" in uri else f"file://{uri}")
 
 
@@ -93,67 +100,57 @@ def _batch(shards: list[Shard]) -> pa.RecordBatch:
     return pa.RecordBatch.from_pylist([asdict(s) for s in shards], schema=_SCHEMA)
 
 
-def write_arrivals(df: DataFrame, root: str, name: str, arrival_bytes: int = ARRIVAL) -> list[Shard]:
-    """Writes the rows of ``df`` as new shards and returns those of the attempts that counted; nothing is visible before ``commit``."""
+def write_arrivals(df: DataFrame, root: str, name: str, arrival_bytes: int = ARRIVAL) -> DataFrame:
+    """Writes the rows of ``df`` as new shards and returns (name, rows, bytes) of those of the attempts that counted; nothing is visible before ``commit``."""
     if len(set(df.columns)) < len(df.columns):
         raise ValueError("shards can't hold two columns of one name")
 
     def write(batches):
         out = _Writer(root, f"{name}-{TaskContext.get().partitionId():07d}", arrival_bytes)
         for x in batches:
-            out.write(x)
+            out.write(pa.RecordBatch.from_arrays(x.columns, names=names))
         yield _batch(out.close())
 
-    return sorted((Shard(*r) for r in written(df.mapInArrow(write, _SHARD), "arrivals").collect()), key=lambda s: s.name)
+    names = list(df.columns)
+    return written(df.toDF(*[f"c{k}" for k in range(len(names))]).mapInArrow(write, _SHARD), "arrivals")  # Spark takes no dots in names here
 
 
-def tier(size: int, target: int, fanout: int) -> int:
-    """0 from target / fanout on, 1 from target / fanout^2 on, and so on."""
-    return max(0, math.ceil(math.log(max(1.0, target / max(size, 1)), fanout) - 1e-9) - 1)
+def plan(shards: DataFrame, target: int = TARGET, fanout: int = FANOUT, full: bool = False) -> DataFrame:
+    """(tier, run, names): the runs to merge, names in order. Shards of one tier are laid end to end in the order of names, and those whose middle lies in the same stretch of
+    ``target`` bytes are a run. Tier 0 goes down to target / fanout bytes, tier 1 to target / fanout^2 and so on; shards of three quarters of the target or more are in none.
 
-
-def plan(shards: list[Shard], target: int = TARGET, fanout: int = FANOUT, full: bool = False) -> list[list[Shard]]:
-    """The runs to merge: shards of one tier, in the order of names, up to the target each.
-
-    A run that stays below the target waits until ``fanout`` shards are in it, unless ``full``, which closes the books: all
+    A run that stays below three quarters of the target waits until ``fanout`` shards are in it, unless ``full``, which closes the books: all
     that is left below the target is merged, whatever its tier. No run of one shard is merged.
     """
-    tiers: dict[int, list[Shard]] = {}
-    for s in sorted(shards, key=lambda s: s.name):
-        if s.bytes < target * 3 // 4:
-            tiers.setdefault(0 if full else tier(s.bytes, target, fanout), []).append(s)
-    out = []
-    for _, own in sorted(tiers.items()):
-        run, size = [], 0
-        for s in own:
-            if run and size + s.bytes > target * 5 // 4:
-                out.append((run, True))
-                run, size = [], 0
-            run.append(s)
-            size += s.bytes
-            if size >= target:
-                out.append((run, True))
-                run, size = [], 0
-        out.append((run, full or len(run) >= fanout))
-    return [run for run, ready in out if ready and len(run) > 1]
-
-
-def merge(spark: SparkSession, root: str, runs: list[list[Shard]], name: str) -> list[Shard]:
-    """One task per run; returns the merged shards in the order of the runs."""
-    names = spark.sparkContext.broadcast([[s.name for s in run] for run in runs])
+    n = partitions(shards)
+    level = F.lit(0) if full else F.greatest(F.lit(0), F.ceil(F.log(float(fanout), F.greatest(F.lit(1.0), F.lit(float(target)) / F.greatest("bytes", F.lit(1)))) - 1e-9) - 1)
+    small = shards.where(F.col("bytes") < target * 3 // 4).withColumn("tier", level.cast("int"))
+    # A tier may hold any share of the shards: ranges of names are summed by themselves and begin where those before them end.
+    parts = checkpoint(small.repartitionByRange(n, "tier", "name").withColumn("part", F.spark_partition_id()))
+    before = Window.partitionBy("tier").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = parts.groupBy("tier", "part").agg(F.sum("bytes").alias("b")).withColumn("start", F.coalesce(F.sum("b").over(before), F.lit(0))).drop("b")
+    inside = Window.partitionBy("tier", "part").orderBy("name").rowsBetween(Window.unboundedPreceding, -1)
+    at = parts.withColumn("own", F.coalesce(F.sum("bytes").over(inside), F.lit(0))).join(starts, ["tier", "part"])
+    run = F.floor((F.col("start") + F.col("own") + F.col("bytes") / 2) / target).cast("long")
+    runs = at.withColumn("run", run).groupBy("tier", "run").agg(F.count("*").alias("n"), F.sum("bytes").alias("b"), F.array_sort(F.collect_list("name")).alias("names"))  # about a target's bytes of shards
+    ready = F.lit(True) if full else (F.col("n") >= fanout) | (F.col("b") >= target * 3 // 4)
+    return runs.where(ready & (F.col("n") > 1)).select("tier", "run", "names")
+
+
+def merge(runs: DataFrame, count: int, root: str, name: str) -> DataFrame:
+    """One task per run; returns the merged shards."""
 
     def work(batches):
         for x in batches:
-            for k in x.column("id").to_pylist():
-                out = _Writer(root, f"{name}-{k:07d}", None)
-                for n in names.value[k]:
+            for tier, run, names in zip(*(x.column(c).to_pylist() for c in ("tier", "run", "names"))):
+                out = _Writer(root, f"{name}-{tier:02d}-{run:09d}", None)
+                for n in names:
                     with out.fs.open_input_file(f"{out.base}/data/{n}") as f:
                         for batch in pq.ParquetFile(f).iter_batches(batch_size=2048):
                             out.write(batch)
                 yield _batch(out.close())
 
-    found = written(spark.range(0, len(runs), 1, len(runs)).mapInArrow(work, _SHARD), "merged")
-    return sorted((Shard(*r) for r in found.collect()), key=lambda s: s.name)
+    return written(runs.repartitionByRange(count, "tier", "run").mapInArrow(work, _SHARD), "merged")
 
 
 def versions(spark: SparkSession, root: str) -> list[int]:
@@ -166,90 +163,149 @@ def _hadoop(spark: SparkSession, uri: str):
     return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
 
 
-def read_manifest(spark: SparkSession, root: str, version: int | None = None) -> tuple[int, list[Shard]]:
-    """(version, shards), of the latest version by default; (0, []) where nothing was committed."""
+def read_manifest(spark: SparkSession, root: str, version: int | None = None) -> tuple[int, DataFrame]:
+    """(version, shards), of the latest version by default; version 0, without shards, where nothing was committed."""
     found = versions(spark, root)
     if not found:
-        return 0, []
+        return 0, spark.createDataFrame([], _SHARD)
     version = found[-1] if version is None else version
-    fs, base = _fs(root)
-    with fs.open_input_stream(f"{base}/manifest/v{version:010d}.json") as f:
-        return version, [Shard(**s) for s in json.loads(f.read())["shards"]]
+    at = json.loads(spark.read.text(f"{root}/manifest/v{version:010d}.json").first().value)["shards"]
+    return version, spark.read.schema(_SHARD).parquet(f"{root}/manifest/{at}")
 
 
-def commit(spark: SparkSession, root: str, shards: list[Shard], after: int) -> int:
+def commit(spark: SparkSession, root: str, shards: DataFrame, after: int) -> int:
     """Makes the shards version ``after`` + 1, or fails with FileExistsError if another writer did so first."""
-    fs, base = _fs(root)
-    fs.create_dir(f"{base}/manifest", recursive=True)
-    temporary = f".{uuid.uuid4().hex}"
-    with fs.open_output_stream(f"{base}/manifest/{temporary}") as f:
-        f.write(json.dumps({"version": after + 1, "shards": [asdict(s) for s in shards]}).encode())
+    at = f"shards-{uuid.uuid4().hex}"
+    shards.select("name", "rows", "bytes").write.parquet(f"{root}/manifest/{at}")
     jvm = spark._jvm
+    fs, temporary = _hadoop(spark, f"{root}/manifest/.{at}.json")
+    out = fs.create(temporary, True)
+    out.write(bytearray(json.dumps({"version": after + 1, "shards": at}), "utf-8"))
+    out.close()
     _, to = _hadoop(spark, f"{root}/manifest/v{after + 1:010d}.json")
     rename = jvm.org.apache.hadoop.fs.Options.Rename
     how = spark.sparkContext._gateway.new_array(rename, 1)
     how[0] = rename.NONE
     context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(to.toUri(), spark._jsc.hadoopConfiguration())
     try:
-        context.rename(jvm.org.apache.hadoop.fs.Path(f"{root}/manifest/{temporary}"), to, how)
+        context.rename(temporary, to, how)
     except Exception as e:
-        fs.delete_file(f"{base}/manifest/{temporary}")
-        if "FileAlreadyExists" in str(e) or "exist" in str(e):
+        fs.delete(temporary, False)
+        fs.delete(_hadoop(spark, f"{root}/manifest/{at}")[1], True)
+        if "exist" in str(e).lower():
             raise FileExistsError(f"version {after + 1} of {root} exists") from e
         raise
     return after + 1
 
 
+def _stored(spark: SparkSession, root: str, shards: DataFrame) -> StructType | None:
+    """The columns of the shards, from the footer of one."""
+    one = shards.limit(1).collect()
+    if not one:
+        return None
+    fs, base = _fs(root)
+    with fs.open_input_file(f"{base}/data/{one[0].name}") as f:
+        return from_arrow_schema(pq.ParquetFile(f).schema_arrow)
+
+
 def append(df: DataFrame, root: str, arrival_bytes: int = ARRIVAL) -> int:
-    """Adds the rows of ``df`` as a new version."""
+    """Adds the rows of ``df`` as a new version. Rows of other columns, or other types, than those there are an error."""
     spark = df.sparkSession
     version, shards = read_manifest(spark, root)
-    return commit(spark, root, shards + write_arrivals(df, root, f"{version + 1:06d}-a", arrival_bytes), version)
+    there = _stored(spark, root, shards)
+    if there is not None and [(f.name, f.dataType.simpleString()) for f in there] != [(f.name, f.dataType.simpleString()) for f in df.schema]:
+        raise ValueError(f"the shards of {root} have other columns: {there.simpleString()}")
+    return commit(spark, root, shards.unionByName(write_arrivals(df, root, f"{version + 1:06d}-a", arrival_bytes)), version)
 
 
 def compact(spark: SparkSession, root: str, target: int = TARGET, fanout: int = FANOUT, full: bool = False) -> int:
-    """Merges until no run is ready, a version for each round. Returns the last version. A round that merges adds up to fewer shards, so it ends."""
+    """Merges until no run is ready, a version for each round. Returns the last version. A round that merges leaves fewer shards, so it ends."""
     while True:
         version, shards = read_manifest(spark, root)
-        runs = plan(shards, target, fanout, full)
-        if not runs:
+        runs = checkpoint(plan(shards, target, fanout, full))
+        count = runs.count()
+        if not count:
             return version
-        gone = {s.name for run in runs for s in run}
-        commit(spark, root, [s for s in shards if s.name not in gone] + merge(spark, root, runs, f"{version + 1:06d}-m"), version)
+        gone = runs.select(F.explode("names").alias("name"))
+        commit(spark, root, shards.join(gone, "name", "left_anti").unionByName(merge(runs, count, root, f"{version + 1:06d}-m")), version)
 
 
 def vacuum(spark: SparkSession, root: str, keep: int = 2) -> int:
-    """Deletes data files that the last ``keep`` versions don't list; only for when no writer is at work. Returns how many."""
-    listed = {s.name for v in versions(spark, root)[-keep:] for s in read_manifest(spark, root, v)[1]}
-    fs, base = _fs(root)
-    gone = [i.path for i in fs.get_file_info(pyarrow.fs.FileSelector(f"{base}/data", allow_not_found=True)) if i.base_name not in listed]
-    for path in gone:
-        fs.delete_file(path)
-    return len(gone)
+    """Deletes the data files that earlier versions list and the last ``keep`` don't; only for when no writer is at work, and those versions can't be read any more. Returns how many."""
+    found = versions(spark, root)
+    old, new = (None if not vs else _union([read_manifest(spark, root, v)[1].select("name") for v in vs]) for vs in (found[:-keep], found[-keep:]))
+    if old is None:
+        return 0
+
+    def delete(batches):
+        fs, base = _fs(root)
+        for x in batches:
+            for name in x.column("name").to_pylist():
+                if fs.get_file_info(f"{base}/data/{name}").type != pyarrow.fs.FileType.NotFound:  # another attempt may have been here
+                    fs.delete_file(f"{base}/data/{name}")
+            yield pa.RecordBatch.from_pydict({"n": pa.array([x.num_rows], pa.int64())})
 
+    gone = checkpoint(old.distinct().join(new, "name", "left_anti"))
+    return gone.mapInArrow(delete, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
 
-def read(spark: SparkSession, root: str, version: int | None = None) -> DataFrame | None:
-    """The rows of a version; None where it has none."""
+
+def _union(dfs: list[DataFrame]) -> DataFrame:
+    out = dfs[0]
+    for d in dfs[1:]:
+        out = out.union(d)
+    return out
+
+
+def _scan(shards: DataFrame, root: str, columns: list[str] | None, schema: StructType, rows) -> DataFrame:
+    """``rows(batch, first row, shard)`` of each batch of each shard, read by tasks: the driver lists no files."""
+    arrow, n = to_arrow_schema(schema), max(1, min(shards.count(), 100_000))
+
+    def scan(batches):
+        fs, base = _fs(root)
+        for x in batches:
+            for shard in x.to_pylist():
+                at = 0
+                with fs.open_input_file(f"{base}/data/{shard['name']}") as f:
+                    for b in pq.ParquetFile(f).iter_batches(batch_size=2048, columns=columns):
+                        out = rows(b, at, shard)
+                        yield pa.RecordBatch.from_arrays([c.cast(t.type) for c, t in zip(out, arrow)], schema=arrow)
+                        at += b.num_rows
+
+    return shards.repartitionByRange(n, "name").mapInArrow(scan, schema)
+
+
+def read(spark: SparkSession, root: str, version: int | None = None, columns: list[str] | None = None) -> DataFrame | None:
+    """The rows of a version, with all columns or those named; None where it has none."""
     _, shards = read_manifest(spark, root, version)
-    return spark.read.parquet(*[f"{root}/data/{s.name}" for s in shards]) if shards else None
+    schema = _stored(spark, root, shards)
+    if schema is None:
+        return None
+    own = schema if columns is None else StructType([schema[c] for c in columns])
+    return _scan(shards, root, columns, own, lambda b, at, shard: b.columns if columns is None else [b.column(c) for c in columns])
 
 
 def assign(df: DataFrame, id_col: str = "doc_id", root: str | None = None, target: int = TARGET, arrival_bytes: int = ARRIVAL, fanout: int = FANOUT) -> DataFrame:
-    """(id, shard, place, shard_rows) for every row: appends ``df`` to a new set of shards under ``root``, compacts it and reports where each row lies.
+    """(id, shard, place, shard_rows) for every row: appends ``df`` to the shards under ``root``, compacts them and reports where each row lies.
 
-    ``shard`` is the position of the file in the manifest, ``place`` the row in it. Every row of ``df`` lies in exactly one shard with all its columns,
-    be they null, repeated, empty or long; null ids stay. Columns need different names. An empty table makes an empty manifest and gives no rows. A text
-    longer than the target makes a shard larger than it.
+    ``shard`` is the position of the file in the manifest by name, ``place`` the row in it. Every row of ``df`` lies in exactly one shard with all its columns,
+    be they null, repeated, empty or long; null ids stay, and ids may be of any type. Columns need different names. An empty table makes an empty manifest and gives no rows. A text
+    longer than the target makes a shard larger than it. Under a ``root`` that holds shards already, of the same columns, their rows are reported too, and earlier versions stay readable;
+    without one a new folder is made, in which only the last version is kept.
     """
-    spark = df.sparkSession
+    spark, own = df.sparkSession, root is None
     root = root or scratch(spark, "shards")
     append(df, root, arrival_bytes)
     compact(spark, root, target, fanout)
     compact(spark, root, target, fanout, full=True)
-    vacuum(spark, root, keep=1)
+    if own:
+        vacuum(spark, root, keep=1)
     _, shards = read_manifest(spark, root)
-    if not shards:
-        return spark.createDataFrame([], "id long, shard int, place long, shard_rows long")
-    known = spark.createDataFrame([(s.name, k, s.rows) for k, s in enumerate(shards)], "name string, shard int, shard_rows long")
-    rows = read(spark, root).select(F.col(id_col).cast("long").alias("id"), F.col("_metadata.file_name").alias("name"), F.col("_metadata.row_index").alias("place"))
-    return rows.join(F.broadcast(known), "name").select("id", "shard", "place", "shard_rows")  # a row per file of target size: far below the limit of a broadcast
+    schema = StructType().add("id", df.schema[id_col].dataType).add("shard", IntegerType()).add("place", LongType()).add("shard_rows", LongType())
+    if shards.isEmpty():
+        return spark.createDataFrame([], schema)
+
+    def where(b, at, shard):
+        n = b.num_rows
+        return [b.column(id_col), pa.array([shard["number"] - 1] * n, pa.int32()), pa.array(range(at, at + n), pa.int64()), pa.array([shard["rows"]] * n, pa.int64())]
+
+    return _scan(numbered(shards, [], ["name"]), root, [id_col], schema, where)
