@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .common import PACKED, batch, by_part, checkpoint, col, key_of, named, packed_batches, partitions, unpack, written
+from .common import PACKED, batch, by_part, checkpoint, col, key_of, named, packed_batches, parts_for, unpack, written
 from .components import connected_components
 from .simhash import _forest, group_sizes, spread_blocks
 
@@ -152,8 +152,9 @@ def group_near_vectors(df: DataFrame, id_col: str = "vec_id", vec_col: str = "em
     sound = rows.where(F.col("v").isNotNull() & finite if dim is None else F.col("v").isNotNull() & finite & (F.size("v") == dim)).withColumn("k", F.xxhash64(F.size("v"), "v"))
     known = written(sound.groupBy("k").agg(F.min("id").alias("rep"), F.first(F.size("v")).alias("d")), "caps")  # the classes
     sizes = known.groupBy("d").count().where("count > 1").orderBy("d").collect()  # one row a size
-    n, found = partitions(df), None
+    found = None
     for d, count in sizes:
+        n = parts_for(df, 12 * count * (20 + d // 2))  # about a dozen sketches a vector
         own = _verified(_candidates(sound.where(F.size("v") == d).select("k", "v"), Caps.of(count, d, cosine, recall, load), cosine, n), known, sound.where(F.size("v") == d), d, cosine, n)
         found = own if found is None else found.union(own)
     none = known.select(F.col("rep").alias("x"), F.col("rep").alias("y"), F.lit(0).cast("long").alias("links")).where("false")

@@ -16,6 +16,10 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import DataType, IntegralType, StructField, StructType
 
 
+PART_BYTES, MOST_PARTS = 128 << 20, 1 << 17
+_MADE: list[str] = []
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, from spark.checkpoint.dir. Where that is unset, a local one is made if Spark runs in one process; on a cluster it is an error."""
     given = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
@@ -39,8 +43,24 @@ def checkpoint(df: DataFrame) -> DataFrame:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new path in the shared folder, noted for ``release``."""
+    _MADE.append(path := f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}")
+    return path
+
+
+def made() -> int:
+    """How many scratch paths there are so far."""
+    return len(_MADE)
+
+
+def release(spark: SparkSession, since: int, keep: tuple[str, ...] = ()) -> None:
+    """Deletes the scratch tables made since there were so many, for when what was computed from them is written. Files of checkpoints are
+    Spark's to delete (spark.cleaner.referenceTracking.cleanCheckpoints)."""
+    for path in _MADE[since:]:
+        if path not in keep:
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    _MADE[since:] = [p for p in _MADE[since:] if p in keep]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -103,8 +123,19 @@ def packed_batches(part: np.ndarray, record: np.ndarray, n: int) -> Iterator[pa.
 
 
 def by_part(df: DataFrame, n: int) -> DataFrame:
-    """Brings the blobs of a part together. Hash partitioning, so that parts may outnumber partitions."""
-    return df.repartition(n, "part")
+    """Brings the blobs of a part together: part k is partition k, so that no two parts share one."""
+    return df.repartitionById(n, "part")
+
+
+def parts_for(df: DataFrame, size: int) -> int:
+    """Partitions for a shuffle of so many bytes: those the session sets, more if they would hold over ``PART_BYTES`` each. A task holds its partition in memory."""
+    return max(partitions(df), min(MOST_PARTS, -(-int(size) // PART_BYTES)))
+
+
+def planned_bytes(df: DataFrame) -> int:
+    """The size of ``df`` by Spark's statistics, for which nothing runs: that of the files of a scan; 0 where it isn't known."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return size if size < 1 << 54 else 0
 
 
 def unpack(batches, dtype: np.dtype) -> np.ndarray:

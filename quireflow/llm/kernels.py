@@ -2,8 +2,8 @@
 
 All of them work on the flat UTF-8 buffer of an Arrow string column, so a batch of documents
 costs a fixed number of numpy passes and no Python call per document or per word.
-Nulls count as empty texts. Work is cut into pieces of ``PIECE`` bytes at word boundaries, so
-memory doesn't follow the length of the longest text.
+Nulls count as empty texts. Work is cut between rows into pieces of about ``PIECE`` bytes; a longer text is a piece of its own, so a task needs some
+twenty times the bytes of its longest text, which Spark holds whole in any case.
 """
 
 from __future__ import annotations

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .common import PACKED, batch, by_part, checkpoint, col, id_text, key_of, named, packed_batches, partitions, unpack
+from .common import PACKED, batch, by_part, checkpoint, col, id_text, key_of, named, packed_batches, partitions, parts_for, unpack
 from .components import connected_components
 
 RADIUS, RUN_RADIUS, RUN, POWER = 9, 36, 3, 0.7
@@ -240,7 +240,8 @@ def _codes(docs: DataFrame) -> DataFrame:
 
 def _components(codes: DataFrame, radius: int, run_radius: int) -> tuple[DataFrame, DataFrame]:
     """((a, b, c, rep) of the distinct codes, rep being the least id; (id, root) of all ids that are linked with another)."""
-    n = partitions(codes)
+    _, shared = mask_pairs(radius)
+    n = parts_for(codes, codes.count() * len(shared) * CODE.itemsize)
     # A code grows into many records: spread over all partitions, lest a coalesced few do the work.
     known = codes.where("some").repartition(n, "a", "b", "c").groupBy("a", "b", "c").agg(F.min("id").alias("rep"))
 

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .common import PACKED, batch, by_part, id_text, packed_batches, partitions, unpack
+from .common import PACKED, batch, by_part, id_text, named, packed_batches, parts_for, planned_bytes, unpack
 
 DEPTH = 50
 QUERY, KNOWN, WITNESS = 0, 1, 2  # KNOWN passes through; WITNESS says "elsewhere too" and wants no answer
@@ -65,12 +65,13 @@ def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     occur at another place of this or any other text. A span is the union of repeated windows that overlap, as a half-open
     range of words; ``n_windows`` of them begin in it, ``n_first`` of which are the first of their group in the order of (id, place): what
     a removal that leaves one copy must keep. Texts without repeats, or with fewer than ``depth`` words, null and empty texts give no
-    rows; so does an empty table. Of rows that repeat an id each text is searched and its places count under that id. Rows with a
-    null id are left out. Equality is that of two 64-bit hashes. Whole texts are searched and every window counts.
+    rows; so does an empty table. Of rows that repeat an id each text is searched and its places count under that id. Ids may be of any type; of others than whole numbers the order is that
+    of their hashes. Rows with a null id are left out. Equality is that of two 64-bit hashes. Whole texts are searched and every window counts.
     """
     if depth < 4 or depth % 2:
         raise ValueError("depth must be an even number of words, 4 at least")
-    docs, n, half = id_text(df, id_col, text_col), partitions(df), depth // 2
+    docs, half = id_text(df, id_col, text_col), depth // 2
+    n = parts_for(df, 4 * planned_bytes(docs))  # windows of texts that repeat throughout
 
     def digits(batches):
         for x in batches:
@@ -186,4 +187,4 @@ def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield batch(schema, x["id"][at], pos[at], reach[last], np.add.reduceat(x["n"].astype(np.int64), at), np.add.reduceat(x["first"].astype(np.int64), at))
 
     sorted_windows = by_part(left.mapInArrow(windows, PACKED), n).mapInArrow(groups, PACKED)
-    return by_part(sorted_windows, n).mapInArrow(spans, "id long, start_token long, end_token long, n_windows long, n_first long")
+    return named(by_part(sorted_windows, n).mapInArrow(spans, "id long, start_token long, end_token long, n_windows long, n_first long"), df, id_col, "id")
