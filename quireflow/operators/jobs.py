@@ -238,7 +238,7 @@ class CloudTextConfig(JobConfig):
     quota_pause_s: float = 60.0
     quota_factor: float = 1.5
     quota_most_s: float = 900.0
-    artifact_suffix: str = "-gv"
+    artifact_suffix: str = "-cloud"
 
 
 def register_pages(name: str, config: type, kind: str, model: Callable[[Any], Callable[[], Callable[[pd.DataFrame], pd.DataFrame]]] | None = None, **defaults) -> None:

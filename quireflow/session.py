@@ -13,10 +13,14 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 _SHIPPED: set[str] = set()
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def ship(spark: SparkSession) -> SparkSession:
-    """Sends this package's code to the Python workers, once per application, so that they need no PYTHONPATH."""
+    """Sends this package's code to the Python workers, once per application, so that they need no PYTHONPATH. Where the application doesn't set them, the batches that go to
+    Python are bounded in bytes, too: 10,000 texts may be long."""
+    if not spark.sparkContext.getConf().contains(BATCH_BYTES):
+        spark.conf.set(BATCH_BYTES, str(16 << 20))
     app = spark.sparkContext.applicationId
     if app not in _SHIPPED:
         root = Path(__file__).parent
