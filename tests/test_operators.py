@@ -228,7 +228,7 @@ def test_snapshots(spark):
 
 
 def test_sources_and_sinks(spark, tmp_path):
-    (tmp_path / "list.txt").write_text("W22084,I0886\nW22084 I0887\n\n# comment\nalone\nW12345,I0123,ocr_benchmark,202603\n")
+    (tmp_path / "list.txt").write_text("W22084,I0886\nW22084 I0887\n\n# comment\nalone\nW12345,I0123,benchmark,202603\n")
     done = spark.createDataFrame([("W22084", "I0886")], "w_id string, i_id string")
     assert [r.i_id for r in lists.read_volume_list(spark, f"file://{tmp_path}/list.txt", done, 1).collect()] == ["I0887"]
     bad = spark.createDataFrame([("w", "i", "elsewhere", None)], "w_id string, i_id string, source string, i_version string")
