@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .common import PACKED, batch, by_part, checkpoint, col, key_of, named, packed_batches, parts_for, unpack, written
+from .common import PACKED, batch, by_part, checkpoint, col, key_of, named, packed_batches, parts_for, tidy, unpack, written
 from .components import connected_components
 from .simhash import _forest, group_sizes, spread_blocks
 
@@ -174,6 +174,7 @@ def _candidates(vectors: DataFrame, caps: Caps, cosine: float, n: int) -> DataFr
     dim, wide = caps.dim, (caps.dim + 1) // 2
     record = np.dtype([("first", "<u4"), ("k", "<i8"), ("seconds", "<u2", (SLOTS,)), ("s", "u1", (wide,))])
 
+    @tidy
     def send(batches):
         sent: set[int] = set()
         for x in batches:
@@ -200,6 +201,7 @@ def _candidates(vectors: DataFrame, caps: Caps, cosine: float, n: int) -> DataFr
                 out["seconds"][np.searchsorted(head, np.arange(len(who)), "right") - 1, place % SLOTS] = second
                 yield from packed_batches((K.mix(out["first"].astype(np.uint64)) % np.uint64(n)).astype(np.int64), out, n)
 
+    @tidy
     def meet(batches):
         schema = pa.schema([("x", pa.int64()), ("y", pa.int64())])
         x = unpack(batches, record)
@@ -236,6 +238,7 @@ def _verified(candidates: DataFrame, known: DataFrame, sound: DataFrame, dim: in
     vectors = sound.join(members.select("k", F.col("rep").alias("id"), "root", "blocks"), ["k", "id"]).groupBy("k", "id", "root", "blocks").agg(F.min("v").alias("v"))  # one row a class
     record = np.dtype([("key", "<u8"), ("side", "u1"), ("rep", "<i8"), ("v", "<f4", (dim,))])
 
+    @tidy
     def send(batches):
         for x in batches:
             root, rep, k, blocks = (x.column(c).to_numpy() for c in ("root", "id", "k", "blocks"))
@@ -246,6 +249,7 @@ def _verified(candidates: DataFrame, known: DataFrame, sound: DataFrame, dim: in
                 out["key"], out["side"], out["rep"], out["v"] = key, side, rep[s + row], v[s + row]
                 yield from packed_batches((key % np.uint64(n)).astype(np.int64), out, n)
 
+    @tidy
     def compare(batches):
         schema = pa.schema([("x", pa.int64()), ("y", pa.int64()), ("links", pa.int64())])
         x = unpack(batches, record)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
+import gc
 import os
 import re
 import tempfile
@@ -99,6 +102,23 @@ def partitions(df: DataFrame) -> int:
     return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
+def tidy(f: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A task's function that gives memory back to the system at its end: Python workers wait for more work with what they have."""
+
+    @functools.wraps(f)
+    def run(batches):
+        try:
+            yield from f(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc's
+            if trim:
+                trim(0)
+
+    return run
+
+
 def batch(schema: pa.Schema, *columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, type=f.type) if not isinstance(c, (pa.Array, pa.ChunkedArray)) else c for c, f in zip(columns, schema)], schema=schema)
 
@@ -168,6 +188,7 @@ def filter_rows(df: DataFrame, column: str, kept: Callable[[pa.Array], np.ndarra
     plain = df.toDF(*[f"c{k}" for k in range(len(df.columns))])
     plain = plain.withColumn(f"c{len(df.columns)}", F.col(f"c{own}").cast("string"))  # the text to judge by; not put out
 
+    @tidy
     def run(batches):
         for x in batches:
             mask = pa.array(kept(x.column(x.num_columns - 1)))

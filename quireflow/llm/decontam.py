@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .common import batch, filter_rows, id_text, named
+from .common import batch, filter_rows, id_text, named, tidy
 
 RATE, RECALL, BITS, PART_WORDS, SEED = 0.2, 0.97, 2, 2_000_000, 17
 _OUT = pa.schema([(k, pa.int64()) for k in ("id", "item_id", "start_token", "n_tokens", "edits")])
@@ -252,6 +252,7 @@ def contaminated(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
         packed = ids.tobytes(), np.concatenate(words).tobytes(), np.cumsum([0] + [len(w) for w in words]).astype(np.int64).tobytes()
         sent = df.sparkSession.sparkContext.broadcast(packed)
 
+        @tidy
         def search(batches, sent=sent):
             index = _index(*sent.value, rate, bits, tables)
             for x in batches:

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType
 
 from . import kernels as K
-from .common import batch, col, filter_rows, id_text, key_of, row_schemas, text_of
+from .common import batch, col, filter_rows, id_text, key_of, row_schemas, text_of, tidy
 from .linear import Rows, minimise, sigmoid
 
 BITS = 14
@@ -162,6 +162,7 @@ def score(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "
     docs = text_of(df, id_col, text_col)
     schema, arrow = row_schemas(docs, [("expected_grade", DoubleType()), ("p_tail", DoubleType()), ("keep", BooleanType())])
 
+    @tidy
     def scored(batches):
         for x in batches:
             for i, j, row, bucket, value in features(x.column("text")):

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .common import PACKED, batch, by_part, checkpoint, col, id_text, key_of, named, packed_batches, partitions, parts_for, unpack
+from .common import PACKED, batch, by_part, checkpoint, col, id_text, key_of, named, packed_batches, partitions, parts_for, tidy, unpack
 from .components import connected_components
 
 RADIUS, RUN_RADIUS, RUN, POWER = 9, 36, 3, 0.7
@@ -229,6 +229,7 @@ def group_sizes(members: DataFrame, block: int = BLOCK) -> DataFrame:
 def _codes(docs: DataFrame) -> DataFrame:
     """(id, a, b, c, some) of the texts of ``docs``, kept in the shared folder."""
 
+    @tidy
     def code(batches):
         schema = pa.schema([("id", pa.int64()), *((k, pa.int64()) for k in "abc"), ("some", pa.bool_())])
         for x in batches:
@@ -245,6 +246,7 @@ def _components(codes: DataFrame, radius: int, run_radius: int) -> tuple[DataFra
     # A code grows into many records: spread over all partitions, lest a coalesced few do the work.
     known = codes.where("some").repartition(n, "a", "b", "c").groupBy("a", "b", "c").agg(F.min("id").alias("rep"))
 
+    @tidy
     def send(batches):
         masks, shared = mask_pairs(radius)
         for x in batches:
@@ -257,6 +259,7 @@ def _components(codes: DataFrame, radius: int, run_radius: int) -> tuple[DataFra
                 part = (K.mix((record["a"] & shared[group.astype(np.int64)]) ^ K.mix(group + K.GOLD)) % np.uint64(n)).astype(np.int64)
                 yield from packed_batches(part, record, n)
 
+    @tidy
     def meet(batches):
         schema = pa.schema([(k, pa.int64()) for k in ("a", "b", "c", "a2", "b2", "c2")])
         code = unpack(batches, CODE)
@@ -285,6 +288,7 @@ def _link_counts(known: DataFrame, groups: DataFrame, radius: int, run_radius: i
     n = partitions(known)
     members = group_sizes(known.join(groups, known["rep"] == groups["id"]).select("root", "a", "b", "c"))
 
+    @tidy
     def send(batches):
         for x in batches:
             root, blocks = x.column("root").to_numpy(), x.column("blocks").to_numpy().astype(np.int64)
@@ -296,6 +300,7 @@ def _link_counts(known: DataFrame, groups: DataFrame, radius: int, run_radius: i
                 record["a"], record["b"], record["c"] = a[s + row], b[s + row], c[s + row]
                 yield from packed_batches((key % np.uint64(n)).astype(np.int64), record, n)
 
+    @tidy
     def count(batches):
         schema = pa.schema([*((k, pa.int64()) for k in "abc"), ("links", pa.int64())])
         x = unpack(batches, _MEMBER)

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .common import PACKED, batch, by_part, id_text, named, packed_batches, parts_for, planned_bytes, unpack
+from .common import PACKED, batch, by_part, id_text, named, packed_batches, parts_for, planned_bytes, tidy, unpack
 
 DEPTH = 50
 QUERY, KNOWN, WITNESS = 0, 1, 2  # KNOWN passes through; WITNESS says "elsewhere too" and wants no answer
@@ -73,6 +73,7 @@ def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     docs, half = id_text(df, id_col, text_col), depth // 2
     n = parts_for(df, 4 * planned_bytes(docs))  # windows of texts that repeat throughout
 
+    @tidy
     def digits(batches):
         for x in batches:
             ids = x.column("id").to_numpy()
@@ -100,6 +101,7 @@ def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 route = np.where(record["kind"] == KNOWN, K.mix(record["id"].astype(np.uint64)), record["value"])
                 yield from packed_batches((route % np.uint64(n)).astype(np.int64), record, n)
 
+    @tidy
     def repeated_digits(batches):
         schema = pa.schema([("id", pa.int64()), ("v", pa.int64())])
         x = unpack(batches, _DIGIT)
@@ -117,6 +119,7 @@ def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     # The small side is hashed; the texts are shuffled once and not sorted.
     left = docs.join(wanted.hint("shuffle_hash"), "id").select("id", "text", "vs")
 
+    @tidy
     def windows(batches):
         for x in batches:
             ids = x.column("id").to_numpy()
@@ -153,6 +156,7 @@ def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 route = np.where(record["kind"] == KNOWN, K.mix(record["id"].astype(np.uint64)), record["d1"] >> np.uint64(32))
                 yield from packed_batches((route % np.uint64(n)).astype(np.int64), record, n)
 
+    @tidy
     def groups(batches):
         x = unpack(batches, _WINDOW)
         known, x = x[x["kind"] == KNOWN], x[x["kind"] != KNOWN]
@@ -173,6 +177,7 @@ def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         if len(out):
             yield from packed_batches((K.mix(out["id"].astype(np.uint64)) % np.uint64(n)).astype(np.int64), out, n)
 
+    @tidy
     def spans(batches):
         schema = pa.schema([(k, pa.int64()) for k in ("id", "start_token", "end_token", "n_windows", "n_first")])
         x = unpack(batches, _SPAN)

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType
 
 from . import kernels as K
-from .common import batch, id_text, key_of, row_schemas, text_of, written
+from .common import batch, id_text, key_of, row_schemas, text_of, tidy, written
 from .linear import Rows, minimise, sigmoid
 
 BITS = 20
@@ -224,6 +224,7 @@ def score(df: DataFrame, chain: Chain, id_col: str = "doc_id", text_col: str = "
     docs = text_of(df, id_col, text_col)
     schema, arrow = row_schemas(docs, [*((f"p_{c}", DoubleType()) for c in chain.categories), ("toxic", BooleanType()), ("keep", BooleanType())])
 
+    @tidy
     def scored(batches):
         for x in batches:
             for i, j, row, bucket in buckets(x.column("text")):
