@@ -77,3 +77,52 @@ def test_the_number_of_buckets_changes_nothing(spark, monkeypatch):
     want = sorted(M.mix(df, budget=1500).collect())
     monkeypatch.setattr(M, "BUCKET", 1)
     assert sorted(M.mix(df, budget=1500).collect()) == want
+
+
+def plain_mix(rows, weights, budget, alpha=M.ALPHA, epochs=M.EPOCHS, seed=M.SEED):
+    """The mix in plain Python: hashes by another library, documents laid end to end in dictionaries and lists; only the flow is the operator's own, which has a brute-force test."""
+    import xxhash
+
+    chain = lambda values, start=42: values and chain(values[1:], xxhash.xxh64(values[0], seed=start).intdigest()) or start
+    signed = lambda v: v - (1 << 64) if v >> 63 else v
+    long = lambda v: signed(v).to_bytes(8, "little", signed=True)
+    docs = {}
+    for i, text, source in rows:
+        if i is not None and text is not None and text.split():
+            own = docs.setdefault(text, [i, len(text.split()), set()])
+            own[0] = min(own[0], i)
+            own[2].add(source or "")
+    capacity = {}
+    for _, n, sources in docs.values():
+        p = tuple(sorted(sources))
+        capacity[p] = capacity.get(p, 0) + n
+    flow, _ = M.route(capacity, M.quotas(capacity, weights, budget, alpha), epochs)
+    out = {}
+    for p, own in flow.items():
+        order = []
+        for text, (i, n, sources) in docs.items():
+            if tuple(sorted(sources)) == p:
+                h1, h2 = chain([text.encode()]), chain([seed.to_bytes(4, "little"), text.encode()])
+                order.append((chain([seed.to_bytes(4, "little"), long(h2), long(h1)]), i, n))
+        at, total = 0, capacity[p]
+        for _, i, n in sorted(order):
+            for turn in range(epochs):
+                end = 0
+                for s, tokens in sorted(own.items()):
+                    end += tokens
+                    if at + turn * total < end:
+                        copies, n_tokens = out.get((i, s), (0, 0))
+                        out[i, s] = (copies + 1, n)
+                        break
+            at += n
+    return sorted((i, s, c, n) for (i, s), (c, n) in out.items())
+
+
+def test_mix_equals_brute_force(spark):
+    rng = np.random.default_rng(9)
+    rows = [(i, f"t{i} " * int(rng.integers(1, 30)), "abc"[i % 3] if i % 11 else None) for i in range(300)]
+    rows += [(1000 + i, rows[i][1], "c") for i in range(0, 300, 5)] + [(None, "x y", "a"), (2000, " ", "a"), (2001, None, "b"), (5, rows[5][1], "a")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for weights, budget in ((None, None), ({"a": 0.1, "b": 0.7, "c": 0.2}, 9_000), ({"a": 1.0}, 500), ({"z": 1.0}, 10)):
+        got = sorted(map(tuple, M.mix(df, weights, budget).select("id", "source", "copies", "n_tokens").collect()))
+        assert got == plain_mix(rows, weights, budget) and (got or weights == {"z": 1.0})
