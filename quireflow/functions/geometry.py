@@ -250,39 +250,45 @@ def least_rectangle(points: list[tuple[float, float]]) -> tuple[float, float, fl
     return best[1:]
 
 
-def contour_slices(points: np.ndarray, width: int = 40) -> tuple[np.ndarray, np.ndarray]:
+def contour_slices(points, width: int = 40) -> tuple[np.ndarray, np.ndarray]:
     """((x, y) of the middles, heights) of five upright slices of a filled contour: at the left, ending at a quarter, from the middle, from three quarters, at the right.
 
     The contour's edges belong to it. A slice without width or content counts as the whole height of the contour."""
-    (x, y), (x2, y2) = points.min(axis=0), points.max(axis=0)
-    w, h = int(x2 - x + 1), int(y2 - y + 1)
-    top, low = _filled(points - [x, y], w)
+    pts = [(int(p[0]), int(p[1])) for p in points]
+    x, y = min(p[0] for p in pts), min(p[1] for p in pts)
+    w, h = max(p[0] for p in pts) - x + 1, max(p[1] for p in pts) - y + 1
+    own = [(a - x, b - y) for a, b in pts]
+    edges = [(*p, *q) for p, q in zip(own, own[1:] + own[:1])]
     half, quarter = w // 2, w // 4
-    starts = [0, quarter - width, half, half + quarter, w - width]
     middles, heights = [], []
-    for a in starts:
+    for a in (0, quarter - width, half, half + quarter, w - width):
         a, b = (min(max(v, 0), w) for v in (a, a + width))
-        some = np.flatnonzero(low[a:b] >= top[a:b]) if b > a else []
-        if not len(some):
+        rows = _rows_between(edges, a, b) if b > a else []
+        if not rows:
             middles.append((x + a + ((b - a) // 2 if b > a else width // 2), y + h // 2))
             heights.append(h)
             continue
-        first, last = int(top[a:b][some].min()), int(low[a:b][some].max())
-        middles.append((x + a + (b - a) // 2, y + (first + last) // 2))
-        heights.append(last - first + 1)
+        middles.append((x + a + (b - a) // 2, y + (min(rows) + max(rows)) // 2))
+        heights.append(max(rows) - min(rows) + 1)
     return np.array(middles), np.array(heights)
 
 
-def _filled(points: np.ndarray, w: int) -> tuple[np.ndarray, np.ndarray]:
-    """(highest, lowest row) of a filled polygon in each column; the lowest is above the highest where there is nothing."""
-    top, low = np.full(w, np.iinfo(np.int64).max), np.full(w, -1, np.int64)
-    for (xa, ya), (xb, yb) in zip(points, np.roll(points, -1, axis=0)):
-        steps = int(max(abs(xb - xa), abs(yb - ya), 1))
-        k = np.arange(steps + 1)
-        xs, ys = (np.rint(a + (b - a) * k / steps).astype(np.int64) for a, b in ((xa, xb), (ya, yb)))
-        np.minimum.at(top, xs, ys)
-        np.maximum.at(low, xs, ys)
-    return top, low
+def _rows_between(edges: list[tuple[int, int, int, int]], a: int, b: int) -> list[int]:
+    """Rows of the drawn edges in the columns from a to b, b not included, with the highest and the lowest among them. An edge takes a step for each column, or row if it is steeper."""
+    rows: list[int] = []
+    for xa, ya, xb, yb in edges:
+        dx, dy = xb - xa, yb - ya
+        left, right = max(min(xa, xb), a), min(max(xa, xb), b - 1)
+        if left > right:
+            continue
+        if not dx:
+            rows += (ya, yb)
+        elif abs(dx) >= abs(dy):  # rows rise or fall with the columns: the ends tell
+            rows += [round(ya + dy * abs(v - xa) / abs(dx)) for v in (left, right)]
+        else:
+            steps = abs(dy)
+            rows += [ya + (k if dy > 0 else -k) for k in range(steps + 1) if left <= round(xa + dx * k / steps) <= right]
+    return rows
 
 
 def control_points(contours: list[np.ndarray], width: int, height: int, slice_width: int = 40, corners: bool = True) -> list[tuple[float, float, float, float]] | None:
