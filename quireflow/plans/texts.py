@@ -204,8 +204,7 @@ _TOK = rf"list_filter(string_split_regex(translate(page_text, ',.', '{_TSHEG}{_S
 
 @query("t06_t07_repetition_score", f"WITH t AS (SELECT page_id, {_TOK} AS w FROM page_output), g AS (SELECT page_id, len(w) AS n, CASE WHEN len(w) < 20 THEN [] ELSE list_transform(range(1, len(w) - 18), lambda i: array_to_string(w[i : i + 19], chr(31))) END AS runs FROM t) SELECT page_id, n, CASE WHEN n < 20 THEN 0.0 ELSE round(1 - len(list_distinct(runs)) / len(runs), 6) END AS score FROM g")
 def repetition(e) -> DataFrame:
-    toks = T.tokens(F.translate("page_text", ",.", _TSHEG + _SHAD))
-    return e.page_output.select("page_id", toks.alias("w")).select("page_id", F.size("w").cast("long").alias("n"), F.round(T.repetition_score(F.col("w")), 6).alias("score"))
+    return e.page_output.select("page_id", T.repetition(F.translate("page_text", ",.", _TSHEG + _SHAD)).alias("r")).select("page_id", "r.n", F.round("r.score", 6).alias("score"))
 
 
 @query("t08_edit_distance", "WITH t AS (SELECT item_id, regexp_replace(text, '[^ -~]', '', 'g') AS text FROM benchmark) SELECT a.item_id, levenshtein(a.text, b.text) AS d FROM t a JOIN t b ON b.item_id = a.item_id + 1")

@@ -54,6 +54,21 @@ def test_text(spark):
         texts(spark, T.uri_parts, "http://a/b")
 
 
+def test_repetition(spark):
+    rng = np.random.default_rng(4)
+    given = [" ".join(rng.choice(list("abc"), k)) for k in (0, 1, 19, 20, 21, 60, 500)] + ["ab " * 300, None]
+    want = []
+    for t in given:
+        w = (t or "").split()
+        runs = [tuple(w[k : k + 20]) for k in range(len(w) - 19)]
+        want.append((len(w), 1 - len(set(runs)) / len(runs) if runs else 0.0))
+    assert [tuple(x) for x in texts(spark, lambda c: T.repetition(c), *given)] == want
+    assert texts(spark, lambda c: T.repetition_score(T.tokens(c)), *given[:-1]) == [s for _, s in want[:-1]]
+    for n in (1, 2, 3, 7, 20):
+        w = list(rng.choice(list("ab"), 200))
+        assert T.distinct_runs(w, n) == len({tuple(w[k : k + n]) for k in range(len(w) - n + 1)})
+
+
 def test_canonical_text(spark):
     # Each rule on its own: what is given, what it becomes.
     spelled = {"F73": "F71 F72", "F81": "F71 F80", "F77": "FB2 F71 F80", "F48": "F47 FB7", "FAC": "FAB FB7", "F00": "F68 F7C F7E", "F46 F39": "F5A", "F6A": "F6A"}
