@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import functools
 import math
+import weakref
 
 import numpy as np
 import pandas as pd
@@ -116,30 +118,101 @@ def repeat_fires(ids: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=_FIRES.names).astype({"first_pos": "Int32", "last_pos": "Int32"})
 
 
+class _Prefix:
+    """A prefix as its last symbol after a shorter one, so that it costs the same whatever its length; ``jump`` leads far back, by which an ancestor is found in few steps."""
+
+    __slots__ = ("parent", "symbol", "depth", "jump", "__weakref__")
+
+    def __init__(self, parent: _Prefix | None, symbol: int):
+        self.parent, self.symbol, self.depth, self.jump = parent, symbol, 0, self
+        if parent is not None:
+            far = parent.jump
+            self.depth, self.jump = parent.depth + 1, far.jump if parent.depth - far.depth == far.depth - far.jump.depth and parent.depth else parent
+
+    def back_to(self, depth: int) -> _Prefix:
+        at = self
+        while at.depth > depth:
+            at = at.jump if at.jump.depth >= depth else at.parent
+        return at
+
+    def path(self) -> list[int]:
+        out, at = [], self
+        while at.parent is not None:
+            out.append(at.symbol)
+            at = at.parent
+        return out[::-1]
+
+
+def _order(a: _Prefix, b: _Prefix) -> int:
+    """Below 0 if the symbols of a come before those of b, 0 if they are one."""
+    if a is b:
+        return 0
+    depth = min(a.depth, b.depth)
+    x, y = a.back_to(depth), b.back_to(depth)
+    if x is y:
+        return a.depth - b.depth
+    while x.parent is not y.parent:
+        x, y = (x.jump, y.jump) if x.jump is not y.jump else (x.parent, y.parent)
+    return x.symbol - y.symbol
+
+
 def beam_search(logp: np.ndarray, width: int = 64, least: float = -3.0, blank: int = 0) -> tuple[list[int], float]:
-    """Prefix beam search over steps x symbols of log probabilities; symbols below ``least`` (but the best of a step) are left out."""
-    beams = {(): (0.0, -math.inf)}
-    add = lambda a, b: max(a, b) + math.log1p(math.exp(-abs(a - b))) if min(a, b) > -math.inf else max(a, b)
-    for row in logp:
-        new: dict[tuple, tuple[float, float]] = {}
-        for symbol in np.flatnonzero((row >= least) | (row == row.max())).tolist():
-            p = float(row[symbol])
+    """Prefix beam search over steps x symbols of log probabilities; symbols below ``least`` (but the best of a step) are left out.
+
+    A step costs the same wherever it is. Prefixes that nothing leads to are left out, too: they add nothing to any other and stand behind all that something leads to."""
+    root, none = _Prefix(None, blank), (-math.inf, -math.inf)
+    longer: weakref.WeakValueDictionary = weakref.WeakValueDictionary()  # one object a prefix, as long as something needs it
+    beams = {root: (0.0, -math.inf)}
+
+    def add(a, b):
+        least, most = (a, b) if a < b else (b, a)
+        return most + math.log1p(math.exp(least - most)) if least > -math.inf else most
+
+    logp = np.asarray(logp)
+    if not len(logp):
+        return [], 0.0
+    kept = (logp >= least) | (logp == logp.max(axis=1, keepdims=True))
+    ends = np.cumsum(kept.sum(axis=1)).tolist()
+    symbols, scores = np.nonzero(kept)[1].tolist(), logp[kept].tolist()
+    for start, end in zip([0, *ends], ends):
+        new: dict[_Prefix, tuple[float, float]] = {}
+        for k in range(start, end):
+            symbol, p = symbols[k], scores[k]
             for prefix, (b, nb) in beams.items():
                 if symbol == blank:
-                    old = new.get(prefix, (-math.inf, -math.inf))
+                    old = new.get(prefix, none)
                     new[prefix] = (add(old[0], add(b, nb) + p), old[1])
                     continue
-                longer = (*prefix, symbol)
-                old = new.get(longer, (-math.inf, -math.inf))
-                if prefix and prefix[-1] == symbol:
-                    new[longer] = (old[0], add(old[1], b + p))
-                    same = new.get(prefix, (-math.inf, -math.inf))
+                again = prefix.symbol == symbol and prefix is not root
+                more = (b if again else add(b, nb)) + p
+                if more > -math.inf:
+                    child = longer.get((id(prefix), symbol))
+                    if child is None:
+                        child = longer[id(prefix), symbol] = _Prefix(prefix, symbol)
+                    old = new.get(child, none)
+                    new[child] = (old[0], add(old[1], more))
+                if again and nb + p > -math.inf:
+                    same = new.get(prefix, none)
                     new[prefix] = (same[0], add(same[1], nb + p))
-                else:
-                    new[longer] = (old[0], add(old[1], add(b, nb) + p))
-        beams = dict(sorted(new.items(), key=lambda kv: (-add(*kv[1]), kv[0]))[:width])
-    best = max(beams.items(), key=lambda kv: (add(*kv[1]), kv[0]))
-    return list(best[0]), add(*best[1])
+        beams = new if len(new) <= width else {x: new[x] for x, _ in _ranked([(x, add(*v)) for x, v in new.items()])[:width]}
+    totals = [(x, add(*v)) for x, v in beams.items()]
+    top = max(v for _, v in totals)
+    best = max((x for x, v in totals if v == top), key=functools.cmp_to_key(_order))
+    return best.path(), top
+
+
+def _ranked(found: list[tuple[_Prefix, float]]) -> list[tuple[_Prefix, float]]:
+    """By falling score; equals in the order of their symbols."""
+    found.sort(key=lambda f: -f[1])
+    k = 0
+    while k < len(found):
+        end = k + 1
+        while end < len(found) and found[end][1] == found[k][1]:
+            end += 1
+        if end - k > 1:
+            found[k:end] = sorted(found[k:end], key=functools.cmp_to_key(lambda f, g: _order(f[0], g[0])))
+        k = end
+    return found
 
 
 def hybrid_decode(logits: np.ndarray, gate: float = -0.5, width: int = 64, blank: int = 0) -> tuple[list[int], str]:

@@ -4,6 +4,7 @@ import dataclasses
 import itertools
 import json
 import math
+import time
 from types import SimpleNamespace
 
 import numpy as np
@@ -110,6 +111,47 @@ def test_sequences(spark):
         assert got[:2] == (len(hit), max((L for _, L in hit), default=0)) and math.isclose(got[3], sum(pen), rel_tol=1e-9) and got[4:] == ((hit[0][0], hit[-1][0]) if hit else (None, None))
 
 
+def plain_beam(logp, width, least, blank=0):
+    """The beam search over whole tuples, with all that score nothing."""
+    add, beams = lambda a, b: max(a, b) + math.log1p(math.exp(-abs(a - b))) if min(a, b) > -math.inf else max(a, b), {(): (0.0, -math.inf)}
+    for row in logp:
+        new = {}
+
+        def give(prefix, b, nb):
+            old = new.get(prefix, (-math.inf, -math.inf))
+            new[prefix] = (add(old[0], b), add(old[1], nb))
+
+        for symbol in np.flatnonzero((row >= least) | (row == row.max())).tolist():
+            p = float(row[symbol])
+            for prefix, (b, nb) in beams.items():
+                if symbol == blank:
+                    give(prefix, add(b, nb) + p, -math.inf)
+                elif prefix and prefix[-1] == symbol:
+                    give((*prefix, symbol), -math.inf, b + p)
+                    give(prefix, -math.inf, nb + p)
+                else:
+                    give((*prefix, symbol), -math.inf, add(b, nb) + p)
+        beams = dict(sorted(new.items(), key=lambda kv: (-add(*kv[1]), kv[0]))[:width])
+    best = max(beams.items(), key=lambda kv: (add(*kv[1]), kv[0]))
+    return list(best[0]), add(*best[1])
+
+
+def test_beam_search_grows_with_its_steps():
+    rng = np.random.default_rng(5)
+    for k in range(60):  # every other table has scores of few values, so that many prefixes are even
+        x = rng.integers(-3, 0, (40, 4)).astype(float) if k % 2 else np.log(rng.dirichlet(np.ones(5), 40))
+        width, least = int(rng.integers(1, 9)), float(rng.choice([-1.0, -2.0, -3.0]))
+        assert N.beam_search(x, width, least) == plain_beam(x, width, least)
+    assert N.beam_search(np.zeros((0, 3))) == ([], 0.0)
+    best = rng.integers(0, 6, 30_000)
+    x = np.full((len(best), 64), -4.2)
+    x[np.arange(len(best)), best] = -3.5
+    began = time.process_time()
+    path, _ = N.beam_search(x)
+    assert path == [int(s) for k, s in enumerate(best) if s and (not k or best[k - 1] != s)]
+    assert time.process_time() - began < 10  # each step copied 64 prefixes
+
+
 def test_hybrid_decode_equals_brute_force(spark):
     rng, likely, rows, want = np.random.default_rng(2), [0, 17, 18, 19], [], {}
     for line in range(12):  # steps from 1,000 on, the likely symbols beyond the 16th, great scores, every other line sure of its symbols
