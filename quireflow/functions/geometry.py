@@ -254,41 +254,63 @@ def contour_slices(points, width: int = 40) -> tuple[np.ndarray, np.ndarray]:
     """((x, y) of the middles, heights) of five upright slices of a filled contour: at the left, ending at a quarter, from the middle, from three quarters, at the right.
 
     The contour's edges belong to it. A slice without width or content counts as the whole height of the contour."""
-    pts = [(int(p[0]), int(p[1])) for p in points]
-    x, y = min(p[0] for p in pts), min(p[1] for p in pts)
-    w, h = max(p[0] for p in pts) - x + 1, max(p[1] for p in pts) - y + 1
-    own = [(a - x, b - y) for a, b in pts]
-    edges = [(*p, *q) for p, q in zip(own, own[1:] + own[:1])]
+    pts = np.array([(int(p[0]), int(p[1])) for p in points], np.int64)
+    cx, cy, heights = slices_of(pts[:, 0], pts[:, 1], np.array([0, len(pts)]), width)
+    return np.column_stack([cx[0], cy[0]]), heights[0]
+
+
+def slices_of(x: np.ndarray, y: np.ndarray, at: np.ndarray, width: int = 40) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(x of the middles, y of the middles, heights) of the five slices of each of many contours: contour k has the whole points from at[k] to at[k + 1], one at least."""
+    first, size = at[:-1], np.diff(at)
+    left, top = np.minimum.reduceat(x, first), np.minimum.reduceat(y, first)
+    w, h = np.maximum.reduceat(x, first) - left + 1, np.maximum.reduceat(y, first) - top + 1
+    xa, ya = x - np.repeat(left, size), y - np.repeat(top, size)
+    after = np.arange(1, len(x) + 1)
+    after[at[1:] - 1] = first
+    xb, yb = xa[after], ya[after]
     half, quarter = w // 2, w // 4
-    middles, heights = [], []
-    for a in (0, quarter - width, half, half + quarter, w - width):
-        a, b = (min(max(v, 0), w) for v in (a, a + width))
-        rows = _rows_between(edges, a, b) if b > a else []
-        if not rows:
-            middles.append((x + a + ((b - a) // 2 if b > a else width // 2), y + h // 2))
-            heights.append(h)
-            continue
-        middles.append((x + a + (b - a) // 2, y + (min(rows) + max(rows)) // 2))
-        heights.append(max(rows) - min(rows) + 1)
-    return np.array(middles), np.array(heights)
-
-
-def _rows_between(edges: list[tuple[int, int, int, int]], a: int, b: int) -> list[int]:
-    """Rows of the drawn edges in the columns from a to b, b not included, with the highest and the lowest among them. An edge takes a step for each column, or row if it is steeper."""
-    rows: list[int] = []
-    for xa, ya, xb, yb in edges:
-        dx, dy = xb - xa, yb - ya
-        left, right = max(min(xa, xb), a), min(max(xa, xb), b - 1)
-        if left > right:
-            continue
-        if not dx:
-            rows += (ya, yb)
-        elif abs(dx) >= abs(dy):  # rows rise or fall with the columns: the ends tell
-            rows += [round(ya + dy * abs(v - xa) / abs(dx)) for v in (left, right)]
-        else:
-            steps = abs(dy)
-            rows += [ya + (k if dy > 0 else -k) for k in range(steps + 1) if left <= round(xa + dx * k / steps) <= right]
-    return rows
+    out = np.empty((3, len(first), 5), np.int64)
+    for k, start in enumerate((np.zeros_like(w), quarter - width, half, half + quarter, w - width)):
+        a, b = np.clip(start, 0, w), np.clip(start + width, 0, w)
+        upper, lower = _rows_between(xa, ya, xb, yb, np.repeat(a, size), np.repeat(b, size))
+        upper, lower = np.minimum.reduceat(upper, first), np.maximum.reduceat(lower, first)
+        some = lower >= upper
+        out[0, :, k] = left + a + np.where(b > a, (b - a) // 2, width // 2)
+        out[1, :, k] = top + np.where(some, (upper + lower) // 2, h // 2)
+        out[2, :, k] = np.where(some, lower - upper + 1, h)
+    return out[0], out[1], out[2]
+
+
+_FAR = 1 << 62
+
+
+def _rows_between(xa, ya, xb, yb, a, b) -> tuple[np.ndarray, np.ndarray]:
+    """The highest and the lowest row of each edge as it is drawn in the columns from a to b, b not included; (far, -far) where there are none. An edge takes a step for each
+    column, or row if it is steeper."""
+    dx, dy = xb - xa, yb - ya
+    wide, tall = np.abs(dx), np.abs(dy)
+    left, right = np.maximum(np.minimum(xa, xb), a), np.minimum(np.maximum(xa, xb), b - 1)
+    flat = wide >= tall  # rows rise or fall with the columns: the ends tell
+    rows = [np.where(wide > 0, np.rint(ya + dy * np.abs(v - xa) / np.maximum(wide, 1)).astype(np.int64), end) for v, end in ((left, ya), (right, yb))]
+    upper, lower, none = np.minimum(*rows), np.maximum(*rows), left > right
+    if (steep := np.flatnonzero(~none & ~flat & (wide > 0))).size:
+        x0, y0, run, steps, lo, hi, down = (v[steep] for v in (xa, ya, dx, tall, left, right, np.sign(dy)))
+        near, far = np.where(run > 0, lo, hi), np.where(run > 0, hi, lo)
+        sign = np.sign(run)
+        column = lambda k: sign * np.rint(x0 + run * k / steps).astype(np.int64)  # noqa: E731  # never falls with k
+        k1 = _first(column, sign * near, np.abs(near - x0), np.abs(run), steps)
+        k2 = _first(column, sign * far + 1, np.abs(far - x0) + 1, np.abs(run), steps) - 1
+        ends = [y0 + down * k for k in (k1, k2)]
+        upper[steep], lower[steep], none[steep] = np.minimum(*ends), np.maximum(*ends), k1 > k2
+    return np.where(none, _FAR, upper), np.where(none, -_FAR, lower)
+
+
+def _first(column, wanted, across, run, steps) -> np.ndarray:
+    """The first step, up to one beyond the last, at which the column is reached: near where half a column less is crossed."""
+    k = np.clip((2 * across - 1) * steps // (2 * run) - 1, 0, steps + 1)
+    while (early := (k <= steps) & (column(k) < wanted)).any():
+        k += early
+    return k
 
 
 def control_points(contours: list[np.ndarray], width: int, height: int, slice_width: int = 40, corners: bool = True) -> list[tuple[float, float, float, float]] | None:
@@ -298,18 +320,37 @@ def control_points(contours: list[np.ndarray], width: int, height: int, slice_wi
     for straight ones) gives the points; the corners of the page stay in place."""
     if not contours:
         return None
-    found = [contour_slices(np.asarray(c), slice_width) for c in contours]
-    spread = [float(np.ptp(m[:, 1])) if np.ptp(m[:, 1]) > s.mean() else 0.0 for m, s in found]
-    mean = float(np.mean(spread))
-    near = [(abs(mean - d), k) for k, d in enumerate(spread) if d > 0 and abs(mean - d) < max(spread)]
-    if not near:
+    pts = [np.asarray(c) for c in contours]
+    at = np.cumsum([0, *map(len, pts)])
+    x, y = np.concatenate(pts).T.astype(np.int64)
+    _, places, rows = control_rows(x, y, at, np.array([0, len(pts)]), slice_width)
+    if not len(places):
         return None
-    middles = found[min(near)[1]][0]
-    level = round(float(middles[:, 1].mean()))
-    rows = [(float(cy), float(cx), float(level), float(cx)) for cx, cy in middles]
-    if corners:
-        rows += [(y, x, y, x) for y in (0.0, height - 1.0) for x in (0.0, width - 1.0)]
-    return rows
+    out = [tuple(r) for r in rows.tolist()]
+    return out + ([(cy, cx, cy, cx) for cy in (0.0, height - 1.0) for cx in (0.0, width - 1.0)] if corners else [])
+
+
+def bent_lines(cy: np.ndarray, heights: np.ndarray) -> np.ndarray:
+    """How far the middles of the slices of each contour spread, 0 where that is no more than the slices are high on average."""
+    spread = np.ptp(cy, axis=1)
+    return np.where(spread * heights.shape[1] > heights.sum(axis=1), spread, 0).astype(float)
+
+
+def control_rows(x: np.ndarray, y: np.ndarray, at: np.ndarray, pages: np.ndarray, slice_width: int = 40) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(page, place, (in_y, in_x, out_y, out_x)) of the points, but for the corners, that straighten each of many pages with a bent line: page k has the contours from
+    pages[k] to pages[k + 1], one at least, which have the points from at[k] to at[k + 1]."""
+    cx, cy, heights = slices_of(x, y, at, slice_width)
+    spread, first, size = bent_lines(cy, heights), pages[:-1], np.diff(pages)
+    mean, most = np.add.reduceat(spread, first) / size, np.maximum.reduceat(spread, first)  # whole numbers: their sum is exact
+    gap = np.abs(np.repeat(mean, size) - spread)
+    gap[(spread == 0) | (gap >= np.repeat(most, size))] = np.inf
+    least = np.minimum.reduceat(gap, first)
+    equal = np.flatnonzero((gap == np.repeat(least, size)) & np.isfinite(gap))
+    page, place = np.unique(np.repeat(np.arange(len(size)), size)[equal], return_index=True)
+    best = equal[place]
+    level = np.repeat(np.rint(cy[best].mean(axis=1)), 5)
+    rows = np.column_stack([cy[best].ravel(), cx[best].ravel(), level, cx[best].ravel()]).astype(float)
+    return np.repeat(page, 5), np.tile(np.arange(5), len(page)), rows
 
 
 def anchored_lines(ys: Column, threshold: float | Column) -> Column:

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructType
 
 from ..functions import geometry as G
 from ..functions import text as T
-from ..operators.pages import per_page
+from ..operators.pages import many_pages, many_rows, per_page
 from .registry import query
 
 WIDTH, HEIGHT = 800, 1000
@@ -211,13 +212,12 @@ def nearest_mean(e) -> DataFrame:
     return g.select("page_id", G.nearest_to_mean(F.col("ds.d")).alias("idx"))
 
 
-def _contours(rows) -> list[np.ndarray]:
-    """A contour per box: level at first, then falling by a part of its height, so that some lines are bent."""
-    out = []
-    for idx, x, y, w, h in rows:
-        fall = min(h * (idx % 3), w)
-        out.append(np.array([(x, y), (x + w, y + fall), (x + w, y + fall + h // 4), (x, y + h // 4)]))
-    return out
+def _contours(idx, x, y, w, h) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The corners (x, y) of a contour per box, and where each begins: level at first, then falling by a part of its height, so that some lines are bent."""
+    idx, x, y, w, h = (c.astype(np.int64) for c in (idx, x, y, w, h))
+    fall = np.minimum(h * (idx % 3), w)
+    xs, ys = np.column_stack([x, x + w, x + w, x]), np.column_stack([y, y + fall, y + fall + h // 4, y + h // 4])
+    return xs.ravel(), ys.ravel(), np.arange(0, 4 * len(x) + 1, 4)
 
 
 # The slices of such a contour begin at these parts of its width w + 1 (both edges count); its middle falls with its left edge. A slice of 10 columns from a on holds the rows
@@ -233,15 +233,12 @@ _SLICES = f"""q AS (SELECT page_id, idx, x, y, w, h, {_FALL} AS fall, n, CASE n
 def curved(e) -> DataFrame:
     """Whether a line is bent, and how far the middles of its five slices spread."""
 
-    def bent(page, rows):
-        out = []
-        for (idx, *_), c in zip(rows, _contours(rows)):
-            middles, heights = G.contour_slices(c, 10)
-            spread = float(np.ptp(middles[:, 1]))
-            out.append((page, idx, bool(spread > heights.mean()), spread if spread > heights.mean() else 0.0))
-        return out
+    def bent(page, idx, *box):
+        _, cy, heights = G.slices_of(*_contours(*(c.to_numpy() for c in (idx, *box))), 10)
+        spread = G.bent_lines(cy, heights)
+        return page, idx, pa.array(spread > 0), pa.array(spread)
 
-    return per_page(e.boxes, "page_id", ["idx", "x", "y", "w", "h"], bent, StructType().add("page_id", LongType()).add("idx", IntegerType()).add("curved", "boolean").add("spread", "double"))
+    return many_rows(e.boxes.select("page_id", "idx", "x", "y", "w", "h"), bent, StructType().add("page_id", LongType()).add("idx", IntegerType()).add("curved", "boolean").add("spread", "double"))
 
 
 @query("g20_g21_control_points", f"""WITH {_SLICES}, pts AS (SELECT page_id, n AS place, CAST(cy AS DOUBLE) AS in_y, CAST(cx AS DOUBLE) AS in_x, CAST(level AS DOUBLE) AS out_y, CAST(cx AS DOUBLE) AS out_x FROM best JOIN sl USING (page_id, idx) JOIN ln USING (page_id, idx)
@@ -249,16 +246,17 @@ def curved(e) -> DataFrame:
 def control_points(e) -> DataFrame:
     """The points that straighten each page that has a bent line, serialized and read again."""
 
-    def points(page, rows):
-        found = G.control_points(_contours(rows), WIDTH, HEIGHT, 10)
-        return [(page, k, *p) for k, p in enumerate(found or [])]
+    corners = np.array([(y, x, y, x) for y in (0.0, HEIGHT - 1.0) for x in (0.0, WIDTH - 1.0)])
+
+    def points(keys, at, box):
+        pages, _, rows = G.control_rows(*_contours(*box), at, 10)
+        rows = np.concatenate([rows.reshape(-1, 5, 4), np.broadcast_to(corners, (len(rows) // 5, 4, 4))], axis=1).reshape(-1, 4)
+        ends = pa.array(np.arange(0, len(rows) + 1, 9, dtype=np.int32))
+        side = lambda k: pa.ListArray.from_arrays(ends, pa.StructArray.from_arrays([pa.array(rows[:, k]), pa.array(rows[:, k + 1])], ["y", "x"]))
+        return keys.take(pa.array(pages[::5])), side(0), side(2)
 
-    kinds = StructType().add("page_id", LongType()).add("place", IntegerType())
-    for c in ("in_y", "in_x", "out_y", "out_x"):
-        kinds = kinds.add(c, "double")
-    flat = per_page(e.boxes, "page_id", ["idx", "x", "y", "w", "h"], points, kinds)
-    side = lambda y, x: F.transform(F.array_sort(F.collect_list(F.struct("place", F.col(y).alias("y"), F.col(x).alias("x")))), lambda p: F.struct(p["y"].alias("y"), p["x"].alias("x")))
-    stored = flat.groupBy("page_id").agg(side("in_y", "in_x").alias("given"), side("out_y", "out_x").alias("wanted")).select("page_id", G.serialized_points(F.col("given"), F.col("wanted")).alias("rows"))
+    found = many_pages(e.boxes, "page_id", ["idx", "x", "y", "w", "h"], points, "page_id long, given array<struct<y:double,x:double>>, wanted array<struct<y:double,x:double>>")
+    stored = found.select("page_id", G.serialized_points(F.col("given"), F.col("wanted")).alias("rows"))
     again = stored.select("page_id", G.read_points(F.col("rows")).alias("p")).select("page_id", F.posexplode(F.arrays_zip(F.col("p.given").alias("g"), F.col("p.wanted").alias("o"))).alias("place", "z"))
     return again.select("page_id", "place", *[F.col(f"z.{s}.{c}").cast("double").alias(f"{n}_{c}") for s, n in (("g", "in"), ("o", "out")) for c in ("y", "x")])
 

@@ -111,6 +111,36 @@ def test_sequences(spark):
         assert got[:2] == (len(hit), max((L for _, L in hit), default=0)) and math.isclose(got[3], sum(pen), rel_tol=1e-9) and got[4:] == ((hit[0][0], hit[-1][0]) if hit else (None, None))
 
 
+def plain_slices(points, width):
+    """The slices of a contour whose edges are drawn point by point."""
+    x, y = points.min(axis=0)
+    w, h = points.max(axis=0) - (x, y) + 1
+    drawn, out = [], []
+    for (xa, ya), (xb, yb) in zip(points - (x, y), np.roll(points, -1, axis=0) - (x, y)):
+        steps = max(abs(xb - xa), abs(yb - ya))
+        drawn += [(round(xa + (xb - xa) * k / steps), round(ya + (yb - ya) * k / steps)) for k in range(steps + 1)] if steps else [(xa, ya)]
+    for a in (0, w // 4 - width, w // 2, w // 2 + w // 4, w - width):
+        a, b = min(max(a, 0), w), min(max(a + width, 0), w)
+        rows = [r for c, r in drawn if a <= c < b]
+        out.append((x + a + ((b - a) // 2 if b > a else width // 2), y + ((min(rows) + max(rows)) // 2 if rows else h // 2), max(rows) - min(rows) + 1 if rows else h))
+    return out
+
+
+def test_slices_of_many_contours_equal_drawn_ones():
+    rng = np.random.default_rng(6)
+    for width in (1, 7, 40):
+        given = [np.column_stack([rng.integers(-9, rng.choice([4, 90, 400]), n), rng.integers(-9, rng.choice([4, 90, 400]), n)]) for n in rng.integers(1, 7, 300)]
+        x, y = np.concatenate(given).T
+        got = np.stack(G.slices_of(x, y, np.cumsum([0, *map(len, given)]), width), axis=2)
+        assert got.tolist() == [[list(map(int, r)) for r in plain_slices(c, width)] for c in given]
+    bent = np.array([(0, 0), (200, 100), (200, 120), (0, 20)])
+    x, y = np.tile(bent, (20_000, 1)).T
+    began = time.process_time()
+    page, place, rows = G.control_rows(x, y, np.arange(0, len(x) + 1, 4), np.arange(0, 20_001, 5), 10)
+    assert time.process_time() - began < 1  # a loop over edges takes far longer
+    assert page.tolist() == np.repeat(np.arange(4000), 5).tolist() and [tuple(r) for r in rows[:5]] == G.control_points([bent] * 5, 800, 1000, 10, corners=False)
+
+
 def plain_beam(logp, width, least, blank=0):
     """The beam search over whole tuples, with all that score nothing."""
     add, beams = lambda a, b: max(a, b) + math.log1p(math.exp(-abs(a - b))) if min(a, b) > -math.inf else max(a, b), {(): (0.0, -math.inf)}
