@@ -8,8 +8,11 @@ import weakref
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from . import bound
@@ -112,10 +115,69 @@ def repeat_telemetry(ids, allowed: int = 12, multiplier: float = 0.8, base: floa
     return fires, top, worst, total, first, last
 
 
-@F.pandas_udf(_FIRES)
-def repeat_fires(ids: pd.Series) -> pd.DataFrame:
-    rows = [repeat_telemetry(x if x is not None else []) for x in ids]
-    return pd.DataFrame(rows, columns=_FIRES.names).astype({"first_pos": "Int32", "last_pos": "Int32"})
+def longest_returns(ids: np.ndarray, at: np.ndarray, least: int, window: int, most: int) -> np.ndarray:
+    """For each place of many rows (row k from at[k] to at[k + 1]): the length of the longest run that ends there and also ends earlier in the row, within the ``window`` that ends
+    there and ``most`` + 1 at most; 0 if it is below ``least``.
+
+    Places are grouped by the ``least`` symbols that end there, which are then told apart by one symbol more in turn: a run goes on where the nearest earlier place of its group is
+    near enough. Only places that still share their run with another go on, so a row is paid for by what it repeats."""
+    out = np.zeros(len(ids), np.int64)
+    inside = np.arange(len(ids)) - np.repeat(at[:-1], np.diff(at))
+    place = np.flatnonzero(inside >= least - 1)
+    if not len(place):
+        return out
+    _, own = np.unique(ids, return_inverse=True)
+    # Runs of k symbols by a number of their own; of 2k from two of k, so that equal numbers are equal runs.
+    number, length = own.astype(np.int64), 1
+    while length < least:
+        step = min(length, least - length)
+        pair = np.where(inside >= step, np.r_[np.zeros(step, np.int64), number[:-step]], 0) * (int(number.max()) + 1) + number
+        number, length = np.unique(pair, return_inverse=True)[1].astype(np.int64), length + step
+    group = number[place]
+    for n in range(least, min(most + 1, window - 1) + 1):
+        order = np.argsort(group, kind="stable")  # places of a group stay in their order
+        p, g = place[order], group[order]
+        linked = (g[1:] == g[:-1]) & (p[1:] - p[:-1] <= inside[p[1:]] - (n - 1)) & (p[1:] - p[:-1] <= window - n)
+        out[p[1:][linked]] = n
+        some = np.r_[linked, False] | np.r_[False, linked]
+        some &= inside[p] >= n
+        place, group = p[some], g[some]
+        if len(place) < 2:
+            break
+        group = np.unique(group, return_inverse=True)[1] * (int(own.max()) + 1) + own[place - n]
+        back = np.argsort(place, kind="stable")
+        place, group = place[back], group[back]
+    return out
+
+
+def repeat_fires_of(ids: np.ndarray, at: np.ndarray, allowed: int = 12, multiplier: float = 0.8, base: float = 1.75, window: int = 512, most: int = 50) -> dict[str, np.ndarray]:
+    """``repeat_telemetry`` of many rows at once, row k from at[k] to at[k + 1]; the positions are 0 where nothing fires. ``allowed`` is 1 at least."""
+    n = len(at) - 1
+    best = longest_returns(ids, at, allowed, window, most)
+    hit = np.flatnonzero(best)
+    row = np.searchsorted(at, hit, side="right") - 1
+    penalty = np.array([multiplier * base ** max(k, 0) for k in range(most + 2 - allowed)])[best[hit] - allowed]
+    out = {"fires": np.bincount(row, minlength=n), "max_length": np.zeros(n, np.int64), "max_penalty": np.zeros(n), "sum_penalty": np.bincount(row, penalty, n), "first_pos": np.zeros(n, np.int64), "last_pos": np.zeros(n, np.int64)}
+    np.maximum.at(out["max_length"], row, best[hit])
+    np.maximum.at(out["max_penalty"], row, penalty)
+    out["last_pos"][row] = hit - at[row] + 1  # the last of a row stays
+    out["first_pos"][row[::-1]] = hit[::-1] - at[row[::-1]] + 1
+    return out
+
+
+@F.arrow_udf(_FIRES)
+def repeat_fires(ids: pa.Array) -> pa.Array:
+    size = pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    flat = ids.flatten().to_numpy(zero_copy_only=False)
+    at = np.r_[0, np.cumsum(size)]
+    parts, k = [], 0
+    while k < len(size):  # rows of so many symbols at a time, one at least: the memory doesn't follow the batch
+        end = max(k + 1, int(np.searchsorted(at, at[k] + (1 << 18), side="right")) - 1)
+        parts.append(repeat_fires_of(flat[at[k] : at[end]], at[k : end + 1] - at[k]))
+        k = end
+    found = {f.name: np.concatenate([p[f.name] for p in parts] or [np.zeros(0)]) for f in _FIRES}
+    none = found["fires"] == 0
+    return pa.StructArray.from_arrays([pa.array(found[f.name], type=to_arrow_type(f.dataType), mask=none if f.name.endswith("_pos") else None) for f in _FIRES], _FIRES.names)
 
 
 class _Prefix:

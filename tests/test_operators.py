@@ -141,6 +141,23 @@ def test_slices_of_many_contours_equal_drawn_ones():
     assert page.tolist() == np.repeat(np.arange(4000), 5).tolist() and [tuple(r) for r in rows[:5]] == G.control_points([bent] * 5, 800, 1000, 10, corners=False)
 
 
+def test_repeat_fires_of_many_rows_equal_those_of_each(spark):
+    rng = np.random.default_rng(8)
+    again = rng.integers(0, 12, 900)
+    again[500:560], again[700:713], again[880:900] = again[20:80], again[300:313], again[100:120]  # one in the window, one of 13, one beyond the window
+    rows = [[], [1], [1] * 12, [1] * 700, np.tile(rng.integers(0, 9, 37), 20).tolist(), again.tolist(), rng.integers(0, 2, 800).tolist(), rng.integers(0, 12, 500).tolist()]
+    flat, at = np.concatenate([np.array(r, np.int64) for r in rows]), np.cumsum([0, *map(len, rows)])
+    for allowed, window, most in ((12, 512, 50), (3, 40, 20), (1, 30, 60)):
+        got = N.repeat_fires_of(flat, at, allowed, 0.8, 1.75, window, most)
+        assert [tuple(got[c][k] for c in got) for k in range(len(rows))] == [tuple(x or 0 for x in N.repeat_telemetry(r, allowed, 0.8, 1.75, window, most)) for r in rows]
+    frame = spark.createDataFrame([(k, r) for k, r in enumerate([*rows, None])], "k int, ids array<int>")
+    got = {r.k: tuple(r.f) for r in frame.select("k", N.repeat_fires("ids").alias("f")).collect()}
+    assert got == {k: N.repeat_telemetry(r or []) for k, r in enumerate([*rows, None])}
+    began = time.process_time()
+    assert not N.repeat_fires_of(rng.integers(0, 50, 400_000), np.arange(0, 400_001, 400))["fires"].any()
+    assert time.process_time() - began < 2  # a comparison with the whole window at each step takes longer
+
+
 def plain_beam(logp, width, least, blank=0):
     """The beam search over whole tuples, with all that score nothing."""
     add, beams = lambda a, b: max(a, b) + math.log1p(math.exp(-abs(a - b))) if min(a, b) > -math.inf else max(a, b), {(): (0.0, -math.inf)}
