@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import itertools
 import os
+import re
+from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -167,11 +172,65 @@ def read_telemetry(spark: SparkSession, folder: str) -> DataFrame:
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
         return spark.createDataFrame([], "id string, record string")
-    raw = spark.read.option("wholetext", True).option("pathGlobFilter", "*.json").text(folder).select("value", F.regexp_extract("_metadata.file_name", r"^(.*)\.json$", 1).alias("name"))
+    raw = read_small_files(spark, folder, ".json").select("value", F.expr("left(name, length(name) - 5)").alias("name"))
     sound = raw.where(F.try_parse_json("value").isNotNull())
     return sound.select(F.coalesce(F.nullif(F.get_json_object("value", "$.id"), F.lit("")), "name").alias("id"), F.col("value").alias("record"))
 
 
+def read_small_files(spark: SparkSession, folder: str, ending: str) -> DataFrame:
+    """(name, value) of the files of a folder, hidden ones left out, with their whole text. One task lists their names and all read; Spark's own source makes a task of some thirty
+    files, and its driver holds an object for each."""
+
+    def names(batches):
+        for _ in batches:
+            own = (n for n in _listed(folder) if n.endswith(ending) and n[0] not in "._")
+            while part := list(itertools.islice(own, 10_000)):
+                yield pa.RecordBatch.from_pydict({"name": pa.array(part, pa.string())})
+
+    def texts(batches):
+        with ThreadPoolExecutor(4) as pool:
+            for b in batches:
+                for k in range(0, b.num_rows, 1000):
+                    part = b.column(0).slice(k, 1000)
+                    yield pa.RecordBatch.from_arrays([part, pa.array(pool.map(_reader(folder), part.to_pylist()), pa.string())], ["name", "value"])
+
+    return spark.range(0, 1, 1, 1).mapInArrow(names, "name string").repartition("name").mapInArrow(texts, "name string, value string")
+
+
+def _opened(folder: str):
+    """(file system, folder there); the file system is None for a local one."""
+    local = re.sub(r"^file:/+", "/", folder)
+    if not re.match(r"\w+:/", local):
+        return None, local
+    from pyarrow import fs as pfs
+
+    return pfs.FileSystem.from_uri(re.sub(r"^s3[an]:", "s3:", folder))
+
+
+def _listed(folder: str) -> Iterator[str]:
+    fs, root = _opened(folder)
+    if fs is None:
+        with os.scandir(root) as found:
+            yield from (x.name for x in found if x.is_file())
+    else:
+        from pyarrow import fs as pfs
+
+        yield from (x.base_name for x in fs.get_file_info(pfs.FileSelector(root)) if x.is_file)
+
+
+def _reader(folder: str) -> Callable[[str], str]:
+    fs, root = _opened(folder)
+
+    def read(name: str) -> str:
+        if fs is None:
+            with open(f"{root}/{name}", "rb") as f:
+                return f.read().decode(errors="replace")
+        with fs.open_input_stream(f"{root}/{name}") as f:
+            return f.read().decode(errors="replace")
+
+    return read
+
+
 def read_rows(spark: SparkSession, path: str) -> DataFrame:
     """Rows of an artifact for debugging: JSON lines, gzipped or not, or Parquet, by the name of the file."""
     return spark.read.json(path) if path.endswith((".jsonl", ".jsonl.gz", ".json", ".json.gz")) else spark.read.parquet(path)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import itertools
 import json
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Observation
@@ -142,8 +143,14 @@ def write_texts(df: DataFrame, folder: str) -> None:
 
         fs, root = pfs.FileSystem.from_uri(folder) if ":/" in folder else (pfs.LocalFileSystem(), folder)
         fs.create_dir(root, recursive=True)
+        local = isinstance(fs, pfs.LocalFileSystem)
         for b in batches:
             for name, text in zip(b.column("name").to_pylist(), b.column("text").to_pylist()):
+                if local:  # two calls a file, without the library's objects
+                    with open(f"{root}/.{name}.writing", "wb") as f:
+                        f.write(text.encode())
+                    os.replace(f.name, f"{root}/{name}.json")
+                    continue
                 with fs.open_output_stream(f"{root}/.{name}.writing") as f:
                     f.write(text.encode())
                 fs.move(f"{root}/.{name}.writing", f"{root}/{name}.json")

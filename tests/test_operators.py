@@ -158,6 +158,18 @@ def test_repeat_fires_of_many_rows_equal_those_of_each(spark):
     assert time.process_time() - began < 2  # a comparison with the whole window at each step takes longer
 
 
+def test_telemetry_of_many_files_takes_few_tasks(spark, tmp_path):
+    texts = {f"n{k}.json": json.dumps({"fires": k}) for k in range(300)} | {"a b%20ü.json": '{"id": "é"}', "x.json": '{"id": ""}', "cut.json": "{", "empty.json": "", ".y.json": "{}", "_z.json": "{}", "w.txt": "{}"}
+    for name, text in texts.items():
+        (tmp_path / name).write_text(text)
+    (tmp_path / "folder.json").mkdir()
+    for folder in (f"file://{tmp_path}", str(tmp_path)):
+        found = lists.read_telemetry(spark, folder)
+        want = {(f"n{k}", texts[f"n{k}.json"]) for k in range(300)} | {("é", texts["a b%20ü.json"]), ("x", texts["x.json"])}
+        assert sorted(map(tuple, found.collect())) == sorted(want)
+        assert found.rdd.getNumPartitions() <= 4  # the shuffle's, however many files there are
+
+
 def plain_beam(logp, width, least, blank=0):
     """The beam search over whole tuples, with all that score nothing."""
     add, beams = lambda a, b: max(a, b) + math.log1p(math.exp(-abs(a - b))) if min(a, b) > -math.inf else max(a, b), {(): (0.0, -math.inf)}
