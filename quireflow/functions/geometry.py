@@ -234,6 +234,43 @@ def hull(points: list[tuple[float, float]]) -> list[tuple[float, float]]:
     return chain(pts)[:-1] + chain(pts[::-1])[:-1]
 
 
+def lines_of_boxes(at: np.ndarray, idx, x, y, w, h) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(page, line, place of the box) of the boxes of many pages, page k from at[k] to at[k + 1], in the order of lines: as ``anchored_lines`` by the middles, with half the median
+    height as the threshold; of boxes with one middle the last counts."""
+    size = np.diff(at)
+    page = np.repeat(np.arange(len(size)), size)
+    high = h[np.lexsort((h, page))].astype(np.int64)
+    limit = 0.5 * ((high[at[:-1] + (size - 1) // 2] + high[at[:-1] + size // 2]) / 2)
+    cx, cy = x + w / 2.0, y + h / 2.0
+    order = np.lexsort((h, w, y, x, idx, cx, cy, page))
+    p, u, v = page[order], cx[order], cy[order]
+    last = np.r_[(p[1:] != p[:-1]) | (u[1:] != u[:-1]) | (v[1:] != v[:-1]), True]
+    order, p, v = order[last], p[last], v[last]
+    n = np.bincount(p, minlength=len(size))
+    first = np.cumsum(n) - n
+    line, open_ = np.zeros(len(p), np.int64), np.argsort(-n, kind="stable")
+    anchor, now, left = v[first], np.zeros(len(n), np.int64), np.sort(n)
+    for k in range(1, int(n.max())):  # the k-th box of all pages that have one
+        own = open_[: len(left) - int(np.searchsorted(left, k, side="right"))]
+        below = v[first[own] + k]
+        new = below - anchor[own] > limit[own]
+        anchor[own], now[own] = np.where(new, below, anchor[own]), now[own] + new
+        line[first[own] + k] = now[own]
+    return p, line, order
+
+
+def merged_hulls(page: np.ndarray, line: np.ndarray, x, y, w, h) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(page, line, corners, area) of the convex hull around the boxes of each line; rows of a line lie together. A box alone is its own hull."""
+    start = np.flatnonzero(np.r_[True, (page[1:] != page[:-1]) | (line[1:] != line[:-1])])
+    end = np.r_[start[1:], len(page)]
+    corners, area = np.full(len(start), 4, np.int64), (w[start] * h[start]).astype(float)
+    for k in np.flatnonzero((end - start > 1) | (w[start] <= 0) | (h[start] <= 0)).tolist():
+        i, j = start[k], end[k]
+        ring = hull([q for a, b, c, d in zip(*(v[i:j].tolist() for v in (x, y, w, h))) for q in ((a, b), (a, b + d), (a + c, b), (a + c, b + d))])
+        corners[k], area[k] = len(ring), sum(a * d - c * b for (a, b), (c, d) in zip(ring, ring[1:] + ring[:1])) / 2
+    return page[start], line[start], corners, area
+
+
 def least_rectangle(points: list[tuple[float, float]]) -> tuple[float, float, float]:
     """(angle in [0, 90), width, height) of the smallest rectangle around a contour; one of its sides lies on the hull."""
     pts = np.array(hull([tuple(p) for p in points]), float)

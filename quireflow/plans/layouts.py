@@ -152,19 +152,14 @@ def anchored(e) -> DataFrame:
     SELECT page_id, line, CAST(count(*) AS INTEGER) AS n, sum(ax * by_ - bx * ay) / 2.0 AS area FROM edge GROUP BY page_id, line""")
 def hulls(e) -> DataFrame:
     """Corners and area of the convex hull around the boxes of each line."""
-    rows = lines_of(e).select("page_id", "line", F.col("b.x").alias("x"), F.col("b.y").alias("y"), F.col("b.w").alias("w"), F.col("b.h").alias("h"))
-
-    def merge(page, rows):
-        lines: dict[int, list] = {}
-        for line, x, y, w, h in rows:
-            lines.setdefault(line, []).extend((a, b) for a in (x, x + w) for b in (y, y + h))
-        out = []
-        for line, points in lines.items():
-            ring = G.hull(points)
-            out.append((page, line, len(ring), sum(a * d - c * b for (a, b), (c, d) in zip(ring, ring[1:] + ring[:1])) / 2))
-        return out
-
-    return per_page(rows, "page_id", ["line", "x", "y", "w", "h"], merge, StructType().add("page_id", LongType()).add("line", IntegerType()).add("n", IntegerType()).add("area", "double"))
+
+    def merge(keys, at, columns):
+        idx, *box = (c.astype(np.int64) for c in columns)
+        page, line, own = G.lines_of_boxes(at, idx, *box)
+        page, line, corners, area = G.merged_hulls(page, line, *(c[own] for c in box))
+        return keys.take(pa.array(page)), pa.array(line), pa.array(corners), pa.array(area)
+
+    return many_pages(e.boxes, "page_id", ["idx", "x", "y", "w", "h"], merge, "page_id long, line int, n int, area double")
 
 
 @query("g15_contour_bounds", "SELECT page_id, min(x) AS x, min(y) AS y, max(x) - min(x) + 1 AS w, max(y) - min(y) + 1 AS h FROM boxes GROUP BY page_id")

@@ -170,6 +170,29 @@ def test_telemetry_of_many_files_takes_few_tasks(spark, tmp_path):
         assert found.rdd.getNumPartitions() <= 4  # the shuffle's, however many files there are
 
 
+def test_lines_and_hulls_of_many_pages_equal_those_of_each():
+    rng, pages = np.random.default_rng(9), []
+    for n in rng.integers(1, 30, 80).tolist():  # few places, so that middles meet; some boxes without a side
+        pages.append(np.column_stack([np.arange(n), rng.integers(0, 6, n) * 10, rng.integers(0, 6, n) * 10, rng.integers(0, 4, n) * 4, rng.integers(0, 6, n) * 7]))
+    columns, at = np.concatenate(pages).T, np.cumsum([0, *map(len, pages)])
+    page, line, own = G.lines_of_boxes(at, *columns)
+    want, hulls = [], []
+    for k, rows in enumerate(pages):
+        limit, last, anchor, now, points = 0.5 * float(np.median(rows[:, 4])), {}, None, -1, {}
+        for r in rows.tolist():
+            last[r[2] + r[4] / 2, r[1] + r[3] / 2] = r
+        for (cy, _), r in sorted(last.items()):
+            if anchor is None or cy - anchor > limit:
+                anchor, now = cy, now + 1
+            want.append((k, now, int(at[k]) + r[0]))
+            points.setdefault(now, []).extend((a, b) for a in (r[1], r[1] + r[3]) for b in (r[2], r[2] + r[4]))
+        for n, own_points in points.items():
+            ring = G.hull(own_points)
+            hulls.append((k, n, len(ring), sum(a * d - c * b for (a, b), (c, d) in zip(ring, ring[1:] + ring[:1])) / 2))
+    assert list(zip(page.tolist(), line.tolist(), own.tolist())) == want
+    assert [tuple(r) for r in zip(*(v.tolist() for v in G.merged_hulls(page, line, *(c[own] for c in columns[1:]))))] == hulls
+
+
 def plain_beam(logp, width, least, blank=0):
     """The beam search over whole tuples, with all that score nothing."""
     add, beams = lambda a, b: max(a, b) + math.log1p(math.exp(-abs(a - b))) if min(a, b) > -math.inf else max(a, b), {(): (0.0, -math.inf)}
