@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import ctypes
 import difflib
 import re
 import unicodedata
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
@@ -71,9 +75,23 @@ def reorder_marks(text: str) -> str:
     return _CLUSTER.sub(lambda m: "".join(sorted(m[0], key=RANK.__getitem__)), text)
 
 
-@F.pandas_udf(StringType())
-def reordered(s: pd.Series) -> pd.Series:
-    return s.map(reorder_marks, na_action="ignore")
+def slices(texts: pa.Array, size: int = 1 << 20) -> Iterator[pa.Array]:
+    """An array of texts in pieces of so many bytes, one text at least: what becomes Python objects at once doesn't follow the batch. Memory goes back to the system at the end,
+    as workers wait for more work with what they have."""
+    ends, at = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)), 0
+    while at < len(texts):
+        end = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + size, side="right")))
+        yield texts.slice(at, end - at)
+        at = end
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # glibc's
+        trim(0)
+
+
+@F.arrow_udf(StringType())
+def reordered(texts: pa.Array) -> pa.Array:
+    parts = [pa.array([t if t is None else reorder_marks(t) for t in part.to_pylist()], pa.string()) for part in slices(texts)]
+    return pa.concat_arrays(parts or [pa.array([], pa.string())])
 
 
 def _class(*spans: tuple[int, int]) -> str:
@@ -150,15 +168,17 @@ def distinct_runs(tokens: list[str], n: int) -> int:
         k *= 2
 
 
-@F.pandas_udf(_REPETITION)
-def repetition(texts: pd.Series) -> pd.DataFrame:
+@F.arrow_udf(_REPETITION)
+def repetition(texts: pa.Array) -> pa.Array:
     """(tokens, repetition score of runs of 20) of texts, which cross to Python once: there a scan costs a fourth of what it does over arrays in the JVM. Null counts as empty."""
-    rows = []
-    for t in texts:
-        tokens = _TOKEN.findall(t or "")
-        runs = len(tokens) - 19
-        rows.append((len(tokens), 1 - distinct_runs(tokens, 20) / runs if runs > 0 else 0.0))
-    return pd.DataFrame(rows, columns=["n", "score"])
+    counts, scores = [], []
+    for part in slices(texts):
+        for t in part:
+            tokens = _TOKEN.findall(t.as_py() or "")
+            runs = len(tokens) - 19
+            counts.append(len(tokens))
+            scores.append(1 - distinct_runs(tokens, 20) / runs if runs > 0 else 0.0)
+    return pa.StructArray.from_arrays([pa.array(counts, pa.int64()), pa.array(scores, pa.float64())], ["n", "score"])
 
 
 def syllables(c: Column, marks: str = SYLLABLE_MARKS) -> Column:

@@ -8,6 +8,7 @@ import time
 from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -193,6 +194,17 @@ def test_lines_and_hulls_of_many_pages_equal_those_of_each():
     assert [tuple(r) for r in zip(*(v.tolist() for v in G.merged_hulls(page, line, *(c[own] for c in columns[1:]))))] == hulls
 
 
+def test_texts_become_objects_in_pieces_of_bounded_bytes(spark):
+    given = pa.array(["", None, "ab" * 30, "c" * 300, None, "é" * 40, "d", "e" * 90, ""], pa.string())
+    parts = list(T.slices(given.slice(1), 100))
+    assert pa.concat_arrays(parts).to_pylist() == given.to_pylist()[1:]
+    assert all(len(p) == 1 or sum(len((t or "").encode()) for t in p.to_pylist()) <= 100 for p in parts) and len(parts) > 3
+    assert list(T.slices(given.slice(0, 0))) == []
+    frame = spark.createDataFrame([(k, t) for k, t in enumerate(given.to_pylist())], "k int, t string").coalesce(1)
+    got = sorted(frame.select("k", T.reordered("t").alias("r"), T.repetition("t").alias("n")).collect())
+    assert [r.r for r in got] == given.to_pylist() and [r.n.n for r in got] == [int(bool(t)) for t in given.to_pylist()]
+
+
 def plain_beam(logp, width, least, blank=0):
     """The beam search over whole tuples, with all that score nothing."""
     add, beams = lambda a, b: max(a, b) + math.log1p(math.exp(-abs(a - b))) if min(a, b) > -math.inf else max(a, b), {(): (0.0, -math.inf)}
